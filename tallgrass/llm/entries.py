@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from .bpe import op5_bpe
 from .chat import op10_chat_formatting
+from .decontam import OP3_SQL, op3_decontamination
 from .langid import op4_language_id
+from .quality import op2_quality
 from .sharding import op1_sharding
 
 
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
-    return {f.__name__: f for f in (op1_sharding, op4_language_id, op10_chat_formatting)}
+    return {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op4_language_id, op5_bpe, op10_chat_formatting)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Query name -> DuckDB SQL."""
-    return {}
+    return {"op3_decontamination": OP3_SQL}
