@@ -8,11 +8,12 @@ from .decontam import OP3_SQL, op3_decontamination
 from .langid import op4_language_id
 from .quality import op2_quality
 from .sharding import op1_sharding
+from .substrings import op8_substring_dedup
 
 
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
-    return {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op4_language_id, op5_bpe, op10_chat_formatting)}
+    return {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op4_language_id, op5_bpe, op8_substring_dedup, op10_chat_formatting)}
 
 
 def oracle_sql() -> dict[str, str]:
