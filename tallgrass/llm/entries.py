@@ -9,13 +9,14 @@ from .langid import op4_language_id
 from .quality import op2_quality
 from .sharding import op1_sharding
 from .substrings import op8_substring_dedup
+from .topk import OP9_SQL, op9_topk
 
 
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
-    return {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op4_language_id, op5_bpe, op8_substring_dedup, op10_chat_formatting)}
+    return {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op4_language_id, op5_bpe, op8_substring_dedup, op9_topk, op10_chat_formatting)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Query name -> DuckDB SQL."""
-    return {"op3_decontamination": OP3_SQL}
+    return {"op3_decontamination": OP3_SQL, "op9_topk": OP9_SQL}
