@@ -137,3 +137,11 @@ def word_hashes(raw: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[n
 def arrow_type_names(df: DataFrame) -> str:
     """The schema of ``df`` as DDL."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that no DataFrame refers to any more."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

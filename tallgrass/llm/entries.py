@@ -6,6 +6,7 @@ from .bpe import op5_bpe
 from .chat import op10_chat_formatting
 from .decontam import OP3_SQL, op3_decontamination
 from .jaccard import op6_jaccard_join
+from .katz import op7_lm_scoring
 from .langid import op4_language_id
 from .quality import op2_quality
 from .sharding import op1_sharding
@@ -15,7 +16,7 @@ from .topk import OP9_SQL, op9_topk
 
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
-    return {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op4_language_id, op5_bpe, op6_jaccard_join, op8_substring_dedup, op9_topk, op10_chat_formatting)}
+    return {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op4_language_id, op5_bpe, op6_jaccard_join, op7_lm_scoring, op8_substring_dedup, op9_topk, op10_chat_formatting)}
 
 
 def oracle_sql() -> dict[str, str]:
