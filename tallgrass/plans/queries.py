@@ -505,7 +505,7 @@ def orphan_anti_join(spark, d):
     return quality.gold_tests(s.filter("county <> 'NATION_5'"), monthly(spark, d), declining(spark, d), TODAY)["orphan_gold"]
 
 
-@query("SELECT (SELECT count(*) FROM stg WHERE county <> 'NATION_5') AS silver, (SELECT count(*) FROM pm) AS gold", PM_SQL)
+@query("SELECT * FROM (SELECT (SELECT count(*) FROM stg WHERE county <> 'NATION_5') AS silver, (SELECT count(*) FROM pm) AS gold) WHERE silver <> gold", PM_SQL)
 def row_count_parity(spark, d):
     s = stg(spark, d).filter("county <> 'NATION_5'")
     return quality.gold_tests(s, monthly(spark, d), declining(spark, d), TODAY)["row_counts_equal"]
