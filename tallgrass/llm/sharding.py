@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 from .common import shared_dir
 
 N_SHARDS = 24
-BLOCK_ROWS = 200_000
+BLOCK_ROWS = 50_000
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
@@ -44,15 +44,17 @@ def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int
 
 
 def multivariate(rng: np.random.Generator, sizes: np.ndarray, n: int) -> np.ndarray:
-    """Counts of ``n`` rows drawn without replacement from classes of the given sizes."""
+    """Counts of ``n`` rows drawn without replacement from classes of the given sizes.
+
+    numpy draws from up to a thousand million rows; more are dealt to two halves of the classes first.
+    """
+    if len(sizes) == 1:
+        return np.array([n], np.int64)
     if sizes.sum() < 1_000_000_000:
         return rng.multivariate_hypergeometric(sizes, n, method="marginals")
-    out, left = np.zeros(len(sizes), np.int64), int(sizes.sum())
-    for i, size in enumerate(sizes):
-        left -= int(size)
-        out[i] = hypergeometric(rng, int(size), left, n)
-        n -= int(out[i])
-    return out
+    mid = len(sizes) // 2
+    k = hypergeometric(rng, int(sizes[:mid].sum()), int(sizes[mid:].sum()), n)
+    return np.concatenate((multivariate(rng, sizes[:mid], k), multivariate(rng, sizes[mid:], n - k)))
 
 
 def targets(total: int, n_shards: int, block_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
