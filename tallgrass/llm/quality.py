@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, arrow_type_names, pieces, word_hashes
+from .common import SPACES, arrow_type_names, modest, pieces, word_hashes
 
 BITS = 18
 #: Bound of the training sample: rated rows a grade.
 SAMPLE_PER_GRADE = 3000
-STEPS, RATE, DECAY = 200, 0.05, 2e-4
+STEPS, DECAY = 400, 1e-5
 
 
 @dataclass
@@ -42,30 +42,44 @@ def features(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return (key >> np.uint64(BITS)).astype(np.int64), (key & np.uint64((1 << BITS) - 1)).astype(np.int64)
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int) -> Model:
-    """Maximum likelihood with weight decay, by full-batch Adam steps."""
-    if not len(rows) or n_grades < 2:
-        return Model(np.zeros(1 << BITS), np.arange(max(1, n_grades - 1), dtype=float))
-    col = np.concatenate(rows)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    y = grades[:, None] > np.arange(n_grades - 1)
-    share = np.bincount(grades, minlength=n_grades)[grades]
-    weight = (len(rows) / (n_grades * share))[:, None]
-    w, first, gaps = np.zeros(1 << BITS), np.array([-1.0]), np.zeros(n_grades - 2)
-    params, m, v = [w, first, gaps], [], []
-    m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    for step in range(1, STEPS + 1):
-        t = np.concatenate((first, first + np.cumsum(np.exp(gaps))))
-        z = np.bincount(row, w[col], len(rows))
-        d = (1 / (1 + np.exp(-np.clip(z[:, None] - t, -40, 40))) - y) * weight / len(rows)
-        dt = -d.sum(axis=0)
-        tail = np.cumsum(dt[::-1])[::-1]
-        grads = [np.bincount(col, d.sum(axis=1)[row], 1 << BITS) + DECAY * w / 100, np.array([tail[0]]), tail[1:] * np.exp(gaps)]
-        for p, g, a, b in zip(params, grads, m, v, strict=True):
-            a += 0.1 * (g - a)
-            b += 0.001 * (g * g - b)
-            p -= RATE * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
-    return Model(w, np.concatenate((first, first + np.cumsum(np.exp(gaps)))))
+def scaled(n: np.ndarray) -> np.ndarray:
+    """Weight of each word of a text with ``n`` distinct ones."""
+    return 1 / np.sqrt(np.maximum(n, 1))
+
+
+def fit(rows: list[np.ndarray], grades: np.ndarray, shares: np.ndarray) -> Model:
+    """Maximum likelihood with weight decay, by accelerated gradient steps of the length that the data's curvature allows.
+
+    rows: each text's hashed words. shares: of each grade among all ratings; the sample counts in that proportion.
+    """
+    k, n = len(shares), len(rows)
+    if not n or k < 2:
+        return Model(np.zeros(1 << BITS), np.arange(max(1, k - 1), dtype=float))
+    sizes = np.array([len(r) for r in rows])
+    col, row = np.concatenate(rows), np.repeat(np.arange(n), sizes)
+    val = scaled(sizes)[row]
+    y = grades[:, None] > np.arange(k - 1)
+    weight = (shares[grades] / np.maximum(np.bincount(grades, minlength=k)[grades], 1))[:, None]
+
+    def back(d: np.ndarray) -> np.ndarray:
+        return np.bincount(col, d[row] * val, 1 << BITS)
+
+    u = np.ones(n)
+    for _ in range(20):  # the largest curvature, by power iteration
+        u = np.bincount(row, back(u * weight[:, 0])[col] * val, n)
+        top = float(np.linalg.norm(u)) or 1.0
+        u /= top
+    step = 1 / (0.25 * (k - 1) * top + DECAY)
+    w = ahead = np.zeros(1 << BITS)
+    t = ahead_t = np.arange(k - 1) - 1.0
+    for i in range(1, STEPS + 1):
+        z = np.bincount(row, ahead[col] * val, n)
+        d = (1 / (1 + np.exp(-np.clip(z[:, None] - ahead_t, -40, 40))) - y) * weight
+        new = ahead - step * (back(d.sum(axis=1)) + DECAY * ahead)
+        new_t = np.maximum.accumulate(ahead_t + min(step, 2.0) * d.sum(axis=0)) + 1e-6 * np.arange(k - 1)
+        ahead, ahead_t = new + i / (i + 3) * (new - w), new_t + i / (i + 3) * (new_t - t)
+        w, t = new, new_t
+    return Model(w, t)
 
 
 def train(docs: DataFrame, ratings: DataFrame, n_grades: int) -> Model:
@@ -74,6 +88,8 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int) -> Model:
     The sample is bounded: the SAMPLE_PER_GRADE rated ids of each grade with the smallest hash.
     """
     rated = ratings.filter(F.col("grade").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    counts = {r.grade: r.n for r in rated.groupBy("grade").agg(F.count("*").alias("n")).collect()}
+    shares = np.array([counts.get(g, 0) for g in range(n_grades)], float) / max(1, sum(counts.values()))
     order = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
     few = rated.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= SAMPLE_PER_GRADE).select("doc_id", "grade")
 
@@ -87,7 +103,7 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int) -> Model:
     picked = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")  # at most SAMPLE_PER_GRADE rows a grade
     kind = docs.schema["doc_id"].dataType.simpleString()
     got = picked.mapInArrow(run, f"doc_id {kind}, grade int, words array<int>").dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
-    return fit([np.asarray(x) for x in got.column("words").to_pylist()], np.asarray(got.column("grade"), dtype=np.int64), n_grades)
+    return fit([np.asarray(x) for x in got.column("words").to_pylist()], np.asarray(got.column("grade"), dtype=np.int64), shares)
 
 
 def rate(df: DataFrame, model: Model, least: int) -> DataFrame:
@@ -103,7 +119,8 @@ def rate(df: DataFrame, model: Model, least: int) -> DataFrame:
         m = sent.value
         for b, raw, offs in pieces(batches, "text"):
             row, col = features(raw, offs)
-            p = m.tails(np.bincount(row, m.weights[col], len(offs) - 1))
+            z = np.bincount(row, m.weights[col], len(offs) - 1) * scaled(np.bincount(row, minlength=len(offs) - 1))
+            p = m.tails(z)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p.sum(axis=1)), pa.array(p[:, least - 1])], [*b.schema.names, "expected_grade", "tail_prob"])
 
     return df.mapInArrow(run, arrow_type_names(df) + ", expected_grade double, tail_prob double")
@@ -118,6 +135,7 @@ def grades(labels: DataFrame) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's expected grade, probability of the best grade, of being toxic, and whether it is kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    modest(spark)
     model = train(docs, grades(spark.read.parquet(f"{sf_dir}/labels.parquet")), 3)
     out = rate(docs, model, 2)
     return out.select("doc_id", "expected_grade", "tail_prob", (F.col("tail_prob") >= 0.5).alias("keep"))
