@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import arrow_type_names, pieces
+from .common import arrow_type_names, modest, pieces
 
 UNKNOWN = "und"
 #: Bounds of the training sample: texts a language, bytes of a text, landmarks a language. Scoring reads whole texts.
@@ -63,7 +63,7 @@ def kernel(model: Model, raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
     for n, (slots, marks) in enumerate(zip(model.slots, model.marks, strict=True), 1):
         p = presence(slots, len(marks), n, raw, offs)
         out = out + (p @ marks) / np.sqrt(np.maximum(p.sum(axis=1, keepdims=True), 1))
-    return out / len(model.slots)
+    return out / max(1, len(model.slots)) if model.slots else np.zeros((len(offs) - 1, 0), np.float32)
 
 
 def scores(model: Model, raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -157,5 +157,6 @@ def held_out():
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract query."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    modest(spark)
     model = train(docs.filter(~held_out()).select("text", "lang"))
     return predict(docs.select("doc_id", "text", held_out().alias("held_out")), model).select("doc_id", "held_out", "lang_pred", "score")
