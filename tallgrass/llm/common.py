@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
+ROWS = 1000
 
 # ---------------------------------------------------------------- staged tables
 
@@ -29,14 +31,48 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def modest(spark: SparkSession) -> None:
+    """Hand Python at most ROWS rows at a time, unless the session asks for a number of its own: texts can be long."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Queries made and run in here delete their shuffle files when they end, not when the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    if was is None:
+        yield
+        return
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage ends here, any executor may be lost."""
     spark = df.sparkSession
+    modest(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    with tidy(spark):
+        df.select("*").write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables of at most so many rows are broadcast; larger ones are joined by shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, marked for broadcast if a count shows that it is small."""
+    with tidy(df.sparkSession):
+        few = df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(df) if few else df
+
+
 def text_key(text: Column) -> Column:
     """Hash of a text. With doc_id it names a row; equal rows share it and share every result."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
@@ -138,10 +174,3 @@ def arrow_type_names(df: DataFrame) -> str:
     """The schema of ``df`` as DDL."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
-
-def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files that no DataFrame refers to any more."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

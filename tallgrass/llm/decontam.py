@@ -17,13 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import staged, text_key
+from .common import small, staged, text_key
 
 WINDOW = 10
 #: Word separators after lower-casing, a fixed value.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Tables of at most so many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 200_000
 #: The term that stands at each document's end.
 END_TERM = 0
 
@@ -35,10 +33,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(low, F.lit("")), SEPARATORS), "")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast if a count shows that it is small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
 
 def vocabulary(items: DataFrame) -> DataFrame:
     """(term, term_id) of the words of ``items`` (words). Ids are hashes; equal hashes of two terms only add candidates."""

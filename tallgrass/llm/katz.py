@@ -27,14 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, U64, mix, pieces, release, staged, word_hashes
+from .common import SPACES, U64, mix, pieces, staged, word_hashes
 
 TOP = 5
 #: What a count above TOP gives up, so that every history keeps some mass for unseen words.
 FREED = 0.01
 END, START, UNKNOWN = U64(0xE4D), U64(0x57A47), U64(0xFFFFFFFFFFFFFFFF)
 BROADCAST_WORDS = 8_000_000
-PIECE_BYTES = 16_000_000
+PIECE_BYTES = 4_000_000
 BUCKET_EVENTS = 1_000_000
 
 
@@ -158,16 +158,17 @@ def piece_rows(piece: int, held: np.ndarray, toks: list, hashes: np.ndarray, cou
         known = hashes[at] == u if len(hashes) else np.zeros(len(u), bool)
         c = np.where(known, counts[at] if len(counts) else 0, 0).astype(np.int64)
         c[u == START] = docs
-        ids = u if wide else np.where(known, at, len(hashes)).astype(U64)
-        ids[u == START] = START if wide else len(hashes) + 1
         if wide:
-            ids[~known & (u != START)] = UNKNOWN
-        return ids[back], c[back]
+            ids = np.where(known | (u == START), u, UNKNOWN)
+            return ids[back], c[back]
+        ids = np.where(known, at, len(hashes)).astype(np.uint32)
+        ids[u == START] = len(hashes) + 1
+        return ids[back], None
 
     hid, hc = found(prev)
     wid, wc = found(cur)
-    key = mix(hid * U64(0x9E3779B97F4A7C15) + mix(wid))
-    bucket = (key >> U64(33)).astype(np.int64) % n_buckets
+    bucket = ((mix(hid * U64(0x9E3779B97F4A7C15) + mix(wid.astype(U64))) >> U64(33)) % U64(n_buckets)).astype(np.uint32)
+    del prev, cur
     for out in (False, True):
         mine = np.flatnonzero(held[row] == out)
         if not len(mine):
@@ -244,7 +245,7 @@ class Scorer:
         h, w, c, many, *extra = unpack(blob)
         if self.counts is None:
             return h, c.astype(np.int64), many, extra[0], extra[1]
-        return h.astype(U64), c.astype(np.int64), many, self.counts[h], self.counts[w]
+        return h.astype(U64), c.astype(np.int64), many, self.counts[h].astype(np.int64), self.counts[w].astype(np.int64)
 
     def documents(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(piece, row, n_tokens, n_known, base, score) sums; an unseen pair's score lacks alpha."""
@@ -256,11 +257,11 @@ class Scorer:
             ids, piece = np.unique(cols[0], return_inverse=True)
             u, v = summed(piece.astype(np.int64) << 16 | cols[1], cols[2:])
             held = [(ids[u >> 16], u & 65535, *v)]
-            if final or len(u) > 2_000_000:
+            if final or len(u) > 700_000:
                 names = ["piece", "row", "n_tokens", "n_known", "base", "score"]
                 arrays = [held[0][0], held[0][1], v[0].astype(np.int64), v[1].astype(np.int64), v[2], v[3]]
-                for lo in range(0, len(u), 500_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(a[lo : lo + 500_000]) for a in arrays], names)
+                for lo in range(0, len(u), 200_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(a[lo : lo + 200_000]) for a in arrays], names)
                 held = []
 
         size = 0
@@ -275,7 +276,7 @@ class Scorer:
                 u, v = summed(piece.astype(np.int64) << 16 | row, [tf, tf * (wc > 0)[at], tf * self.uni.base(wc)[at], tf * score[at]])
                 held.append((ids[u >> 16], u & 65535, *v))
                 size += len(u)
-                if size > 4_000_000:
+                if size > 1_500_000:
                     yield from out(False)
                     size = sum(len(x[0]) for x in held)
         if held:
@@ -333,7 +334,7 @@ def scored(docs: DataFrame, held_out: Column, broadcast_words: int = BROADCAST_W
         w, c = np.asarray(table.column("w")).view(U64), np.asarray(table.column("c"))
         by = np.argsort(w)
         vocab = spark.sparkContext.broadcast((w[by], c[by].astype(np.uint32) if uni.n < 2**32 else c[by]))
-        counts = spark.sparkContext.broadcast(np.append(c[by], (0, uni.docs)))
+        counts = spark.sparkContext.broadcast(np.append(c[by], (0, uni.docs)).astype(np.uint32 if uni.n < 2**32 else np.int64))
         del table, w, c, by
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,8 +378,6 @@ def scored(docs: DataFrame, held_out: Column, broadcast_words: int = BROADCAST_W
 
     grouped_model = blobs.groupBy("bucket").applyInArrow(model_of, f"{MODEL}, piece long, doc_ids array<{kind}>, outs array<boolean>")
     model = staged(grouped_model, "bigrams")
-    del grouped_model, blobs
-    release(spark)
     pairs = model.filter("bucket >= 0").select("pairs", "events", "pieces", "n")
     of = pairs.agg(*(F.sum(F.element_at("n", r)) for r in range(1, TOP + 2))).first()
     scorer = (uni, discounts([x or 0 for x in of]))

@@ -25,13 +25,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, pieces, prefix_hash, span_hash, staged, text_key
+from .common import U64, pieces, prefix_hash, small, span_hash, staged, text_key
 
 WINDOW, K = 200, 80
 #: An anchor with more different contexts than this is resolved by counting its windows, which needs no common task.
 GROUP = 4096
-#: Tables of at most so many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 200_000
 _PLACE = 28
 _SEGMENT = 1 << 25
 _registered: set[str] = set()
@@ -109,10 +107,6 @@ def context_table(docs: DataFrame, window: int) -> DataFrame:
     return staged(keyed.mapInArrow(run, f"doc_id {kind}, text_hash long, lo int, n int, anchor long, context long"), "contexts")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast if a count shows that it is small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
 
 def bytes_of(text: Column) -> Column:
     """UTF-8 bytes; null is empty."""
