@@ -5,8 +5,8 @@ two sets that overlap enough share one of their first ``n - ceil(0.8 n) + 1``. T
 so that a passage that many documents share makes no tile but for documents that hold little else. Which
 are frequent is counted over all documents and kept as a bitmap of fixed size; a wrong bit only changes the order.
 
-Links need not be found pair by pair: in a few rounds each node of a tile is compared with one pivot, and tiles whose
-nodes are all connected are done. What is left goes through size-banded tiles pair by pair: sizes, then the counts
+Links need not be found pair by pair: in each round every node of a tile is compared with one pivot, as long as that links
+any, and tiles whose nodes are all connected are done. What is left goes through size-banded tiles pair by pair: sizes, then the counts
 of differing bits in hashed signatures, bound the overlap from above, and the exact intersection of the sorted
 shingle arrays decides.
 """
@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, U64, mix, pieces, staged, text_key, word_hashes
+from .common import SPACES, U64, mix, pieces, small, staged, text_key, tidy, word_hashes
 from .components import components, merged
 
 WORDS = 5
 FREQUENT = 64
 ROUNDS = 3
-BROADCAST_ROWS = 200_000
+#: So many sets are compared with one pivot in one task; a pivot with more goes to several.
+GROUP = 5000
 _TOKEN = U64((1 << 48) - 1)
 _HOT_BITS = 24
 _MUL = np.random.default_rng(11).integers(1, 1 << 63, 8, np.uint64) * U64(2) + U64(1)
@@ -66,17 +67,13 @@ def prefix_size(n: int) -> int:
 
 
 def signature(s: np.ndarray) -> np.ndarray:
-    """A bitmap of 1024 bits, one set for each shingle."""
-    bits = np.zeros(1024, bool)
-    bits[(s >> U64(54)).astype(np.int64)] = True
+    """A bitmap with one bit set for each shingle; its size, a power of two, is twice the set's or more. The upper half laid
+    on the lower one is the bitmap of half the size."""
+    bits = np.zeros(1 << max(10, int(2 * len(s) - 1).bit_length()), bool)
+    bits[(s >> U64(20)).astype(np.int64) & (len(bits) - 1)] = True
     return np.packbits(bits).view(np.int64)
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast if a count shows that it is small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_key(F.col("text")).alias("text_hash"), "text")
 
@@ -125,8 +122,9 @@ def lists(arrays: list[np.ndarray]) -> pa.Array:
 
 def frequent(reps: DataFrame) -> np.ndarray:
     """Marks (2**24, by a token's low bits) of the tokens that more than FREQUENT nodes have in their plain prefix."""
-    t = reps.select(F.explode("low").alias("t")).groupBy("t").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT)
-    cells = t.select(F.col("t").bitwiseAND(F.lit((1 << _HOT_BITS) - 1)).cast("int").alias("t")).distinct().toArrow()
+    with tidy(reps.sparkSession):
+        t = reps.select(F.explode("low").alias("t")).groupBy("t").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT)
+        cells = t.select(F.col("t").bitwiseAND(F.lit((1 << _HOT_BITS) - 1)).cast("int").alias("t")).distinct().toArrow()
     marks = np.zeros(1 << _HOT_BITS, bool)
     marks[np.asarray(cells.column("t"))] = True
     return marks
@@ -141,7 +139,8 @@ def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def tiles(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Store (t, node): the nodes of every tile of two nodes or more."""
+    """Store (t, node, c): the nodes of every tile of two nodes or more. Shingles with the same nodes make one tile, named
+    by its nodes; c says how many do."""
     marks = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent(reps)))
 
     def hot(t: np.ndarray, packed: np.ndarray) -> np.ndarray:
@@ -174,8 +173,8 @@ def tiles(docs: DataFrame, reps: DataFrame) -> DataFrame:
     prefixes = some.unionByName(texts_of(docs, rest).mapInArrow(full, schema))
     rows = prefixes.select("node", F.explode("prefix").alias("t"))
     w = Window.partitionBy("t")
-    met = rows.withColumns({"a": F.min("node").over(w), "z": F.max("node").over(w)}).filter("a <> z")
-    return staged(met.select("t", "node"), "tiles")
+    named = rows.withColumns({"k": F.count("*").over(w), "h": F.bit_xor(F.xxhash64("node")).over(w)}).filter("k > 1")
+    return staged(named.groupBy(F.xxhash64("h", "k").alias("t"), "node").agg(F.count("*").alias("c")), "tiles")
 
 
 def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -183,28 +182,40 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
     side = reps.select("node", "n", "bits")
     x, y = (side.select(F.col("node").alias(c), F.col("n").alias(f"{c}n"), F.col("bits").alias(f"{c}b")) for c in "xy")
     both = pairs.select("x", "y").join(x, "x").join(y, "y").filter("5 * least(xn, yn) >= 4 * greatest(xn, yn)")
+    # sizes within a quarter of each other make bitmaps of equal size, or one of twice the other's
+    halved = "if(size({0}) > size({1}), zip_with(slice({0}, 1, size({1})), slice({0}, size({1}) + 1, size({1})), (p, q) -> p | q), {0})"
+    both = both.withColumns({"xb": F.expr(halved.format("xb", "yb")), "yb": F.expr(halved.format("yb", "xb"))})
     apart = "aggregate(zip_with({}, {}, (p, q) -> bit_count(p & ~q)), 0, (a, v) -> a + v)"
     most = F.least(F.expr(f"xn - {apart.format('xb', 'yb')}"), F.expr(f"yn - {apart.format('yb', 'xb')}"))
     left = staged(both.filter(9 * most >= 4 * (F.col("xn") + F.col("yn"))).select("x", "y"), "pairs")
-    asked = left.select(F.col("x").alias("node")).unionByName(left.select(F.col("y").alias("node"))).distinct()
-    texts = texts_of(docs, reps.select("node", "doc_id", "text_hash").join(asked, "node", "left_semi"))
-    texts = staged(texts, "texts")
-    a, b = (texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}t")) for c in "xy")
+
+    # all x of one y meet in a group, at most GROUP of them; each group has y's text once
+    sized = left.join(left.groupBy("y").agg(F.count("*").alias("k")), "y")
+    part = F.pmod(F.xxhash64("x"), F.ceil(F.col("k") / GROUP)).cast("int").alias("part")
+    sized = sized.select("x", "y", part)
+    pivot = F.lit(True).alias("pivot")
+    asked = sized.select(F.col("x").alias("node"), "y", "part", F.lit(False).alias("pivot")).unionByName(sized.select(F.col("y").alias("node"), "y", "part", pivot).distinct())
+    asked = staged(reps.select("node", "doc_id", "text_hash").join(asked, "node"), "asked")
+    side = small(asked.withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"}))
+    d = keyed(docs)
+    met = d.join(side, d.doc_id.eqNullSafe(F.col("_d")) & (d.text_hash == F.col("_h"))).select("y", "part", "pivot", "node", "text")
+    met = met.repartition("y", "part").sortWithinPartitions("y", "part", F.desc("pivot"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in batches:
-            for part, raw, offs in pieces(iter([r]), "xt"):
-                xs = shingles(raw, offs)
-                ys: list[np.ndarray] = []
-                for _, raw2, offs2 in pieces(iter([part]), "yt"):
-                    ys += shingles(raw2, offs2)
-                keep = []
-                for u, v in zip(xs, ys, strict=True):
-                    i = len(np.intersect1d(u, v, assume_unique=True))
-                    keep.append(100 * i >= 80 * (len(u) + len(v) - i))
-                yield part.select(["x", "y"]).filter(pa.array(keep))
-
-    met = left.join(a, "x").join(b, "y").select("x", "y", "xt", "yt")
+        here, other = None, np.zeros(0, U64)
+        for b, raw, offs in pieces(batches, "text"):
+            keep = []
+            for s, y, first in zip(shingles(raw, offs), b.column("y").to_pylist(), b.column("pivot").to_pylist(), strict=True):
+                if first:
+                    here, other = y, s
+                    keep.append(False)
+                    continue
+                assert y == here
+                i = len(np.intersect1d(s, other, assume_unique=True))
+                keep.append(100 * i >= 80 * (len(s) + len(other) - i))
+            out = b.select(["node", "y"]).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays(out.columns, ["x", "y"])
+
     return staged(met.mapInArrow(run, "x binary, y binary"), "linked")
 
 
@@ -219,13 +230,13 @@ def link_components(docs: DataFrame) -> DataFrame:
         pivot = F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("h"), "node", "comp")).alias("p")
         open_ = rows.groupBy("t").agg(pivot, F.min("comp").alias("a"), F.max("comp").alias("z")).filter("a <> z")
         open_ = open_.select("t", F.col("p.node").alias("y"), F.col("p.comp").alias("yc"))
-        pairs = rows.join(open_, "t").filter("comp <> yc").groupBy(F.col("node").alias("x"), "y").agg(F.count("*").alias("c"))
+        pairs = rows.join(open_, "t").filter("comp <> yc").groupBy(F.col("node").alias("x"), "y").agg(F.sum("c").alias("c"))
         if tried is not None:
             pairs = pairs.join(tried, ["x", "y"], "left_anti")
         pairs = pairs.groupBy("x").agg(F.max(F.struct("c", "y")).alias("m")).select("x", "m.y")
         pairs = staged(pairs, "asked")
         if pairs.isEmpty():
-            return labels
+            break
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = verified(docs, reps, pairs)
         if not links.isEmpty():
@@ -241,6 +252,9 @@ def link_components(docs: DataFrame) -> DataFrame:
     if tried is not None:
         turned = tried.select(F.col("y").alias("x"), F.col("x").alias("y"))
         pairs = pairs.join(tried, ["x", "y"], "left_anti").join(turned, ["x", "y"], "left_anti")
+    pairs = staged(pairs, "asked")
+    if pairs.isEmpty():
+        return labels
     links = verified(docs, reps, pairs)
     return labels if links.isEmpty() else merged(labels, links)
 
