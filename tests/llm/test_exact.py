@@ -208,7 +208,9 @@ def test_jaccard_families(spark, monkeypatch, frequent):
     assert pairs(jaccard.near_duplicates(df), "doc_id", "n_shingles", "component_id") == expected_components(rows)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "BROADCAST_ROWS", few)
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (5, 5)]
     got = dict(components.components(spark.createDataFrame(links, "x long, y long")).collect())
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
