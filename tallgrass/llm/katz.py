@@ -147,8 +147,9 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def piece_rows(piece: int, held: np.ndarray, toks: list, hashes: np.ndarray, counts: np.ndarray, wide: bool, docs: int, n_buckets: int) -> Iterator[tuple]:
-    """(bucket, piece, held, blob) of one piece: its pairs, how many documents hold each, which, and how often."""
+def piece_rows(piece: int, held: np.ndarray, toks: list, hashes: np.ndarray, counts: np.ndarray, wide: bool, uni: Unigrams, n_buckets: int) -> Iterator[tuple]:
+    """First (n_tokens, n_known, base) of the piece's rows; then (bucket, piece, held, blob): its pairs, how many rows hold
+    each, which, and how often."""
     prev, cur, row = (np.concatenate([t[i] for t in toks]) for i in range(3))
 
     def found(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,16 +158,20 @@ def piece_rows(piece: int, held: np.ndarray, toks: list, hashes: np.ndarray, cou
         at[at == len(hashes)] = 0
         known = hashes[at] == u if len(hashes) else np.zeros(len(u), bool)
         c = np.where(known, counts[at] if len(counts) else 0, 0).astype(np.int64)
-        c[u == START] = docs
+        c[u == START] = uni.docs
         if wide:
             ids = np.where(known | (u == START), u, UNKNOWN)
             return ids[back], c[back]
         ids = np.where(known, at, len(hashes)).astype(np.uint32)
         ids[u == START] = len(hashes) + 1
-        return ids[back], None
+        return ids[back], c[back]
 
     hid, hc = found(prev)
     wid, wc = found(cur)
+    n = len(held)
+    yield np.bincount(row, minlength=n), np.bincount(row, wc > 0, n).astype(np.int64), np.bincount(row, uni.base(wc), n)
+    if not wide:
+        hc = wc = None
     bucket = ((mix(hid * U64(0x9E3779B97F4A7C15) + mix(wid.astype(U64))) >> U64(33)) % U64(n_buckets)).astype(np.uint32)
     del prev, cur
     for out in (False, True):
@@ -248,39 +253,31 @@ class Scorer:
         return h.astype(U64), c.astype(np.int64), many, self.counts[h].astype(np.int64), self.counts[w].astype(np.int64)
 
     def documents(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(piece, row, n_tokens, n_known, base, score) sums; an unseen pair's score lacks alpha."""
+        """(piece, blob): partial scores of a piece's rows, in one blob; an unseen pair's score lacks alpha."""
         held: list = []
 
-        def out(final: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            cols = [np.concatenate([x[i] for x in held]) for i in range(6)]
-            ids, piece = np.unique(cols[0], return_inverse=True)
-            u, v = summed(piece.astype(np.int64) << 16 | cols[1], cols[2:])
-            held = [(ids[u >> 16], u & 65535, *v)]
-            if final or len(u) > 700_000:
-                names = ["piece", "row", "n_tokens", "n_known", "base", "score"]
-                arrays = [held[0][0], held[0][1], v[0].astype(np.int64), v[1].astype(np.int64), v[2], v[3]]
-                for lo in range(0, len(u), 200_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(a[lo : lo + 200_000]) for a in arrays], names)
-                held = []
+        def out() -> pa.RecordBatch:
+            ids, piece = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
+            u, (score,) = summed(piece.astype(np.int64) << 16 | np.concatenate([x[1] for x in held]), [np.concatenate([x[2] for x in held])])
+            cuts = np.searchsorted(u >> 16, np.arange(len(ids) + 1))
+            blobs = [pack((u[lo:hi] & 65535).astype(np.uint16), score[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(blobs, pa.binary())], ["piece", "blob"])
 
         size = 0
         for b in batches:
             for i in range(b.num_rows):
                 _, c, many, hc, wc = self.pairs(b.column("pairs")[i].as_py())
                 piece, row, tf = unpack(b.column("events")[i].as_py())
-                seen = c > 0
-                score = np.log10(np.where(seen, discounted(c, self.d) / np.maximum(hc, 1), self.uni.p(wc)))
+                score = np.log10(np.where(c > 0, discounted(c, self.d) / np.maximum(hc, 1), self.uni.p(wc)))
                 ids = np.asarray(b.column("pieces")[i].as_py(), np.int64)
-                at = np.repeat(np.arange(len(c)), many)
-                u, v = summed(piece.astype(np.int64) << 16 | row, [tf, tf * (wc > 0)[at], tf * self.uni.base(wc)[at], tf * score[at]])
-                held.append((ids[u >> 16], u & 65535, *v))
+                u, (v,) = summed(piece.astype(np.int64) << 16 | row, [tf * np.repeat(score, many)])
+                held.append((ids[u >> 16], u & 65535, v))
                 size += len(u)
-                if size > 1_500_000:
-                    yield from out(False)
-                    size = sum(len(x[0]) for x in held)
+                if size > 3_000_000:
+                    yield out()
+                    held, size = [], 0
         if held:
-            yield from out(True)
+            yield out()
 
     def histories(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(h, seen, mass): by history, its seen pairs' discounted shares and their words' unigram probabilities."""
@@ -304,6 +301,13 @@ class Scorer:
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), ["piece", "row", "h", "tf"])
 
 
+def piece_scores(key: tuple, table: pa.Table) -> pa.Table:
+    """(piece, row, score) from one piece's partial blobs."""
+    parts = [unpack(x.as_py()) for x in table.column("blob")]
+    u, (v,) = summed(np.concatenate([p[0] for p in parts]).astype(np.int64), [np.concatenate([p[1] for p in parts])])
+    return pa.table([pa.array([key[0].as_py()] * len(u), pa.int64()), pa.array(u), pa.array(v)], ["piece", "row", "score"])
+
+
 def scored(docs: DataFrame, held_out: Column, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -317,17 +321,23 @@ def scored(docs: DataFrame, held_out: Column, broadcast_words: int = BROADCAST_W
     uni = unigrams(words)
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-uni.n // BUCKET_EVENTS))
     wide = uni.v > broadcast_words
-    schema = f"bucket int, piece long, held boolean, blob binary, doc_ids array<{kind}>, outs array<boolean>"
+    names = f"doc_ids array<{kind}>, outs array<boolean>, n_tokens array<long>, n_known array<long>, base array<double>"
+    schema = f"bucket int, piece long, held boolean, blob binary, {names}"
     id_type = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
 
+    of_rows = {"doc_ids": pa.list_(id_type), "outs": pa.list_(pa.bool_()), "n_tokens": pa.list_(pa.int64()), "n_known": pa.list_(pa.int64()), "base": pa.list_(pa.float64())}
+
     def rows_of(piece: int, parts: list, toks: list, hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         held = np.concatenate([np.asarray(p.column("held_out")) for p in parts])
         ids = [x for p in parts for x in p.column("doc_id").to_pylist()]
-        rows = [(-1 - piece % n_buckets, piece, None, None, ids, held.tolist())]
-        rows += [(*r, None, None) for r in piece_rows(piece, held, toks, hashes, counts, wide, uni.docs, n_buckets)]
-        kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.binary(), pa.list_(id_type), pa.list_(pa.bool_())]
+        made = piece_rows(piece, held, toks, hashes, counts, wide, uni, n_buckets)
+        stats = next(made)
+        none = (None,) * len(of_rows)
+        rows = [(-1 - piece % n_buckets, piece, None, None, ids, held.tolist(), *(x.tolist() for x in stats))]
+        rows += [(*r, *none) for r in made]
+        kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.binary(), *of_rows.values()]
         cols = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays(cols, ["bucket", "piece", "held", "blob", "doc_ids", "outs"])
+        yield pa.RecordBatch.from_arrays(cols, ["bucket", "piece", "held", "blob", *of_rows])
 
     if not wide:
         table = words.select("w", "c").toArrow()
@@ -370,13 +380,15 @@ def scored(docs: DataFrame, held_out: Column, broadcast_words: int = BROADCAST_W
 
     def model_of(key: tuple, table: pa.Table) -> pa.Table:
         if key[0].as_py() >= 0:
-            out = bucket_model(key, table)
-            return out.append_column("piece", pa.nulls(1, pa.int64())).append_column("doc_ids", pa.nulls(1, pa.list_(id_type))).append_column("outs", pa.nulls(1, pa.list_(pa.bool_())))
+            out = bucket_model(key, table).append_column("piece", pa.nulls(1, pa.int64()))
+            for name, k in of_rows.items():
+                out = out.append_column(name, pa.nulls(1, k))
+            return out
         n = table.num_rows
         cols = [table.column("bucket"), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64()))]
-        return pa.table([*cols, *(table.column(c) for c in ("piece", "doc_ids", "outs"))], ["bucket", "pairs", "events", "pieces", "n", "piece", "doc_ids", "outs"])
+        return pa.table([*cols, *(table.column(c) for c in ("piece", *of_rows))], ["bucket", "pairs", "events", "pieces", "n", "piece", *of_rows])
 
-    grouped_model = blobs.groupBy("bucket").applyInArrow(model_of, f"{MODEL}, piece long, doc_ids array<{kind}>, outs array<boolean>")
+    grouped_model = blobs.groupBy("bucket").applyInArrow(model_of, f"{MODEL}, piece long, {names}")
     model = staged(grouped_model, "bigrams")
     pairs = model.filter("bucket >= 0").select("pairs", "events", "pieces", "n")
     of = pairs.agg(*(F.sum(F.element_at("n", r)) for r in range(1, TOP + 2))).first()
@@ -388,18 +400,17 @@ def scored(docs: DataFrame, held_out: Column, broadcast_words: int = BROADCAST_W
 
         return run
 
-    sums = pairs.mapInArrow(reader("documents"), "piece long, row long, n_tokens long, n_known long, base double, score double")
+    sums = pairs.mapInArrow(reader("documents"), "piece long, blob binary").groupBy("piece").applyInArrow(piece_scores, "piece long, row long, score double")
     alpha = pairs.select("pairs").mapInArrow(reader("histories"), "h long, seen double, mass double").groupBy("h")
     alpha = alpha.agg(F.log10((1 - F.sum("seen")) / (1 - F.sum("mass"))).alias("alpha"))
     lacking = pairs.mapInArrow(reader("unseen"), "piece long, row long, h long, tf long").join(alpha, "h", "left")
     lacking = lacking.groupBy("piece", "row").agg(F.sum(F.col("tf") * F.coalesce("alpha", F.lit(0.0))).alias("score"))
-    zero = F.lit(0)
-    lacking = lacking.select("piece", "row", zero.cast("long").alias("n_tokens"), zero.cast("long").alias("n_known"), zero.cast("double").alias("base"), "score")
-    total = sums.unionByName(lacking).groupBy("piece", "row").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")))
-    names = model.filter("bucket < 0").select("piece", F.posexplode(F.arrays_zip("doc_ids", "outs")).alias("row", "d"))
-    names = names.select("piece", F.col("row").cast("long").alias("row"), F.col("d.doc_ids").alias("doc_id"), F.col("d.outs").alias("held_out"))
-    out = names.join(total, ["piece", "row"])
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(uni.n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+    total = sums.unionByName(lacking).groupBy("piece", "row").agg(F.sum("score").alias("score"))
+    rows = model.filter("bucket < 0").select("piece", F.posexplode(F.arrays_zip(*of_rows)).alias("row", "d"))
+    rows = rows.select("piece", F.col("row").cast("long").alias("row"), "d.*")
+    out = rows.join(total, ["piece", "row"])
+    train = F.lit(uni.n).cast("long").alias("train_tokens")
+    return out.select(F.col("doc_ids").alias("doc_id"), F.col("outs").alias("held_out"), "n_tokens", "n_known", train, F.col("base").alias("base_score"), "score")
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
