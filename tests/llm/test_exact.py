@@ -8,7 +8,6 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from tallgrass.llm import bpe, chat, components, decontam, jaccard, sharding, substrings, topk
 from tallgrass.llm.common import staged
@@ -356,4 +355,3 @@ def test_substring_query(spark):
     d = pd.read_parquet(f"{SF}/documents.parquet")
     for i, spans, kept in expected_cuts(list(zip(d.doc_id, d.text))):
         assert (out[i].n_spans, out[i].n_removed, out[i].kept_sha256) == (len(spans), sum(b - a for a, b in spans), hashlib.sha256(kept).hexdigest())
-    assert F is not None
