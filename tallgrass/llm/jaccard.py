@@ -25,8 +25,8 @@ from .common import SPACES, U64, mix, pieces, small, staged, text_key, tidy, wor
 from .components import components, merged
 
 WORDS = 5
-FREQUENT = 64
-ROUNDS = 3
+FREQUENT = 24
+ROUNDS = 12
 #: So many sets are compared with one pivot in one task; a pivot with more goes to several.
 GROUP = 5000
 _TOKEN = U64((1 << 48) - 1)
@@ -239,8 +239,9 @@ def link_components(docs: DataFrame) -> DataFrame:
             break
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = verified(docs, reps, pairs)
-        if not links.isEmpty():
-            labels = merged(labels, links)
+        if links.isEmpty():
+            break
+        labels = merged(labels, links)
     rows = met.join(labels, "node")
     open_ = rows.groupBy("t").agg(F.min("comp").alias("a"), F.max("comp").alias("z")).filter("a <> z").select("t")
     rows = rows.join(open_, "t", "left_semi").join(reps.select("node", "n"), "node")
