@@ -1,7 +1,10 @@
-"""A paged feature service as a Spark data source: one partition per page, read by the executors.
+"""A paged feature service as a Spark data source: one partition per planned page, read by the executors.
 
-Options: ``url``; ``pages`` and ``page_size``; ``fields`` (comma-separated attributes); ``fetch`` names a function
-``module:function(url, offset, count) -> dict`` that gets one page, so that tests and other transports need no network.
+Options: ``url``; ``page_size``; ``pages`` planned (1 if not given); ``fields`` (comma-separated attributes); ``fetch`` names a
+function ``module:function(url, offset, count) -> dict`` that gets one page, so that tests and other transports need no network.
+
+``pages`` only spreads the work: the last partition goes on until the service no longer says ``exceededTransferLimit``,
+and a partition whose page comes back short while the service says so asks for the rest of it.
 """
 
 from __future__ import annotations
@@ -35,8 +38,8 @@ def http_page(url: str, offset: int, count: int, tries: int = 3) -> dict:
 
 
 class Page(InputPartition):
-    def __init__(self, offset: int):
-        self.offset = offset
+    def __init__(self, offset: int, last: bool):
+        self.offset, self.last = offset, last
 
 
 class Reader(DataSourceReader):
@@ -45,14 +48,26 @@ class Reader(DataSourceReader):
 
     def partitions(self) -> list[Page]:
         size = int(self.options.get("page_size", 1000))
-        return [Page(i * size) for i in range(int(self.options["pages"]))]
+        pages = int(self.options.get("pages", 1))
+        if pages < 1 or size < 1:
+            raise ValueError(f"pages and page_size must be at least 1, not {pages} and {size}")
+        return [Page(i * size, i == pages - 1) for i in range(pages)]
 
     def read(self, partition: Page) -> Iterator[tuple]:
         module, _, name = self.options.get("fetch", "tallgrass.sources.features_api:http_page").partition(":")
-        page = getattr(importlib.import_module(module), name)(self.options["url"], partition.offset, int(self.options.get("page_size", 1000)))
-        for f in page.get("features", []):
-            values = f.get("attributes", {})
-            yield tuple(None if values.get(n) is None else str(values[n]) for n in self.names)
+        fetch, size = getattr(importlib.import_module(module), name), int(self.options.get("page_size", 1000))
+        offset = partition.offset
+        while partition.last or offset < partition.offset + size:
+            page = fetch(self.options["url"], offset, size if partition.last else partition.offset + size - offset)
+            features = page.get("features", [])
+            for f in features:
+                values = f.get("attributes", {})
+                yield tuple(None if values.get(n) is None else str(values[n]) for n in self.names)
+            offset += len(features)
+            if not page.get("exceededTransferLimit", False):
+                break
+            if not features:
+                raise OSError(f"{self.options['url']} has more features at offset {offset} but sends none")
 
 
 class FeatureService(DataSource):
@@ -74,4 +89,5 @@ def register(spark: SparkSession) -> None:
 
 def sample_page(url: str, offset: int, count: int) -> dict:
     """A service of five wells, for trials without a network."""
-    return {"features": [{"attributes": {"api": i, "lat": 30.0 + i}} for i in range(offset, min(5, offset + count))]}
+    rows = [{"attributes": {"api": i, "lat": 30.0 + i}} for i in range(offset, min(5, offset + count))]
+    return {"features": rows, "exceededTransferLimit": offset + count < 5}

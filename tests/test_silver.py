@@ -5,6 +5,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallgrass.operators import gold, quality
 from tallgrass.plans import states
@@ -149,6 +150,38 @@ def test_feature_service(spark):
     assert sorted(r.api for r in df.collect()) == ["0", "1", "2", "3", "4"]
 
 
+def capped_page(url, offset, count):
+    """A service of seven wells that sends at most two a page, whatever is asked."""
+    rows = [{"attributes": {"api": i}} for i in range(offset, min(7, offset + min(count, 2)))]
+    return {"features": rows} | ({"exceededTransferLimit": True} if offset + len(rows) < 7 else {})
+
+
+def stuck_page(url, offset, count):
+    """A service that says there is more but sends nothing."""
+    return {"features": [], "exceededTransferLimit": True}
+
+
+@pytest.mark.parametrize("fetch", ["sample", "capped"])
+@pytest.mark.parametrize("pages", [None, 1, 2, 9])
+def test_feature_service_without_known_page_count(pages, fetch):
+    """``pages`` is a plan only: every well comes once, with fewer pages planned than there are and with short pages."""
+    from tallgrass.sources import features_api
+
+    name, n = ("tallgrass.sources.features_api:sample_page", 5) if fetch == "sample" else (f"{__name__}:capped_page", 7)
+    options = {"url": "x", "page_size": "3", "fields": "api", "fetch": name} | ({"pages": str(pages)} if pages else {})
+    reader = features_api.Reader(options, T.StructType([T.StructField("api", T.StringType())]))
+    assert sorted(r[0] for p in reader.partitions() for r in reader.read(p)) == [str(i) for i in range(n)]
+
+
+def test_feature_service_that_sends_nothing_more():
+    from tallgrass.sources import features_api
+
+    options = {"url": "x", "pages": "1", "page_size": "3", "fields": "api", "fetch": f"{__name__}:stuck_page"}
+    reader = features_api.Reader(options, T.StructType([T.StructField("api", T.StringType())]))
+    with pytest.raises(OSError):
+        list(reader.read(reader.partitions()[0]))
+
+
 def test_streamed_silver(spark, silver, tmp_path):
     from tallgrass.streaming.silver import ingest
 
