@@ -5,7 +5,7 @@ two sets that overlap enough share one of their first ``n - ceil(0.8 n) + 1``. T
 so that a passage that many documents share makes no tile but for documents that hold little else. Which
 are frequent is counted over all documents and kept as a bitmap of fixed size; a wrong bit only changes the order.
 
-Links need not be found pair by pair: in each round every node of a tile is compared with one pivot, as long as that links
+Components need not be found pair by pair (``links`` does that, where each link is asked for): in each round every node of a tile is compared with one pivot, as long as that links
 any, and tiles whose nodes are all connected are done. What is left goes through size-banded tiles pair by pair: sizes, then the counts
 of differing bits in hashed signatures, bound the overlap from above, and the exact intersection of the sorted
 shingle arrays decides.
@@ -219,6 +219,30 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
     return staged(met.mapInArrow(run, "x binary, y binary"), "linked")
 
 
+def close_pairs(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """(x, y): nodes of one tile of ``rows`` (t, node, comp) with different comp and sizes that allow a link, each pair once."""
+    rows = rows.join(reps.select("node", "n"), "node")
+    rows = staged(rows.withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(1.25))).cast("int")), "open")
+    right = rows.select("t", "band", F.col("node").alias("y"), F.col("comp").alias("yc"), F.col("n").alias("yn"), F.lit(False).alias("below"))
+    right = right.unionByName(right.withColumns({"band": F.col("band") + 1, "below": F.lit(True)}))
+    fits = "comp <> yc and (below or node < y) and 5 * least(n, yn) >= 4 * greatest(n, yn)"
+    return rows.join(right, ["t", "band"]).filter(fits).select(F.col("node").alias("x"), "y").distinct()
+
+
+def links(docs: DataFrame) -> DataFrame:
+    """All links between different sets: (x_doc_id, x_text_hash, y_doc_id, y_text_hash), each once.
+
+    A set stands under the first (null first) doc_id and text_hash of the rows of ``docs`` (doc_id, text) that have it; rows
+    with equal sets are not listed as links. The result grows with the square of a family of near copies.
+    """
+    docs = docs.select("doc_id", "text")
+    reps = representatives(docs)
+    met = tiles(docs, reps)
+    found = verified(docs, reps, staged(close_pairs(met.withColumn("comp", F.col("node")), reps), "asked"))
+    x, y = (reps.select(F.col("node").alias(c), F.col("doc_id").alias(f"{c}_doc_id"), F.col("text_hash").alias(f"{c}_text_hash")) for c in "xy")
+    return found.join(x, "x").join(y, "y").select("x_doc_id", "x_text_hash", "y_doc_id", "y_text_hash")
+
+
 def link_components(docs: DataFrame) -> DataFrame:
     """(node, comp) of every node that is linked with another; comp is the least node of its component."""
     reps = representatives(docs)
@@ -244,12 +268,7 @@ def link_components(docs: DataFrame) -> DataFrame:
         labels = merged(labels, links)
     rows = met.join(labels, "node")
     open_ = rows.groupBy("t").agg(F.min("comp").alias("a"), F.max("comp").alias("z")).filter("a <> z").select("t")
-    rows = rows.join(open_, "t", "left_semi").join(reps.select("node", "n"), "node")
-    rows = staged(rows.withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(1.25))).cast("int")), "open")
-    right = rows.select("t", "band", F.col("node").alias("y"), F.col("comp").alias("yc"), F.col("n").alias("yn"), F.lit(False).alias("below"))
-    right = right.unionByName(right.withColumns({"band": F.col("band") + 1, "below": F.lit(True)}))
-    fits = "comp <> yc and (below or node < y) and 5 * least(n, yn) >= 4 * greatest(n, yn)"
-    pairs = rows.join(right, ["t", "band"]).filter(fits).select(F.col("node").alias("x"), "y").distinct()
+    pairs = close_pairs(rows.join(open_, "t", "left_semi"), reps)
     if tried is not None:
         turned = tried.select(F.col("y").alias("x"), F.col("x").alias("y"))
         pairs = pairs.join(tried, ["x", "y"], "left_anti").join(turned, ["x", "y"], "left_anti")

@@ -207,6 +207,18 @@ def test_jaccard_families(spark, monkeypatch, frequent):
     assert pairs(jaccard.near_duplicates(df), "doc_id", "n_shingles", "component_id") == expected_components(rows)
 
 
+def test_jaccard_links(spark):
+    """Every link of a family of near copies, not only those that connect it."""
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[:at] + [f"e{at}"] + words[at + 1 :]) for at in (5, 20, 35, 50)] + [" ".join(words), " ".join(words), " ".join(words[:58]), "one two", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in enumerate(texts) if t and i != 5 and t != "one two"}
+    want = sorted((i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]))
+    got = [tuple(sorted((r.x_doc_id, r.y_doc_id))) for r in jaccard.links(df).collect()]
+    assert sorted(got) == want and len(want) > len(sets)
+    assert jaccard.links(df.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("few", [200_000, 0])
 def test_components(spark, monkeypatch, few):
     monkeypatch.setattr(components, "BROADCAST_ROWS", few)
