@@ -1,8 +1,9 @@
 """Benchmark decontamination with a distributed positional inverted index, in DataFrame operations only.
 
 The index is a stored table of postings (document, term, position), written by the tasks that read the
-documents, so that a document's postings lie together and building it needs no shuffle. Given a vocabulary it holds
-the postings of those terms. Every document also has one posting of the end mark, at its length.
+documents, so that a document's postings lie together and building it needs no shuffle. It holds every word of every
+document, so that one index serves any test set and proximity search. Every document also has one posting of the end
+mark, at its length.
 
 A phrase is looked up from its rarest terms: the posting lists of its rarest and second rarest term, each shifted
 by the term's place, are intersected, and what is left is compared word by word. Lists of common terms are never
@@ -34,21 +35,13 @@ def words_of(text: Column) -> Column:
 
 
 
-def vocabulary(items: DataFrame) -> DataFrame:
-    """(term, term_id) of the words of ``items`` (words). Ids are hashes; equal hashes of two terms only add candidates."""
-    terms = items.select(F.explode("words").alias("term")).distinct()
-    return terms.select("term", F.xxhash64("term").alias("term_id")).filter(F.col("term_id") != END_TERM)
-
-
-def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """Store the postings (doc_id, text_hash, term_id, pos) of ``docs`` (doc_id, text); of ``terms`` (term, term_id) only, if given."""
+def build_index(docs: DataFrame) -> DataFrame:
+    """Store the postings (doc_id, text_hash, term_id, pos) of ``docs`` (doc_id, text). Term ids are hashes; equal hashes of two
+    terms only add candidates."""
     marked = F.concat(words_of(F.col("text")), F.array(F.lit("")))
     tokens = docs.select("doc_id", text_key(F.col("text")).alias("text_hash"), F.posexplode(marked).alias("pos", "term"))
-    if terms is None:
-        ids = F.when(F.col("term") == "", F.lit(END_TERM)).otherwise(F.xxhash64("term"))
-        return staged(tokens.select("doc_id", "text_hash", ids.cast("long").alias("term_id"), "pos"), "postings")
-    end = docs.sparkSession.createDataFrame([("", END_TERM)], "term string, term_id long")
-    return staged(tokens.join(small(terms.unionByName(end)), "term").select("doc_id", "text_hash", "term_id", "pos"), "postings")
+    ids = F.when(F.col("term") == "", F.lit(END_TERM)).otherwise(F.xxhash64("term"))
+    return staged(tokens.select("doc_id", "text_hash", ids.cast("long").alias("term_id"), "pos"), "postings")
 
 
 def windows_of(items: DataFrame, width: int) -> DataFrame:
@@ -66,7 +59,8 @@ def phrase_hits(index: DataFrame, docs: DataFrame, tests: DataFrame, width: int
     windows = windows_of(items.select("item_key", "words").distinct(), width)
     parts = windows.select("item_key", "off", F.size("words").alias("len"), F.posexplode("words").alias("at", "term"))
     parts = parts.withColumn("term_id", F.xxhash64("term"))
-    df = index.filter(F.col("term_id") != END_TERM).groupBy("term_id").agg(F.count("*").alias("n"))
+    df = index.filter(F.col("term_id") != END_TERM).join(small(parts.select("term_id").distinct()), "term_id", "left_semi")
+    df = df.groupBy("term_id").agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy("item_key", "off").orderBy("n", "at"))
     rare = parts.join(df, "term_id", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("rank", rank).filter("rank <= 2")
     one = F.max(F.when(F.col("rank") == 1, F.struct("term_id", (F.col("off") + F.col("at")).alias("at"), "n")))
@@ -121,15 +115,14 @@ def proximity_hits(index: DataFrame, tests: DataFrame, span: int) -> DataFrame:
     return met.filter(F.col("got") == F.col("need") - 1).select("item_id", "doc_id", "text_hash", F.col("at").alias("pos"))
 
 
-def decontaminate(docs: DataFrame, tests: DataFrame, width: int = WINDOW) -> DataFrame:
+def decontaminate(docs: DataFrame, tests: DataFrame, width: int = WINDOW, index: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, text_hash, n_words, n_hit, n_items, items (sorted ids as text).
 
     Null ids are ids like any other (an item's null id counts as ''); equal rows get equal results; a null text has
-    no words; an item without words hits nothing; further columns are left out.
+    no words; an item without words hits nothing; further columns are left out. ``index`` is that of ``docs``, if there is one already.
     """
     docs = docs.select("doc_id", "text")
-    terms = vocabulary(tests.select(words_of(F.col("text")).alias("words")))
-    index = build_index(docs, terms)
+    index = build_index(docs) if index is None else index
     hits = staged(phrase_hits(index, docs, tests, width), "hits")
     covered = hits.select("doc_id", "text_hash", F.explode(F.expr("sequence(start, start + len - 1)")).alias("pos"))
     covered = covered.distinct().groupBy("doc_id", "text_hash").agg(F.count("*").alias("n_hit"))

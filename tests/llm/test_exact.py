@@ -105,6 +105,19 @@ def test_proximity(spark):
     assert pairs(got, "item_id", "doc_id") == [(7, 1), (7, 3)]
 
 
+def test_index_serves_other_tests(spark, docs, monkeypatch):
+    """The index that decontamination stores holds words that its benchmark lacks, for other test sets and proximity search."""
+    kept, build = [], decontam.build_index
+    monkeypatch.setattr(decontam, "build_index", lambda *a: kept.append(build(*a)) or kept[-1])
+    first, other = (spark.createDataFrame([(1, t)], "item_id long, text string") for t in ("one two", "seven wise owls"))
+    decontam.decontaminate(docs, first).count()
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = decontam.decontaminate(docs, other, index=kept[0])
+    assert len(kept) == 1 and pairs(got, "doc_id", "n_words", "n_hit", "items") == expected_hits(rows, [(1, "seven wise owls")])
+    near = decontam.proximity_hits(kept[0], spark.createDataFrame([(1, "quick dawn")], "item_id long, text string"), 30)
+    assert {1, 2, 3, 4, 17} <= {r.doc_id for r in near.collect()}
+
+
 # ---------------------------------------------------------------- BPE
 
 
