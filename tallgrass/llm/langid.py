@@ -21,8 +21,9 @@ from pyspark.sql.window import Window
 from .common import arrow_type_names, modest, pieces
 
 UNKNOWN = "und"
-#: Bounds of the training sample: texts a language, bytes of a text, landmarks a language. Scoring reads whole texts.
-SAMPLE_PER_LANG, SAMPLE_BYTES, LANDMARKS_PER_LANG = 1000, 20_000, 24
+#: Bounds of the training sample: texts a language, landmarks a language. Training and scoring read whole texts.
+SAMPLE_PER_LANG, LANDMARKS_PER_LANG = 1000, 24
+SIZES = (1, 2, 3)
 RIDGE = 1e-3
 ROWS = 128
 
@@ -57,13 +58,33 @@ def presence(slots: np.ndarray, width: int, n: int, raw: np.ndarray, offs: np.nd
     return m
 
 
-def kernel(model: Model, raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Kernel values of rows against all landmarks."""
+def grams(raw: np.ndarray) -> list[np.ndarray]:
+    """The distinct n-gram codes of a text, per n: all that the kernel sees of it."""
+    return [np.unique(codes(raw, n)) if len(raw) >= n else np.zeros(0, np.int32) for n in SIZES]
+
+
+def presence_of(slots: np.ndarray, width: int, sets: list[np.ndarray]) -> np.ndarray:
+    """``presence`` of rows given as sets of codes."""
+    m = np.zeros((len(sets), width), np.float32)
+    for row, s in zip(m, sets, strict=True):
+        col = slots[s]
+        row[col[col >= 0]] = 1
+    return m
+
+
+def blended(model: Model, presences: list[np.ndarray]) -> np.ndarray:
+    """Kernel values against all landmarks of rows with these presence matrices, one per n."""
     out = 0.0
-    for n, (slots, marks) in enumerate(zip(model.slots, model.marks, strict=True), 1):
-        p = presence(slots, len(marks), n, raw, offs)
+    for p, marks in zip(presences, model.marks, strict=True):
         out = out + (p @ marks) / np.sqrt(np.maximum(p.sum(axis=1, keepdims=True), 1))
-    return out / max(1, len(model.slots)) if model.slots else np.zeros((len(offs) - 1, 0), np.float32)
+    return out / len(presences)
+
+
+def kernel(model: Model, raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Kernel values of rows against all landmarks."""
+    if not model.slots:
+        return np.zeros((len(offs) - 1, 0), np.float32)
+    return blended(model, [presence(s, len(m), n, raw, offs) for n, s, m in zip(SIZES, model.slots, model.marks, strict=True)])
 
 
 def scores(model: Model, raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -78,26 +99,29 @@ def scores(model: Model, raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[bytes], langs: list[str]) -> Model:
     """Learn from lower-cased texts and their languages."""
+    return fit_sets([grams(np.frombuffer(t, np.uint8)) for t in texts], langs)
+
+
+def fit_sets(texts: list[list[np.ndarray]], langs: list[str]) -> Model:
+    """Learn from the ``grams`` of texts and their languages."""
     names = sorted(set(langs))
     if not names:
         return Model([UNKNOWN], [], [], np.zeros((0, 1)), np.ones(1))
     y = np.array([names.index(x) for x in langs])
     marks = np.concatenate([np.flatnonzero(y == k)[:LANDMARKS_PER_LANG] for k in range(len(names))])
-    raws = [np.frombuffer(t, np.uint8) for t in texts]
     slots, mats = [], []
-    for n in (1, 2, 3):
-        grams = np.unique(np.concatenate([codes(raws[i], n) for i in marks if len(raws[i]) >= n] or [np.zeros(0, np.int32)]))
-        s = np.full(256**n, -1, np.int16 if len(grams) < 32_000 else np.int32)
-        s[grams] = np.arange(len(grams))
+    for j, n in enumerate(SIZES):
+        known = np.unique(np.concatenate([texts[i][j] for i in marks]))
+        s = np.full(256**n, -1, np.int16 if len(known) < 32_000 else np.int32)
+        s[known] = np.arange(len(known))
         slots.append(s)
-        offs = np.cumsum([0, *(len(raws[i]) for i in marks)])
-        p = presence(s, len(grams), n, np.concatenate([raws[i] for i in marks]), offs)
+        p = presence_of(s, len(known), [texts[i][j] for i in marks])
         mats.append(np.ascontiguousarray((p / np.sqrt(np.maximum(p.sum(axis=1, keepdims=True), 1))).T))
     model = Model(names, slots, mats, np.zeros((len(marks), len(names))), np.zeros(len(names)))
     k = []
-    for lo in range(0, len(raws), ROWS):
-        part = raws[lo : lo + ROWS]
-        k.append(kernel(model, np.concatenate(part), np.cumsum([0, *map(len, part)])))
+    for lo in range(0, len(texts), ROWS):
+        part = texts[lo : lo + ROWS]
+        k.append(blended(model, [presence_of(s, len(m), [t[j] for t in part]) for j, (s, m) in enumerate(zip(slots, mats, strict=True))]))
     c = np.concatenate(k).astype(np.float64)
     w, v = np.linalg.eigh(c[marks])
     keep = w > 1e-6 * w.max()
@@ -113,7 +137,7 @@ def fit(texts: list[bytes], langs: list[str]) -> Model:
 
 def train(docs: DataFrame) -> Model:
     """Fit on a bounded sample of rows (text, lang) with known language: the SAMPLE_PER_LANG texts of each language
-    with the smallest text hash, of which the first SAMPLE_BYTES bytes count."""
+    with the smallest text hash. Whole texts count; only their sets of n-grams reach the driver."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("h"))
     best = Window.partitionBy("lang").orderBy("h")
     least = known.select("lang", "h").distinct().withColumn("k", F.row_number().over(best)).filter(F.col("k") <= SAMPLE_PER_LANG)
@@ -121,9 +145,18 @@ def train(docs: DataFrame) -> Model:
     if not bounds:
         return fit([], [])
     top = F.coalesce(*(F.when(F.col("lang") == r.lang, F.lit(r.top)) for r in bounds))
-    got = known.filter(F.col("h") <= top).groupBy("lang", "h").agg(F.min(F.lower(F.substring("text", 1, SAMPLE_BYTES))).alias("t"))
-    got = got.toPandas().sort_values(["h", "lang", "t"])
-    return fit([t.encode()[:SAMPLE_BYTES] for t in got.t], list(got.lang))
+    columns = [f"g{n}" for n in SIZES]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, raw, offs in pieces(batches, "t"):
+            sets = [grams(raw[lo:hi]) for lo, hi in zip(offs[:-1], offs[1:], strict=True)]
+            cols = [pa.array([s[j].astype(np.int32).tobytes() for s in sets], pa.binary()) for j in range(len(SIZES))]
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("h"), *cols], ["lang", "h", *columns])
+
+    picked = known.filter(F.col("h") <= top).select("lang", "h", F.lower("text").alias("t"))
+    sets = picked.mapInArrow(run, "lang string, h long, " + ", ".join(f"{c} binary" for c in columns))
+    got = sets.groupBy("lang", "h").agg(F.min(F.struct(*columns)).alias("g")).select("lang", "h", "g.*").toPandas().sort_values(["h", "lang"])
+    return fit_sets([[np.frombuffer(x, np.int32) for x in row] for row in zip(*(got[c] for c in columns), strict=True)], list(got.lang))
 
 
 def predict(df: DataFrame, model: Model) -> DataFrame:

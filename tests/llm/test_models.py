@@ -36,6 +36,15 @@ def test_language_of_awkward_texts(spark, docs, none):
     assert {r.lang_pred for r in langid.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_language_learns_from_whole_texts(spark):
+    """A text that opens in another language teaches what follows as well."""
+    head = "zq " * 9000
+    d = spark.createDataFrame([(head + "the cat and the dog are here with that", "en"), (head + "der Hund und die Katze sind nicht hier", "de")], "text string, lang string")
+    asked = spark.createDataFrame([(1, "the dog and that cat"), (2, "die Katze und der Hund nicht")], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in langid.predict(asked, langid.train(d)).collect()}
+    assert got == {1: "en", 2: "de"}
+
+
 def test_kernel_is_positive():
     texts = [b"der hund lief", b"the cat sat", b"le chat noir"]  # in the order of their languages' names
     m = langid.fit(texts, ["de", "en", "fr"])
