@@ -107,12 +107,13 @@ def packed(df: DataFrame, size: int) -> DataFrame:
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best vectors by inner product, itself left out.
 
-    Both tables are (id: long, v: array of whole doubles); shorter vectors count as filled up with zeros. Ids
-    name rows: they are unique. Fewer than k candidates give fewer rows; ties go to the smaller id.
+    Both tables are (id: long, v: array of whole doubles); shorter vectors count as filled up with zeros. Rows that share
+    an id are candidates each, and as queries ranked together; none of them meets its own id. Fewer than k candidates
+    give fewer rows; ties go to the smaller id.
     """
     n = vectors.count()
-    blocks = staged(packed(vectors.repartition(max(1, -(-n // BLOCK)), "id"), BLOCK), "vectors")
-    asked = packed(queries.repartition(max(1, -(-queries.count() // (4 * QUERIES))), "id"), QUERIES)
+    blocks = staged(packed(vectors.repartition(max(1, -(-n // BLOCK)), "id", "v"), BLOCK), "vectors")
+    asked = packed(queries.repartition(max(1, -(-queries.count() // (4 * QUERIES))), "id", "v"), QUERIES)
     count = blocks.count()
     if not count:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -141,11 +142,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 
 def quantised(df: DataFrame, id_col: str = "vec_id", column: str = "embedding", scale: int = SCALE) -> DataFrame:
     """(id, v): floor(scale * x) of each component as a double. Vectors that are null or hold null or non-finite
-    components, and rows without an id, take no part; of rows with one id the least vector counts."""
+    components, and rows without an id, take no part; all other rows do, whether or not they share an id."""
     finite = F.forall(F.col(column), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     ok = df.filter(F.col(id_col).isNotNull() & F.col(column).isNotNull()).filter(finite)
     whole = F.transform(F.col(column).cast(T.ArrayType(T.DoubleType())), lambda x: F.floor(x * scale).cast("double"))
-    return ok.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(column).alias(column)).select("id", whole.alias("v"))
+    return ok.select(F.col(id_col).cast("long").alias("id"), whole.alias("v"))
 
 
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -322,6 +322,21 @@ def test_topk_of_few(spark):
     assert topk.top_k(two.limit(0), two.limit(0)).count() == 0
 
 
+def test_topk_of_repeated_ids(spark, monkeypatch):
+    """Rows that share an id all count, as queries and as candidates, as in the SQL."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    rng = np.random.default_rng(6)
+    v = [(int(i), rng.normal(0, 0.5, 3).round(1).tolist()) for i in rng.integers(0, 41, 120)]
+    vecs = staged(topk.quantised(spark.createDataFrame(v, "vec_id long, embedding array<double>")), "q")
+    got = {}
+    for r in sorted(topk.top_k(vecs, vecs.filter("id % 20 = 0"), 9).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    use = [(i, np.floor(64 * np.array(x))) for i, x in v]
+    for q in {i for i, _ in v if i % 20 == 0}:
+        best = sorted((-int(a @ b), j) for i, a in use if i == q for j, b in use if j != q)[:9]
+        assert got[q] == [(j, -s) for s, j in best]
+
+
 # ---------------------------------------------------------------- chat
 
 
