@@ -107,12 +107,12 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int) -> Model:
 
 
 def rate(df: DataFrame, model: Model, least: int) -> DataFrame:
-    """``df`` with ``expected_grade`` and ``tail_prob``, the probability of grade ``least`` or better.
+    """``df`` with ``expected_grade``, ``tail_prob``, the probability of grade ``least`` or better, and ``lowest_prob``, that of grade 0.
 
     Null and empty texts have no words: their grade follows from the thresholds alone. Columns with the output
     names are replaced.
     """
-    df = df.drop("expected_grade", "tail_prob")
+    df = df.drop("expected_grade", "tail_prob", "lowest_prob")
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +121,10 @@ def rate(df: DataFrame, model: Model, least: int) -> DataFrame:
             row, col = features(raw, offs)
             z = np.bincount(row, m.weights[col], len(offs) - 1) * scaled(np.bincount(row, minlength=len(offs) - 1))
             p = m.tails(z)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p.sum(axis=1)), pa.array(p[:, least - 1])], [*b.schema.names, "expected_grade", "tail_prob"])
+            made = [pa.array(p.sum(axis=1)), pa.array(p[:, least - 1]), pa.array(1 - p[:, 0])]
+            yield pa.RecordBatch.from_arrays([*b.columns, *made], [*b.schema.names, "expected_grade", "tail_prob", "lowest_prob"])
 
-    return df.mapInArrow(run, arrow_type_names(df) + ", expected_grade double, tail_prob double")
+    return df.mapInArrow(run, arrow_type_names(df) + ", expected_grade double, tail_prob double, lowest_prob double")
 
 
 def grades(labels: DataFrame) -> DataFrame:
@@ -138,4 +139,4 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     modest(spark)
     model = train(docs, grades(spark.read.parquet(f"{sf_dir}/labels.parquet")), 3)
     out = rate(docs, model, 2)
-    return out.select("doc_id", "expected_grade", "tail_prob", (F.col("tail_prob") >= 0.5).alias("keep"))
+    return out.select("doc_id", "expected_grade", "tail_prob", F.col("lowest_prob").alias("toxic_prob"), (F.col("tail_prob") >= 0.5).alias("keep"))

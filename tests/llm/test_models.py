@@ -72,6 +72,13 @@ def test_quality_of_awkward_texts(docs, none):
     assert quality.rate(none, model, 2).count() == 0
 
 
+def test_quality_tells_toxic_from_poor(spark):
+    out = quality.op2_quality(spark, LARGER).join(quality.grades(spark.read.parquet(f"{LARGER}/labels.parquet")), "doc_id").toPandas()
+    assert np.allclose(out.toxic_prob, 1 - (out.expected_grade - out.tail_prob))  # P(grade > 0) + P(grade > 1) is the expected grade
+    toxic, poor = (out[out.grade == g].toxic_prob for g in (0, 1))
+    assert (toxic.to_numpy()[:, None] > poor.to_numpy()).mean() > 0.8
+
+
 def expected_scores(rows, held):
     tok = [re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + [None] for _, t in rows]
     c, b, ch = Counter(), Counter(), Counter()
