@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tallgrass.llm import bpe, decontam, jaccard, langid, substrings
 from tallgrass.llm.common import staged, text_key
 
-#: A document whose best language scores less is rejected.
-LEAST_SCORE = 0.3
+#: A document whose best language scores less is rejected. Chosen from held-out texts and junk with letters (see the README).
+LEAST_SCORE = 0.7
 TOKENIZER = "word_bpe_49k.json"
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from tallgrass.llm import bpe, chat, components, decontam, jaccard, sharding, substrings, topk
+from tallgrass.llm import bpe, chat, components, decontam, jaccard, langid, sharding, substrings, topk
 from tallgrass.llm.common import staged
 
 SF = "/root/testdata/sf0.001"
@@ -378,6 +378,43 @@ def test_chat_random():
     whole()
 
 
+# ---------------------------------------------------------------- pipeline
+
+
+def test_pipeline(spark, tmp_path, tokenizer):
+    """All stages against plain Python, with planted junk, near copies, repeated passages and benchmark passages."""
+    import random
+
+    import corpus_pipeline
+
+    r = random.Random(1)
+    d = pd.read_parquet(f"{SF}/documents.parquet")
+    b = pd.read_parquet(f"{SF}/benchmark.parquet")
+    long = d[d.text.str.len() > 400].text.tolist()
+    item = max(b.text.dropna(), key=len)
+    junk = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(1500)), "".join(r.choice("0123456789abcdef") for _ in range(1500)), "12 34 !", None]
+    new = [*junk, long[0] + " and one end", long[1][:300] + " " + " ".join(long[2].split()[::-1]), item + " " + " ".join(long[3].split()[::-1])]
+    extra = d.iloc[[0] * len(new)].assign(text=new, doc_id=np.arange(len(new)) + int(d.doc_id.max()) + 1)
+    first = int(extra.doc_id.iloc[0])
+    extra["lang"] = [None] * len(junk) + [d.lang.iloc[0]] * (len(new) - len(junk))  # junk has no label to learn from
+    pd.concat([d, extra], ignore_index=True).astype(d.dtypes.to_dict()).to_parquet(tmp_path / "documents.parquet")
+    b.to_parquet(tmp_path / "benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+
+    scored = langid.predict(docs, langid.train(docs.select("text", "lang"))).collect()
+    rows = sorted((x.doc_id, x.text) for x in scored if x.lang_pred != "und" and x.score >= corpus_pipeline.LEAST_SCORE)
+    assert not {i for i, _ in rows} & {first + 2, first + 3} and len(rows) > 0.9 * len(d)
+    keep = {i for i, _, least in expected_components(rows) if i == least}
+    assert len(keep) < len(rows)
+    cuts = [(i, kept.decode(errors="ignore")) for i, _, kept in expected_cuts([x for x in rows if x[0] in keep])]
+    rows = [x for x in cuts if x[1]]
+    clean = {i for i, _, n_hit, _ in expected_hits(rows, list(zip(b.item_id, b.text))) if not n_hit}
+    assert len(clean) < len(rows)
+    want = {i: tokenizer[1].encode(t, add_special_tokens=False).ids for i, t in rows if i in clean}
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(got) == len(want) and {x.doc_id: list(np.frombuffer(x.token_ids, "<u4")) for x in got} == want
+
+
 # ---------------------------------------------------------------- contract queries
 
 

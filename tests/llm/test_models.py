@@ -45,6 +45,21 @@ def test_language_learns_from_whole_texts(spark):
     assert got == {1: "en", 2: "de"}
 
 
+def test_language_stage_rejects_junk(spark):
+    """Junk with letters does not pass the pipeline's first stage; nearly all labelled texts do."""
+    import random
+
+    import corpus_pipeline
+
+    r = random.Random(1)
+    kinds = ["abcdefghijklmnopqrstuvwxyz    ", "0123456789abcdef", "{}[]();=+-*<>_xyzij0123456789  "]
+    junk = [(-1 - i, "".join(r.choice(kinds[i % 3]) for _ in range(1500)), None) for i in range(60)]
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text", "lang").filter("doc_id >= 0")
+    out = corpus_pipeline.language(spark, docs.unionByName(spark.createDataFrame(junk, "doc_id long, text string, lang string")), LARGER)
+    kept = [x.doc_id for x in out.select("doc_id").collect()]
+    assert sum(i < 0 for i in kept) <= 1 and sum(i >= 0 for i in kept) > 0.99 * docs.count()
+
+
 def test_kernel_is_positive():
     texts = [b"der hund lief", b"the cat sat", b"le chat noir"]  # in the order of their languages' names
     m = langid.fit(texts, ["de", "en", "fr"])
