@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -13,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 U64 = np.uint64
 BATCH_BYTES = 1_000_000
@@ -59,18 +61,46 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     with tidy(spark):
         df.select("*").write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
 
 
-#: Tables of at most so many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 200_000
+def forget(*tables: DataFrame) -> None:
+    """Delete what ``staged`` wrote; nothing may read these tables any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Tables of at most so many rows and bytes are broadcast; larger ones are joined by shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32_000_000
+
+
+def width_of(kind: T.DataType, col: Column) -> Column:
+    """About how many bytes a value takes."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(col), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        return F.greatest(F.size(col), F.lit(0)) * 32 + 16
+    return F.lit(16)
 
 
 def small(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast if a count shows that it is small."""
+    """``df``, marked for broadcast if a count of its rows and bytes shows that it is small."""
+    each = sum((width_of(f.dataType, F.col(f"`{f.name}`")) for f in df.schema.fields), F.lit(16))
     with tidy(df.sparkSession):
-        few = df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return F.broadcast(df) if few else df
+        n, size = df.select(each.alias("b")).limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.sum("b")).first()
+    return F.broadcast(df) if n <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else df
+
+
+def trimmed() -> None:
+    """Give a Python worker's free memory back: workers stay, and the next task may be another operator's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def text_key(text: Column) -> Column:
@@ -97,15 +127,16 @@ def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offs - offs[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of the batches that hold about ``limit`` bytes of ``column`` (one row at least), with its buffers."""
+def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES, rows: int = 10 * ROWS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the batches that hold about ``limit`` bytes of ``column`` (one row at least, ``rows`` at most), with its buffers."""
     for b in batches:
         raw, offs = buffers(b.column(column))
         lo = 0
         while lo < b.num_rows:
-            hi = max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1)
+            hi = min(lo + rows, max(lo + 1, int(np.searchsorted(offs, offs[lo] + limit, "right")) - 1))
             yield b.slice(lo, hi - lo), raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
             lo = hi
+    trimmed()
 
 
 def byte_table(delimiters: bytes) -> np.ndarray:

@@ -57,11 +57,3 @@ def components(links: DataFrame) -> DataFrame:
         labels = step.select("node", "comp")
         if step.filter("comp <> was").isEmpty():
             return labels
-
-
-def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` (node, comp) after further ``links`` (x, y) between nodes."""
-    a, b = (labels.select(F.col("node").alias(c), F.col("comp").alias(f"{c}c")) for c in "xy")
-    between = links.join(a, "x").join(b, "y").select(F.col("xc").alias("x"), F.col("yc").alias("y")).filter("x <> y")
-    to = components(between).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-    return staged(labels.join(to, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "labels")

@@ -5,10 +5,16 @@ two sets that overlap enough share one of their first ``n - ceil(0.8 n) + 1``. T
 so that a passage that many documents share makes no tile but for documents that hold little else. Which
 are frequent is counted over all documents and kept as a bitmap of fixed size; a wrong bit only changes the order.
 
-Components need not be found pair by pair (``links`` does that, where each link is asked for): in each round every node of a tile is compared with one pivot, as long as that links
-any, and tiles whose nodes are all connected are done. What is left goes through size-banded tiles pair by pair: sizes, then the counts
-of differing bits in hashed signatures, bound the overlap from above, and the exact intersection of the sorted
-shingle arrays decides.
+A pair would meet in as many tiles as it shares. So shingles with the same nodes make one tile, every node has a home,
+the largest of its tiles, two nodes with the same home are compared there only, and a tile whose nodes all have one other home
+is dropped. A tile of more than BLOCK nodes or BLOCK_BYTES of bitmaps is split into size bands, and these into blocks;
+blocks of one band or of neighbouring ones meet in pairs. In a tile, sizes, then bit counts of hashed signatures bound every
+pair's overlap from above; no pair leaves the tile before it has passed them.
+
+Components need not every link (``links`` returns each): a tile first offers a spanning forest of the pairs that
+passed, the likeliest first, and the exact intersection of sorted shingle arrays decides. Where all of a tile's offers
+link, its other pairs are connected as well. The other tiles are gone through once more, and offer every pair that passed and is
+not yet connected.
 """
 
 from __future__ import annotations
@@ -21,12 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, U64, mix, pieces, small, staged, text_key, tidy, word_hashes
-from .components import components, merged
+from .common import SPACES, U64, forget, mix, pieces, small, staged, text_key, tidy, trimmed, word_hashes
+from .components import components
 
 WORDS = 5
 FREQUENT = 24
-ROUNDS = 12
+#: Bounds of what meets in one task; larger tiles are split.
+BLOCK, BLOCK_BYTES = 4096, 8_000_000
 #: So many sets are compared with one pivot in one task; a pivot with more goes to several.
 GROUP = 5000
 _TOKEN = U64((1 << 48) - 1)
@@ -67,51 +74,41 @@ def prefix_size(n: int) -> int:
 
 
 def signature(s: np.ndarray) -> np.ndarray:
-    """A bitmap with one bit set for each shingle; its size, a power of two, is twice the set's or more. The upper half laid
+    """A bitmap with one bit set for each shingle; its size, a power of two, is four times the set's or more. The upper half laid
     on the lower one is the bitmap of half the size."""
-    bits = np.zeros(1 << max(10, int(2 * len(s) - 1).bit_length()), bool)
+    bits = np.zeros(1 << max(10, int(4 * len(s) - 1).bit_length()), bool)
     bits[(s >> U64(20)).astype(np.int64) & (len(bits) - 1)] = True
-    return np.packbits(bits).view(np.int64)
+    return np.packbits(bits)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_key(F.col("text")).alias("text_hash"), "text")
 
 
-def document_nodes(docs: DataFrame) -> DataFrame:
-    """Store (doc_id, text_hash, node, n) of every row; node is null without words."""
+def document_sets(docs: DataFrame) -> DataFrame:
+    """Store (doc_id, text_hash, node, n, bits, low) of every row: its set's name, size and signature, and a little more than a
+    prefix of its tokens in plain order. All but n are null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, raw, offs in pieces(batches, "text"):
-            sets = shingles(raw, offs)
-            names = pa.array([node_name(s) if len(s) else None for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), names, pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "text_hash", "node", "n"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return staged(keyed(docs).mapInArrow(run, f"doc_id {kind}, text_hash long, node binary, n long"), "nodes")
-
-
-def representatives(docs: DataFrame) -> DataFrame:
-    """Store, for each node, one document (doc_id, text_hash), n, bits and low: a little more than a prefix of tokens in plain order."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, raw, offs in pieces(batches, "text"):
-            sets = shingles(raw, offs)
-            keep = pa.array([i for i, s in enumerate(sets) if len(s)], pa.int32())
-            sets = [s for s in sets if len(s)]
-            if not sets:
-                continue
-            low = []
-            for s in sets:
+            names, sizes, bits, low = [], [], [], []
+            for s in shingles(raw, offs):
                 p = prefix_size(len(s))
+                some = len(s) > 0
+                names.append(node_name(s) if some else None)
+                sizes.append(len(s))
+                bits.append(signature(s).tobytes() if some else None)
                 low.append(np.sort(s & _TOKEN)[: p + p // 8 + 8].astype(np.int64))
-            cols = [b.column(0).take(keep), b.column(1).take(keep), pa.array([node_name(s) for s in sets], pa.binary())]
-            cols += [pa.array([len(s) for s in sets], pa.int64()), lists([signature(s) for s in sets]), lists(low)]
+            cols = [b.column(0), b.column(1), pa.array(names, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary()), lists(low)]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text_hash", "node", "n", "bits", "low"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = keyed(docs).mapInArrow(run, f"doc_id {kind}, text_hash long, node binary, n long, bits array<long>, low array<long>")
-    one = rows.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash", "n", "bits", "low")).alias("r"))
+    return staged(keyed(docs).mapInArrow(run, f"doc_id {kind}, text_hash long, node binary, n long, bits binary, low array<long>"), "sets")
+
+
+def representatives(sets: DataFrame) -> DataFrame:
+    """Store, for each node, one document (doc_id, text_hash), n, bits and low."""
+    one = sets.filter("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash", "n", "bits", "low")).alias("r"))
     return staged(one.select("node", "r.*"), "representatives")
 
 
@@ -139,8 +136,8 @@ def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def tiles(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Store (t, node, c): the nodes of every tile of two nodes or more. Shingles with the same nodes make one tile, named
-    by its nodes; c says how many do."""
+    """Store (t, k, node): the k nodes of every tile of two nodes or more. Shingles with the same nodes make one tile, named
+    by its nodes."""
     marks = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent(reps)))
 
     def hot(t: np.ndarray, packed: np.ndarray) -> np.ndarray:
@@ -174,21 +171,151 @@ def tiles(docs: DataFrame, reps: DataFrame) -> DataFrame:
     rows = prefixes.select("node", F.explode("prefix").alias("t"))
     w = Window.partitionBy("t")
     named = rows.withColumns({"k": F.count("*").over(w), "h": F.bit_xor(F.xxhash64("node")).over(w)}).filter("k > 1")
-    return staged(named.groupBy(F.xxhash64("h", "k").alias("t"), "node").agg(F.count("*").alias("c")), "tiles")
+    out = staged(named.select(F.xxhash64("h", "k").alias("t"), "k", "node").distinct(), "tiles")
+    forget(some)
+    return out
 
 
-def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Store those of ``pairs`` (x, y: nodes) that link: sizes and signatures bound first, sorted arrays decide."""
-    side = reps.select("node", "n", "bits")
-    x, y = (side.select(F.col("node").alias(c), F.col("n").alias(f"{c}n"), F.col("bits").alias(f"{c}b")) for c in "xy")
-    both = pairs.select("x", "y").join(x, "x").join(y, "y").filter("5 * least(xn, yn) >= 4 * greatest(xn, yn)")
-    # sizes within a quarter of each other make bitmaps of equal size, or one of twice the other's
-    halved = "if(size({0}) > size({1}), zip_with(slice({0}, 1, size({1})), slice({0}, size({1}) + 1, size({1})), (p, q) -> p | q), {0})"
-    both = both.withColumns({"xb": F.expr(halved.format("xb", "yb")), "yb": F.expr(halved.format("yb", "xb"))})
-    apart = "aggregate(zip_with({}, {}, (p, q) -> bit_count(p & ~q)), 0, (a, v) -> a + v)"
-    most = F.least(F.expr(f"xn - {apart.format('xb', 'yb')}"), F.expr(f"yn - {apart.format('yb', 'xb')}"))
-    left = staged(both.filter(9 * most >= 4 * (F.col("xn") + F.col("yn"))).select("x", "y"), "pairs")
+def with_homes(met: DataFrame, reps: DataFrame) -> DataFrame:
+    """Store (t, k, node, home, n) of the tiles in which some pair is to be compared."""
+    home = met.groupBy("node").agg(F.max(F.struct("k", "t")).alias("m")).select("node", F.col("m.t").alias("home"))
+    rows = met.join(home.join(reps.select("node", "n"), "node"), "node")
+    rows = staged(rows.select("t", "k", "node", "home", "n"), "homes")
+    elsewhere = rows.groupBy("t").agg(F.min("home").alias("a"), F.max("home").alias("z")).filter("a = z and a <> t").select("t")
+    out = staged(rows.join(elsewhere, "t", "left_anti"), "tiles")
+    forget(rows)
+    return out
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """Store (s, side, t, node, home, n): each row of ``with_homes`` in the meetings s that it takes part in.
 
+    side 0: all pairs of the meeting are compared; 1 and 2: each row of one side with each of the other.
+    """
+    width = F.greatest(F.lit(128), F.col("n"))  # bytes of a signature, at most
+    sized = rows.withColumns({"w": width, "band": F.floor(F.log(F.col("n")) / F.log(F.lit(1.25))).cast("int")})
+    large = sized.groupBy("t").agg(F.count("*").alias("c"), F.sum("w").alias("b")).filter((F.col("c") > BLOCK) | (F.col("b") > BLOCK_BYTES)).select("t")
+    large = staged(large, "large")
+    slim = ("s", "side", "t", "node", "home", "n")
+    whole = sized.join(large, "t", "left_anti").withColumns({"s": F.xxhash64("t"), "side": F.lit(0)}).select(*slim)
+    if large.isEmpty():
+        return staged(whole, "placed")
+    parts = sized.join(large, "t", "left_semi")
+    of = parts.groupBy("t", "band").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("w") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    of = staged(of, "bands")
+    out = None
+    for other in (0, 1, -1):  # the same band, the one above, the one below
+        near = of.select("t", (F.col("band") - other).alias("band"), F.col("blocks").alias("others"))
+        x = parts.join(of, ["t", "band"]).join(near, ["t", "band"])
+        x = x.withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+        if other == 0:
+            name, side = ("t", "band", F.lit(0), F.least("i", "j"), F.greatest("i", "j")), F.when(F.col("i") == F.col("j"), 0).when(F.col("i") < F.col("j"), 1).otherwise(2)
+        elif other == 1:
+            name, side = ("t", "band", F.lit(1), "i", "j"), F.lit(1)
+        else:
+            name, side = ("t", F.col("band") - 1, F.lit(1), "j", "i"), F.lit(2)
+        x = x.withColumns({"s": F.xxhash64(*name), "side": side.cast("int")}).select(*slim)
+        out = x if out is None else out.unionByName(x)
+    return staged(whole.unionByName(out), "placed")
+
+
+def passed(t: int, side: np.ndarray, home: np.ndarray, comp: np.ndarray, n: np.ndarray, bits: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Rows i, j of one meeting, in ascending order of n, whose sizes and signatures allow a link, and how far they do."""
+    wide = np.array([len(x) for x in bits])
+    of = []
+    for m in np.unique(wide):
+        a, b, c = np.searchsorted(wide, (m, m + 1, 2 * m + 1))
+        table = np.frombuffer(b"".join(bits[a:c]), np.uint8)
+        lower, upper = table[: (b - a) * m].reshape(-1, m), table[(b - a) * m :].reshape(-1, 2, m)
+        table = np.concatenate((lower, upper[:, 0] | upper[:, 1])).view(np.uint64)
+        ones = np.bitwise_count(table).sum(axis=1, dtype=np.int64)
+        ends = np.searchsorted(n, n[a:b] * 5 // 4, "right")
+        for i in range(a, b):
+            j = np.arange(i + 1, ends[i - a])
+            fit = comp[j] != comp[i]
+            if home[i] != t:
+                fit &= home[j] != home[i]
+            if side[i]:
+                fit &= side[j] != side[i]
+            j = j[fit]
+            if not len(j):
+                continue
+            both = np.bitwise_count(table[j - a] & table[i - a]).sum(axis=1, dtype=np.int64)
+            most = np.minimum(n[i] - ones[i - a] + both, n[j] - ones[j - a] + both)
+            slack = 9 * most - 4 * (n[i] + n[j])
+            keep = slack >= 0
+            if keep.any():
+                j = j[keep]
+                of.append((np.full(len(j), i), j, slack[keep] / (n[i] + n[j])))
+    return tuple(np.concatenate(x) for x in zip(*of, strict=True)) if of else (np.zeros(0, np.int64),) * 3
+
+
+def forest(i: np.ndarray, j: np.ndarray, slack: np.ndarray, comp: np.ndarray) -> list[int]:
+    """Which of the pairs (i, j) make a spanning forest over ``comp``, those with most slack first."""
+    above = np.arange(comp.max() + 1).tolist()
+    left = len(np.unique(comp[np.concatenate((i, j))])) - 1
+    kept = []
+    for k in np.argsort(-slack, kind="stable").tolist():
+        x, y = comp[i[k]], comp[j[k]]
+        while above[x] != x:
+            above[x] = above[above[x]]
+            x = above[x]
+        while above[y] != y:
+            above[y] = above[above[y]]
+            y = above[y]
+        if x != y:
+            above[x] = y
+            kept.append(k)
+            if len(kept) == left:
+                break
+    return kept
+
+
+def offered(rows: DataFrame, reps: DataFrame, labels: DataFrame | None, every: bool) -> DataFrame:
+    """Store (s, x, y): pairs of ``rows`` (of ``placed``), x < y, that sizes and signatures let pass and ``labels`` (node, comp) don't
+    connect; of each meeting a spanning forest, or every one."""
+    rows = rows.join(reps.select("node", "bits"), "node")
+    rows = rows.join(labels, "node", "left") if labels is not None else rows.withColumn("comp", F.lit(None).cast("binary"))
+    rows = rows.select("s", "t", "side", "home", "n", "node", F.coalesce("comp", "node").alias("comp"), "bits")
+    rows = rows.repartition("s").sortWithinPartitions("s", "t", "n")
+
+    def meeting(s: int, t: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        table = pa.Table.from_batches(parts)
+        names = table.column("node").to_pylist()
+        seen: dict[bytes, int] = {}
+        comp = np.array([seen.setdefault(x, len(seen)) for x in table.column("comp").to_pylist()])
+        i, j, slack = passed(t, *(np.asarray(table.column(c)) for c in ("side", "home")), comp, np.asarray(table.column("n")), table.column("bits").to_pylist())
+        if not len(i):
+            return None
+        if not every:
+            k = forest(i, j, slack, comp)
+            i, j = i[k], j[k]
+        two = [sorted((names[a], names[b])) for a, b in zip(i.tolist(), j.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([s] * len(two), pa.int64()), *(pa.array([x[k] for x in two], pa.binary()) for k in (0, 1))], ["s", "x", "y"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, parts = None, []
+        for b in batches:
+            s, t = np.asarray(b.column("s")), np.asarray(b.column("t"))
+            cuts = np.flatnonzero((s[1:] != s[:-1]) | (t[1:] != t[:-1])) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(s)], strict=True):
+                if lo == hi:
+                    continue
+                if key != (s[lo], t[lo]):
+                    if len(parts) and (out := meeting(*key, parts)):
+                        yield out
+                    key, parts = (s[lo], t[lo]), []
+                parts.append(b.slice(lo, hi - lo))
+        if parts and (out := meeting(*key, parts)):
+            yield out
+        trimmed()
+
+    return staged(rows.mapInArrow(run, "s long, x binary, y binary"), "offered")
+
+
+def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Store those of ``pairs`` (x, y: nodes) that link: the intersection of sorted arrays decides."""
+    left = staged(pairs.select("x", "y").distinct(), "pairs")
     # all x of one y meet in a group, at most GROUP of them; each group has y's text once
     sized = left.join(left.groupBy("y").agg(F.count("*").alias("k")), "y")
     part = F.pmod(F.xxhash64("x"), F.ceil(F.col("k") / GROUP)).cast("int").alias("part")
@@ -219,14 +346,13 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
     return staged(met.mapInArrow(run, "x binary, y binary"), "linked")
 
 
-def close_pairs(rows: DataFrame, reps: DataFrame) -> DataFrame:
-    """(x, y): nodes of one tile of ``rows`` (t, node, comp) with different comp and sizes that allow a link, each pair once."""
-    rows = rows.join(reps.select("node", "n"), "node")
-    rows = staged(rows.withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(1.25))).cast("int")), "open")
-    right = rows.select("t", "band", F.col("node").alias("y"), F.col("comp").alias("yc"), F.col("n").alias("yn"), F.lit(False).alias("below"))
-    right = right.unionByName(right.withColumns({"band": F.col("band") + 1, "below": F.lit(True)}))
-    fits = "comp <> yc and (below or node < y) and 5 * least(n, yn) >= 4 * greatest(n, yn)"
-    return rows.join(right, ["t", "band"]).filter(fits).select(F.col("node").alias("x"), "y").distinct()
+def met_in_tiles(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """``placed`` of all nodes."""
+    met = tiles(docs, reps)
+    homes = with_homes(met, reps)
+    out = placed(homes)
+    forget(met, homes)
+    return out
 
 
 def links(docs: DataFrame) -> DataFrame:
@@ -236,47 +362,27 @@ def links(docs: DataFrame) -> DataFrame:
     with equal sets are not listed as links. The result grows with the square of a family of near copies.
     """
     docs = docs.select("doc_id", "text")
-    reps = representatives(docs)
-    met = tiles(docs, reps)
-    found = verified(docs, reps, staged(close_pairs(met.withColumn("comp", F.col("node")), reps), "asked"))
+    reps = representatives(document_sets(docs))
+    found = verified(docs, reps, offered(met_in_tiles(docs, reps), reps, None, True))
     x, y = (reps.select(F.col("node").alias(c), F.col("doc_id").alias(f"{c}_doc_id"), F.col("text_hash").alias(f"{c}_text_hash")) for c in "xy")
     return found.join(x, "x").join(y, "y").select("x_doc_id", "x_text_hash", "y_doc_id", "y_text_hash")
 
 
-def link_components(docs: DataFrame) -> DataFrame:
+def link_components(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """(node, comp) of every node that is linked with another; comp is the least node of its component."""
-    reps = representatives(docs)
-    met = tiles(docs, reps)
-    labels = staged(met.select("node").distinct().select("node", F.col("node").alias("comp")), "labels")
-    tried = None
-    for r in range(ROUNDS):
-        rows = met.join(labels, "node")
-        pivot = F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("h"), "node", "comp")).alias("p")
-        open_ = rows.groupBy("t").agg(pivot, F.min("comp").alias("a"), F.max("comp").alias("z")).filter("a <> z")
-        open_ = open_.select("t", F.col("p.node").alias("y"), F.col("p.comp").alias("yc"))
-        pairs = rows.join(open_, "t").filter("comp <> yc").groupBy(F.col("node").alias("x"), "y").agg(F.sum("c").alias("c"))
-        if tried is not None:
-            pairs = pairs.join(tried, ["x", "y"], "left_anti")
-        pairs = pairs.groupBy("x").agg(F.max(F.struct("c", "y")).alias("m")).select("x", "m.y")
-        pairs = staged(pairs, "asked")
-        if pairs.isEmpty():
-            break
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = verified(docs, reps, pairs)
-        if links.isEmpty():
-            break
-        labels = merged(labels, links)
-    rows = met.join(labels, "node")
-    open_ = rows.groupBy("t").agg(F.min("comp").alias("a"), F.max("comp").alias("z")).filter("a <> z").select("t")
-    pairs = close_pairs(rows.join(open_, "t", "left_semi"), reps)
-    if tried is not None:
-        turned = tried.select(F.col("y").alias("x"), F.col("x").alias("y"))
-        pairs = pairs.join(tried, ["x", "y"], "left_anti").join(turned, ["x", "y"], "left_anti")
-    pairs = staged(pairs, "asked")
-    if pairs.isEmpty():
-        return labels
-    links = verified(docs, reps, pairs)
-    return labels if links.isEmpty() else merged(labels, links)
+    reps = representatives(sets)
+    rows = met_in_tiles(docs, reps)
+    first = offered(rows, reps, None, False)
+    linked = verified(docs, reps, first)
+    labels = components(linked)
+    failed = staged(first.join(linked, ["x", "y"], "left_anti"), "failed")
+    if not failed.isEmpty():
+        rest = offered(rows.join(failed.select("s").distinct(), "s", "left_semi"), reps, labels, True)
+        more = verified(docs, reps, rest.join(failed.select("x", "y").distinct(), ["x", "y"], "left_anti"))
+        if not more.isEmpty():
+            labels = components(linked.unionByName(more))
+    forget(rows, reps)
+    return labels
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -287,9 +393,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     out of the minimum; rows with equal ids but different texts are different documents; further columns are left out.
     """
     docs = docs.select("doc_id", "text")
-    nodes = document_nodes(docs)
-    labels = link_components(docs)
-    named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("comp", "node"))
+    sets = document_sets(docs)
+    labels = link_components(docs, sets)
+    named = sets.select("doc_id", "text_hash", "node", "n").join(labels, "node", "left").withColumn("component", F.coalesce("comp", "node"))
     least = named.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     out = named.join(least, "component", "left")
     own = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least"))

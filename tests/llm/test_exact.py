@@ -199,10 +199,11 @@ def test_jaccard_of_nothing(none):
     assert jaccard.near_duplicates(none).count() == 0
 
 
-@pytest.mark.parametrize("frequent", [64, 2])
-def test_jaccard_families(spark, monkeypatch, frequent):
-    """Chains and families of near copies around the threshold, with passages that many documents share."""
-    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+@pytest.mark.parametrize(("frequent", "block", "size"), [(64, 4096, 8_000_000), (2, 4096, 8_000_000), (64, 3, 8_000_000), (2, 4096, 600)])
+def test_jaccard_families(spark, monkeypatch, frequent, block, size):
+    """Chains and families of near copies around the threshold, with passages that many documents share, in whole and split tiles."""
+    for name, value in (("FREQUENT", frequent), ("BLOCK", block), ("BLOCK_BYTES", size)):
+        monkeypatch.setattr(jaccard, name, value)
     rng = np.random.default_rng(3)
     shared = [f"s{i}" for i in range(40)]
     rows = []
@@ -220,18 +221,35 @@ def test_jaccard_families(spark, monkeypatch, frequent):
     assert pairs(jaccard.near_duplicates(df), "doc_id", "n_shingles", "component_id") == expected_components(rows)
 
 
-def test_jaccard_links(spark):
+def test_jaccard_links(spark, monkeypatch):
     """Every link of a family of near copies, not only those that connect it."""
     words = [f"w{i}" for i in range(60)]
     texts = [" ".join(words[:at] + [f"e{at}"] + words[at + 1 :]) for at in (5, 20, 35, 50)] + [" ".join(words), " ".join(words), " ".join(words[:58]), "one two", "", None]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in enumerate(texts) if t and i != 5 and t != "one two"}
     want = sorted((i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]))
-    got = [tuple(sorted((r.x_doc_id, r.y_doc_id))) for r in jaccard.links(df).collect()]
-    assert sorted(got) == want and len(want) > len(sets)
+    for block in (4096, 2):
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        got = [tuple(sorted((r.x_doc_id, r.y_doc_id))) for r in jaccard.links(df).collect()]
+        assert sorted(got) == want and len(want) > len(sets)
     assert jaccard.links(df.limit(0)).count() == 0
 
 
+def test_signatures_bound_overlaps_from_above():
+    """Whatever links passes the bound, at equal and at doubled signature sizes."""
+    rng = np.random.default_rng(5)
+    for n in (5, 60, 255, 257, 1000, 1500, 2100):
+        sets = [np.unique(rng.integers(0, 1 << 63, n, np.uint64))]
+        sets += [np.unique(np.concatenate((sets[0][rng.random(n) < keep], rng.integers(0, 1 << 63, int(n * more), np.uint64)))) for keep in (1, 0.95, 0.9, 0.8, 0.5) for more in (0, 0.05, 0.1, 0.24)]
+        sets.sort(key=len)
+        m = len(sets)
+        i, j, slack = jaccard.passed(1, np.zeros(m, int), np.ones(m, int), np.arange(m), np.array([len(s) for s in sets]), [jaccard.signature(s).tobytes() for s in sets])
+        both = lambda a, b: len(np.intersect1d(sets[a], sets[b]))
+        want = {(a, b) for a in range(m) for b in range(a + 1, m) if 100 * both(a, b) >= 80 * len(np.union1d(sets[a], sets[b]))}
+        assert want <= set(zip(i.tolist(), j.tolist(), strict=True)) and want
+        assert len(jaccard.forest(i, j, slack, np.arange(m))) <= m - 1
+
+
 @pytest.mark.parametrize("few", [200_000, 0])
 def test_components(spark, monkeypatch, few):
     monkeypatch.setattr(components, "BROADCAST_ROWS", few)
