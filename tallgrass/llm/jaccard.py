@@ -190,14 +190,17 @@ def with_homes(met: DataFrame, reps: DataFrame) -> DataFrame:
 def placed(rows: DataFrame) -> DataFrame:
     """Store (s, side, t, node, home, n): each row of ``with_homes`` in the meetings s that it takes part in.
 
-    side 0: all pairs of the meeting are compared; 1 and 2: each row of one side with each of the other.
+    side 0: all pairs of the meeting are compared; 1 and 2: each row of one side with each of the other. Rows without another
+    of a size that allows a link are left out.
     """
     width = F.greatest(F.lit(128), F.col("n"))  # bytes of a signature, at most
     sized = rows.withColumns({"w": width, "band": F.floor(F.log(F.col("n")) / F.log(F.lit(1.25))).cast("int")})
     large = sized.groupBy("t").agg(F.count("*").alias("c"), F.sum("w").alias("b")).filter((F.col("c") > BLOCK) | (F.col("b") > BLOCK_BYTES)).select("t")
     large = staged(large, "large")
     slim = ("s", "side", "t", "node", "home", "n")
-    whole = sized.join(large, "t", "left_anti").withColumns({"s": F.xxhash64("t"), "side": F.lit(0)}).select(*slim)
+    by_size = Window.partitionBy("t").orderBy("n")  # at most BLOCK rows
+    alone = (F.coalesce(4 * F.lead("n").over(by_size) > 5 * F.col("n"), F.lit(True))) & (F.coalesce(5 * F.lag("n").over(by_size) < 4 * F.col("n"), F.lit(True)))
+    whole = sized.join(large, "t", "left_anti").withColumns({"alone": alone, "s": F.xxhash64("t"), "side": F.lit(0)}).filter("not alone").select(*slim)
     if large.isEmpty():
         return staged(whole, "placed")
     parts = sized.join(large, "t", "left_semi")
