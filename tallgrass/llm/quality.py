@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, arrow_type_names, modest, pieces, word_hashes
+from .common import SPACES, arrow_type_names, modest, pieces, text_key, word_hashes
 
 BITS = 18
 #: Bound of the training sample: rated rows a grade.
 SAMPLE_PER_GRADE = 3000
-STEPS, DECAY = 400, 1e-5
+#: The sample is chosen from each of so many parts of a grade first.
+PARTS = 64
+STEPS, SPARSE = 300, 3e-5
 
 
 @dataclass
@@ -48,7 +50,8 @@ def scaled(n: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[np.ndarray], grades: np.ndarray, shares: np.ndarray) -> Model:
-    """Maximum likelihood with weight decay, by accelerated gradient steps of the length that the data's curvature allows.
+    """Maximum likelihood with a penalty SPARSE on absolute weights, which rare words do not overcome, by accelerated
+    proximal gradient steps of the length that the data's curvature allows.
 
     rows: each text's hashed words. shares: of each grade among all ratings; the sample counts in that proportion.
     """
@@ -69,13 +72,14 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, shares: np.ndarray) -> Model
         u = np.bincount(row, back(u * weight[:, 0])[col] * val, n)
         top = float(np.linalg.norm(u)) or 1.0
         u /= top
-    step = 1 / (0.25 * (k - 1) * top + DECAY)
+    step = 1 / (0.25 * (k - 1) * top)
     w = ahead = np.zeros(1 << BITS)
     t = ahead_t = np.arange(k - 1) - 1.0
     for i in range(1, STEPS + 1):
         z = np.bincount(row, ahead[col] * val, n)
         d = (1 / (1 + np.exp(-np.clip(z[:, None] - ahead_t, -40, 40))) - y) * weight
-        new = ahead - step * (back(d.sum(axis=1)) + DECAY * ahead)
+        new = ahead - step * back(d.sum(axis=1))
+        new = np.sign(new) * np.maximum(np.abs(new) - step * SPARSE, 0)
         new_t = np.maximum.accumulate(ahead_t + min(step, 2.0) * d.sum(axis=0)) + 1e-6 * np.arange(k - 1)
         ahead, ahead_t = new + i / (i + 3) * (new - w), new_t + i / (i + 3) * (new_t - t)
         w, t = new, new_t
@@ -83,26 +87,30 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, shares: np.ndarray) -> Model
 
 
 def train(docs: DataFrame, ratings: DataFrame, n_grades: int) -> Model:
-    """Fit on ``docs`` (doc_id, text) with ``ratings`` (doc_id, grade 0 to n_grades - 1; of several the least counts).
+    """Fit on ``docs`` (doc_id, text) with ``ratings`` (doc_id, grade 0 to n_grades - 1; of several the least counts; of several texts the one with the least hash).
 
     The sample is bounded: the SAMPLE_PER_GRADE rated ids of each grade with the smallest hash.
     """
     rated = ratings.filter(F.col("grade").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("grade").alias("grade"))
     counts = {r.grade: r.n for r in rated.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     shares = np.array([counts.get(g, 0) for g in range(n_grades)], float) / max(1, sum(counts.values()))
-    order = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
-    few = rated.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= SAMPLE_PER_GRADE).select("doc_id", "grade")
+    # a grade may have any share of the rows: the least of each part first, then the least of those
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    parts = rated.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS)))
+    least = parts.withColumn("k", F.row_number().over(Window.partitionBy("grade", "part").orderBy(*order))).filter(F.col("k") <= SAMPLE_PER_GRADE)
+    few = least.withColumn("k", F.row_number().over(Window.partitionBy("grade").orderBy(*order))).filter(F.col("k") <= SAMPLE_PER_GRADE).select("doc_id", "grade")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, raw, offs in pieces(batches, "text"):
             row, col = features(raw, offs)
             at = np.searchsorted(row, np.arange(len(offs)))
             words = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(col.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("grade"), words], ["doc_id", "grade", "words"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("h"), b.column("grade"), words], ["doc_id", "h", "grade", "words"])
 
-    picked = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")  # at most SAMPLE_PER_GRADE rows a grade
+    picked = docs.select("doc_id", text_key(F.col("text")).alias("h"), "text").join(F.broadcast(few), "doc_id")  # at most SAMPLE_PER_GRADE rows a grade
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = picked.mapInArrow(run, f"doc_id {kind}, grade int, words array<int>").dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
+    sets = picked.mapInArrow(run, f"doc_id {kind}, h long, grade int, words array<int>").groupBy("doc_id").agg(F.min(F.struct("h", "grade", "words")).alias("m"))
+    got = sets.select("doc_id", "m.*").orderBy("doc_id").toArrow()
     return fit([np.asarray(x) for x in got.column("words").to_pylist()], np.asarray(got.column("grade"), dtype=np.int64), shares)
 
 
