@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,8 +35,9 @@ TOP = 5
 FREED = 0.01
 END, START, UNKNOWN = U64(0xE4D), U64(0x57A47), U64(0xFFFFFFFFFFFFFFFF)
 BROADCAST_WORDS = 8_000_000
-PIECE_BYTES = 4_000_000
-BUCKET_EVENTS = 1_000_000
+#: Of a piece of the corpus. A row's number in its piece has 16 bits.
+PIECE_BYTES, PIECE_ROWS = 2_000_000, 60_000
+BUCKET_EVENTS = 500_000
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -87,14 +89,17 @@ def tokens(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    """(rows' batches, their tokens) of about PIECE_BYTES of text each."""
+    """(rows' batches, their tokens) of about PIECE_BYTES of text each, and PIECE_ROWS rows at most."""
     parts, toks, size, rows = [], [], 0, 0
-    for b, raw, offs in pieces(batches, "text"):
+    for b, raw, offs in pieces(batches, "text", rows=PIECE_ROWS):
+        if rows + b.num_rows > PIECE_ROWS:
+            yield parts, toks
+            parts, toks, size, rows = [], [], 0, 0
         parts.append(b.drop_columns(["text"]) if hasattr(b, "drop_columns") else b.select([c for c in b.schema.names if c != "text"]))
         prev, cur, row = tokens(raw, offs)
         toks.append((prev, cur, row + rows))
         rows, size = rows + b.num_rows, size + len(raw)
-        if size >= PIECE_BYTES or rows >= 60_000:
+        if size >= PIECE_BYTES:
             yield parts, toks
             parts, toks, size, rows = [], [], 0, 0
     if parts:
@@ -369,7 +374,9 @@ def scored(docs: DataFrame, held_out: Column, broadcast_words: int = BROADCAST_W
         def both(key: tuple, left: pa.Table, right: pa.Table) -> Iterator[pa.RecordBatch]:
             w, c = np.asarray(right.column("w")).view(U64), np.asarray(right.column("c"))
             by = np.argsort(w)
-            for k, (parts, toks) in enumerate(gathered(iter(left.drop_columns(["g"]).to_batches()))):
+            # the rows of a group come in any order; a task that runs again must number them as before
+            left = left.take(pa.compute.sort_indices(left, [("doc_id", "ascending"), ("text", "ascending")])).drop_columns(["g"])
+            for k, (parts, toks) in enumerate(gathered(iter(left.combine_chunks().to_batches()))):
                 yield from rows_of(key[0].as_py() << 32 | k, parts, toks, w[by], c[by])
 
         def grouped(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
