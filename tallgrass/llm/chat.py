@@ -131,16 +131,16 @@ def conversations(turns: DataFrame) -> DataFrame:
                 done.append((key, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4]))
 
         for b in frames:
-            for conv, rendered in zip(b.column("conv_id").to_pylist(), b.column("rendered").to_pylist(), strict=True):
+            for conv, rendered, lo, hi in zip(*(b.column(c).to_pylist() for c in ("conv_id", "rendered", "loss_from", "loss_to")), strict=True):
                 if not began or conv != key:
                     close()
                     key, began, state = conv, True, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                 for role, text, _, _ in parse(rendered):
                     state[0] += 1
                     state[1].update(f"{role}\n{text}\n".encode())
-                    if role == "assistant":
-                        state[2] += len(text)
-                        state[3].update(text.encode())
+                masked = unescape(rendered[lo:hi])
+                state[2] += len(masked)
+                state[3].update(masked.encode())
                 state[4] += len(rendered)
             if done:
                 yield _frame(done, b.schema.field("conv_id").type)
@@ -149,9 +149,9 @@ def conversations(turns: DataFrame) -> DataFrame:
         if done:
             yield _frame(done, pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64())
 
-    turns = turns.select("conv_id", "turn", "role", "text", "rendered")
+    turns = turns.select("conv_id", "turn", "role", "text", "rendered", "loss_from", "loss_to")
     turns = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return turns.select("conv_id", "rendered").mapInArrow(run, schema)
+    return turns.select("conv_id", "rendered", "loss_from", "loss_to").mapInArrow(run, schema)
 
 
 def _frame(rows: list[tuple], key: pa.DataType) -> pa.RecordBatch:
@@ -161,8 +161,8 @@ def _frame(rows: list[tuple], key: pa.DataType) -> pa.RecordBatch:
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The contract query: all conversations and the fixed conversation -7."""
+    """The contract query: all conversations and the fixed conversation -7, which stays apart from one of that id in the table."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     fixed = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", fixed), (-7, 1, "assistant", fixed)], rows.schema)
-    return conversations(format_turns(rows.unionByName(extra)))
+    return conversations(format_turns(rows)).unionByName(conversations(format_turns(extra)))
