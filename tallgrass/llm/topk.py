@@ -112,8 +112,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     give fewer rows; ties go to the smaller id.
     """
     n = vectors.count()
-    blocks = staged(packed(vectors.repartition(max(1, -(-n // BLOCK)), "id", "v"), BLOCK), "vectors")
-    asked = packed(queries.repartition(max(1, -(-queries.count() // (4 * QUERIES))), "id", "v"), QUERIES)
+    blocks = staged(packed(vectors.coalesce(max(1, -(-n // BLOCK))), BLOCK), "vectors")  # full blocks, however small the input's partitions
+    asked = packed(queries.coalesce(max(1, -(-queries.count() // (4 * QUERIES)))), QUERIES)
     count = blocks.count()
     if not count:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
