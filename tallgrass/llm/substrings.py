@@ -123,7 +123,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
     """(doc_id, text_hash, spans): the maximal runs [lo, hi) of bytes to remove, in order, of each text that has any."""
     key = ("doc_id", "text_hash")
     all_ = context_table(docs, window)
-    twice = all_.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
+    # stored, so that the join stands alone and the rows of one common anchor can be split among tasks
+    twice = staged(all_.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor"), "twice")
     again = staged(all_.join(twice, "anchor", "left_semi"), "repeated")
     one = F.min(F.struct(*key, "lo", "n")).alias("one")
     kinds = staged(again.groupBy("anchor", "context").agg(F.count("*").alias("c"), one), "kinds")
@@ -165,18 +166,19 @@ def remove_repeats(df: DataFrame, window: int = WINDOW) -> DataFrame:
     """``df`` (doc_id, text, ...) with ``spans`` (array of lo, hi: byte runs that repeat) and ``kept`` (binary: the other bytes).
 
     Null texts are empty; texts shorter than a window keep all; equal rows repeat each other; a null id is an id.
-    Columns with the output names are replaced.
+    Columns with the output names are replaced; no other column is touched.
     """
-    df = df.drop("spans", "kept", "text_hash")
+    df = df.drop("spans", "kept")
     found = staged(repeated_spans(df.select("doc_id", "text"), window), "spans")
-    out = keyed_join(df.withColumn("text_hash", text_key(F.col("text"))), found, "left").drop("text_hash")
+    side = small(found.select(F.struct("doc_id", "text_hash").alias("spans_key"), "spans"))
+    own = F.struct(df.doc_id, text_key(df.text).alias("text_hash"))
+    out = df.join(side, own.eqNullSafe(side.spans_key), "left").drop(side.spans_key)
     out = out.withColumn("spans", F.coalesce("spans", F.expr("cast(array() as array<struct<lo:int,hi:int>>)")))
-    out = out.withColumn("_b", bytes_of(F.col("text")))
     gaps = (
-        "aggregate(spans, struct(cast('' as binary) as b, 0 as at), (a, x) -> struct(concat(a.b, substring(_b, a.at + 1, x.lo - a.at)) as b, x.hi as at), "
-        "a -> concat(a.b, substring(_b, a.at + 1, octet_length(_b) - a.at)))"
-    )
-    return out.withColumn("kept", F.expr(gaps)).drop("_b")
+        "aggregate(spans, struct(cast('' as binary) as b, 0 as at), (a, x) -> struct(concat(a.b, substring({0}, a.at + 1, x.lo - a.at)) as b, x.hi as at), "
+        "a -> concat(a.b, substring({0}, a.at + 1, octet_length({0}) - a.at)))"
+    ).format("coalesce(cast(text as binary), cast('' as binary))")
+    return out.withColumn("kept", F.expr(gaps))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
