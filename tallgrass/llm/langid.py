@@ -166,15 +166,16 @@ def predict(df: DataFrame, model: Model) -> DataFrame:
     """
     df = df.drop("lang_pred", "score")
     names = df.columns
-    asked = df.withColumn("_t", F.when(F.col("text").rlike(r"\p{L}"), F.lower("text")))
+    lowered = "_t" + "_" * max(map(len, names))  # no column's name
+    asked = df.withColumn(lowered, F.when(F.col("text").rlike(r"\p{L}"), F.lower("text")))
     sent = df.sparkSession.sparkContext.broadcast(model)
     schema = arrow_type_names(df) + ", lang_pred string, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for b, raw, offs in pieces(batches, "_t"):
+        for b, raw, offs in pieces(batches, lowered):
             p = scores(m, raw, offs)
-            best, none = p.argmax(axis=1), np.asarray(b.column("_t").is_null())
+            best, none = p.argmax(axis=1), np.asarray(b.column(lowered).is_null())
             lang = [UNKNOWN if z else m.langs[i] for z, i in zip(none, best, strict=True)]
             score = np.where(none, 0.0, p[np.arange(len(best)), best]).astype(np.float64)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(lang, pa.string()), pa.array(score)], [*names, "lang_pred", "score"])
