@@ -433,6 +433,25 @@ def test_pipeline(spark, tmp_path, tokenizer):
     assert len(got) == len(want) and {x.doc_id: list(np.frombuffer(x.token_ids, "<u4")) for x in got} == want
 
 
+def test_stages_leave_columns_alone(spark, tmp_path):
+    """Columns named like those of the operators, nulls, empty texts, repeated rows, and a U+FFFD of a text's own."""
+    import corpus_pipeline
+
+    pd.read_parquet(f"{SF}/benchmark.parquet").to_parquet(tmp_path / "benchmark.parquet")
+    names = ("doc_id", "text", "lang", "text_hash", "spans", "kept", "score", "lang_pred", "_t", "key", "c1", "row", "node", "n.x", "n_chars")
+    twice = "ä" + "so this is a passage that stands in two of the texts and is cut from both of them " * 4
+    texts = ["one short text with a mark \ufffd in it " + twice, "another text of some words \x1a1 \ufffd " + twice, "a third one, quite alone here", "a third one, quite alone here", "", None]
+    rows = [(i if i != 3 else 2, t, "en", *("x" for _ in names[3:-1]), 7) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"`{c}` string" for c in names[3:-1]) + ", n_chars int")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.schema.names == docs.schema.names and all(set(r[3:-1]) == {"x"} for r in out.collect())
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    left = {r.doc_id: r.text for r in corpus_pipeline.repeated_substrings(spark, docs, str(tmp_path)).collect()}
+    assert left == {0: texts[0].replace(" " + twice, ""), 1: texts[1].replace(" " + twice, ""), 2: texts[2]}  # the blank before it repeats, too
+    assert sorted(str(r.text) for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()) == sorted(map(str, [*texts[:3], *texts[4:]]))
+
+
 # ---------------------------------------------------------------- contract queries
 
 
