@@ -12,17 +12,58 @@ class NotReadOnly(ValueError):
     """The statement is more than a query."""
 
 
+#: Operators that a served query may have; a plan with any other is no query.
+OPERATORS = {
+    "Aggregate", "CTERelationDef", "CTERelationRef", "Distinct", "Except", "Filter", "Generate", "GlobalLimit", "Intersect", "Join", "LateralJoin", "LocalLimit", "LocalRelation",
+    "Offset", "OneRowRelation", "Pivot", "Project", "Range", "ResolvedInlineTable", "Sample", "Sort", "SubqueryAlias", "Tail", "Union", "Unpivot", "UnresolvedHaving", "UnresolvedHint",
+    "UnresolvedInlineTable", "UnresolvedPivot", "UnresolvedRelation", "UnresolvedSubqueryColumnAliases", "UnresolvedTVFAliases", "UnresolvedTableValuedFunction", "UnresolvedWith", "Window",
+    "WithCTE", "WithWindowDefinition",
+}
+#: Functions that call any static Java method.
+REFLECTIVE = {"reflect", "try_reflect", "java_method"}
+
+
+def items(seq) -> list:
+    """A Scala sequence as a list."""
+    return [seq.apply(i) for i in range(seq.size())]
+
+
 def parsed(spark: SparkSession, sql: str):
-    """The statement's plan; raises NotReadOnly unless every node of it is a query operator."""
+    """The statement's plan; raises NotReadOnly unless it consists of query operators over named tables.
+
+    Subqueries and common table expressions count as well. A relation is a table or view of the catalog or of the
+    query itself, never a path; functions that call Java are refused wherever they stand.
+    """
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
-    seen = [plan]
-    while seen:
-        node = seen.pop()
-        name = node.getClass().getName()
-        if ".command." in name or "Command" in name or name.rpartition(".")[2].startswith(("Create", "Drop", "Insert", "Replace", "Alter", "Set", "Merge", "Delete", "Update", "Truncate", "Show", "Use", "Cache", "Uncache", "Refresh", "Load", "Add")):
-            raise NotReadOnly(f"only queries are served, not {name.rpartition('.')[2]}")
-        kids = node.children()
-        seen += [kids.apply(i) for i in range(kids.size())]
+    load = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader().loadClass
+    is_plan = load("org.apache.spark.sql.catalyst.plans.logical.LogicalPlan").isInstance
+    has_plan = load("org.apache.spark.sql.catalyst.expressions.PlanExpression").isInstance
+    nodes, expressions, relations, local = [plan], [], [], set()
+    while nodes or expressions:
+        if nodes:
+            node = nodes.pop()
+            name = node.getClass().getSimpleName()
+            if name not in OPERATORS:
+                raise NotReadOnly(f"only queries are served, not {name}")
+            if name == "UnresolvedRelation":
+                relations.append(items(node.multipartIdentifier()))
+            if name == "UnresolvedWith":
+                local |= {str(x._1()).lower() for x in items(node.cteRelations())}
+            nodes += [*items(node.children()), *(x for x in items(node.innerChildren()) if is_plan(x))]
+            if name == "UnresolvedTableValuedFunction" and str(items(node.name())[-1]).lower() in REFLECTIVE:
+                raise NotReadOnly("functions that call Java are not served")
+            expressions += items(node.expressions())
+        else:
+            e = expressions.pop()
+            kind = e.getClass().getSimpleName()
+            if kind == "UnresolvedFunction" and str(items(e.nameParts())[-1]).lower() in REFLECTIVE or "Reflect" in kind:
+                raise NotReadOnly("functions that call Java are not served")
+            if has_plan(e):
+                nodes.append(e.plan())
+            expressions += items(e.children())
+    for parts in relations:
+        if not (len(parts) == 1 and str(parts[0]).lower() in local) and not spark.catalog.tableExists(".".join(f"`{p}`" for p in parts)):
+            raise NotReadOnly(f"no table {'.'.join(parts)}")
     return plan
 
 

@@ -11,6 +11,19 @@ def test_queries_only(spark, tmp_path):
         with pytest.raises(serve.NotReadOnly):
             serve.parsed(spark, sql)
         assert serve.query(spark, sql).startswith("Error:")
+    spark.range(2).write.parquet(str(tmp_path / "p"))
+    java = "'java.lang.System', 'getProperty', 'user.home'"
+    refused = [f"SELECT {f}({java})" for f in ("reflect", "java_method", "try_reflect")]
+    refused += [f"SELECT 1 WHERE EXISTS (SELECT reflect({java}))", f"WITH a AS (SELECT java_method({java}) AS x) SELECT * FROM a", f"SELECT * FROM five ORDER BY reflect({java})"]
+    refused += [f"SELECT * FROM parquet.`{tmp_path}/p`", f"SELECT (SELECT max(id) FROM parquet.`{tmp_path}/p`)", "SELECT TRANSFORM (id) USING 'cat' AS x FROM five"]
+    for sql in refused:
+        with pytest.raises(serve.NotReadOnly):
+            serve.parsed(spark, sql)
+    served = ["WITH a AS (SELECT * FROM five), b AS (SELECT * FROM a) SELECT id, count(*) OVER () FROM b WHERE id IN (SELECT id FROM a) GROUP BY id HAVING id > 1 ORDER BY 1 LIMIT 2"]
+    served += ["SELECT * FROM five JOIN five g USING (id) UNION ALL SELECT 7", "SELECT x FROM (VALUES (1), (2)) t(x) INTERSECT SELECT 2", "SELECT * FROM range(3)", "SELECT explode(array(1, 2)) AS e"]
+    served += ["SELECT * FROM five, LATERAL (SELECT five.id + 1 AS k)", "SELECT * FROM five PIVOT (count(*) FOR id IN (1, 2))", "SELECT id FROM five SORT BY id"]
+    for sql in served:
+        assert not serve.query(spark, sql).startswith("Error:"), serve.query(spark, sql)
     assert "first 3 rows" in serve.query(spark, "SELECT * FROM five", 3)
     assert serve.query(spark, "SELECT * FROM nothing_here").startswith("Error:")
 
