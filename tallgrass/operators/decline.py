@@ -30,6 +30,7 @@ def volume_to(qi: Column, a: Column, b: Column, a_min: Column, t: Column) -> Col
         return (
             F.when(b == 0, qi / a * (1 - F.exp(-a * t)))
             .when(b == 1, qi / a * F.log(1 + a * t))
+            .when(F.abs(b - 1) < 1e-3, qi / a * F.expm1((b - 1) / b * F.log1p(b * a * t)) / (b - 1))  # the plain form cancels here
             .otherwise(qi / ((1 - b) * a) * (1 - F.pow(1 + b * a * t, 1 - 1 / F.when(b == 0, 1.0).otherwise(b))))
         )
 
@@ -68,7 +69,7 @@ def smoothed(x: np.ndarray, window: int) -> np.ndarray:
     if window <= 1 or len(x) < window:
         return x
     half = window // 2
-    return np.convolve(np.pad(x, half, mode="edge"), np.full(window, 1 / window), "valid")[: len(x)]
+    return np.convolve(np.pad(x, half, mode="edge"), np.ones(window), "valid")[: len(x)] / window
 
 
 def decline_start(production, significance: float = 0.5, window: int = 3) -> tuple[int, float]:

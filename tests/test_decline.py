@@ -78,3 +78,10 @@ def test_wells(spark):
     got = {r.w: r for r in decline.fit_wells(df, ["w"], "m", "v").collect()}
     assert got["a"].status == "fitted" and got["a"].r_squared > 0.99 and got["b"].qi is None and "3" in got["b"].status
     assert {r.w: r.peak_index for r in decline.peaks(df, ["w"], "m", "v").collect()} == {"a": 0, "b": None}
+
+
+def test_exponents_around_one(spark):
+    """Volumes are continuous in b, also where 1 - b nearly vanishes."""
+    cases = spark.createDataFrame([(str(i), "hyperbolic", 1000.0, 0.0, 0.6, 1 + x, 0.0) for i, x in enumerate((0.0, 1e-15, -1e-15, 1e-9, -1e-6, 1e-4, -1e-4, 1.1e-3))], "case_id string, decline_model string, qi_oil double, qi_gas double, di double, b double, d_min double")
+    got = {r.case_id: r.cumulative_oil_bbl for r in decline.forecast(cases, 120).filter("month_index = 120").collect()}
+    assert max(abs(v / got["0"] - 1) for v in got.values()) < 2e-3 and abs(got["1"] / got["0"] - 1) < 1e-9 and abs(got["2"] / got["0"] - 1) < 1e-9
