@@ -102,6 +102,8 @@ def new_mexico(spark: SparkSession, folder: str, as_of: dt.datetime, sum_pools:
     if sum_pools:
         sums = {c: F.sum(c).over(_month()) for c in ("oil_bbl", "gas_mcf", "water_bbl")}
         rows = rows.withColumns(sums)
+    order = [F.desc_nulls_last(c) for c in ("ogrid_cde", "oil_bbl", "gas_mcf", "water_bbl")]
+    rows = dedup.latest(rows, ["api_number", "production_date"], F.desc_nulls_last(number(F.col("pool_idn"))), *order)
     names = ["id", "well_name", "ogrid_name", "county", "pool", "type", "status", "latitude", "longitude"]
     m = files.features(spark, f"{folder}/wells/*.json", names)
     master = m.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Sequence
 
@@ -35,6 +36,18 @@ def header(spark: SparkSession, path: str, encoding: str) -> str:
     return row[0].lstrip("﻿").rstrip("\r") if row else ""
 
 
+def head(spark: SparkSession, path: str, encoding: str, most: int = 1 << 16) -> str:
+    """The first line of a file, from its first ``most`` bytes: no Spark job."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).open(p)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(spark.sparkContext._jvm.java.io.InputStreamReader(stream, encoding), most)
+        line = reader.readLine()
+    finally:
+        stream.close()
+    return (line or "").lstrip("\ufeff")
+
+
 def delimiter(line: str, tries: Sequence[str], wanted: Sequence[str] = (), least: int = 1) -> str | None:
     """The first of ``tries`` that splits a header into ``least`` columns, ``wanted`` ones among them if given."""
     names = {w.upper() for w in wanted}
@@ -60,13 +73,24 @@ def delimited(spark: SparkSession, paths: Sequence[str], columns: Sequence[str],
 
 
 def tables(spark: SparkSession, pattern: str, tries: Sequence[str] = (",", "\t", "|"), least: int = 3, encoding: str = "UTF-8") -> DataFrame | None:
-    """All matching files as one table with their path in ``source_file``; files without ``least`` columns are left out. None without a file."""
+    """All matching files as one table with their path in ``source_file``; files without ``least`` columns are left out. None without a file.
+
+    Files with the same first line are read together: one scan a kind of header, however many files there are.
+    """
+    paths = listed(spark, pattern)
+    if not paths:
+        return None
+    kinds: dict[str, list[str]] = {}
+    for path in paths:
+        kinds.setdefault(head(spark, path, encoding), []).append(path)
     out = None
-    for path in listed(spark, pattern):
-        sep = delimiter(header(spark, path, encoding), tries, least=least)
+    for line, group in sorted(kinds.items()):
+        sep = delimiter(line, tries, least=least)
         if sep:
-            df = spark.read.csv(path, sep=sep, header=True, encoding=encoding).withColumn("source_file", F.lit(path.rpartition("/")[2]))
-            df = df.withColumn("source_dir", F.lit(path.split("/")[-2])).toDF(*(c.strip().lower() for c in [*df.columns, "source_dir"]))
+            df = spark.read.csv(sorted(group), sep=sep, header=True, encoding=encoding, enforceSchema=False)
+            where = F.split(F.col("_metadata.file_path"), "/")
+            df = df.select("*", F.element_at(where, -1).alias("source_file"), F.element_at(where, -2).alias("source_dir"))
+            df = df.toDF(*(c.strip().lower() for c in df.columns))
             out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
 
@@ -82,22 +106,60 @@ def features(spark: SparkSession, pattern: str, attributes: Sequence[str]) -> Da
     return rows.select("f.attributes.*")
 
 
-def records(spark: SparkSession, paths: Sequence[str], tag: str, columns: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
-    """One row per XML element ``tag`` of the first path that exists, its children as text; what cannot be parsed is left out."""
+def records(spark: SparkSession, paths: Sequence[str], tag: str, columns: Sequence[str], encoding: str | None = None) -> DataFrame:
+    """One row per XML element ``tag`` of the first path that exists, its children as text; what cannot be parsed is left out.
+
+    Without ``encoding`` the file's byte-order mark tells it.
+    """
     path = next((p for c in paths for p in listed(spark, c)), None)
     if path is None:
         return empty(spark, columns)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.format("xml").options(rowTag=tag, mode="PERMISSIVE", ignoreNamespace="true", charset=encoding).schema(schema).load(path)
+    options = {"rowTag": tag, "mode": "PERMISSIVE", "ignoreNamespace": "true", "charset": encoding or encoding_of(spark, path)}
+    return spark.read.format("xml").options(**options).schema(schema).load(path)
+
+
+def first_bytes(spark: SparkSession, path: str, n: int) -> bytes:
+    """The first ``n`` bytes of a file of any size; no more is read."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).open(p)
+    try:
+        got = [stream.read() for _ in range(n)]
+    finally:
+        stream.close()
+    return bytes(b for b in got if b >= 0)
 
 
 def encoding_of(spark: SparkSession, path: str) -> str:
     """Encoding by byte-order mark."""
-    head = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 3).alias("h")).head()
-    b = bytes(head.h) if head else b""
+    b = first_bytes(spark, path, 3)
     return "UTF-16LE" if b[:2] == b"\xff\xfe" else "UTF-16BE" if b[:2] == b"\xfe\xff" else "UTF-8"
 
 
+def source_format(spark: SparkSession, folder: str) -> str:
+    """``xml`` if a pull has the production XML at any usual depth, else ``text``."""
+    base = f"{folder}/production"
+    return "xml" if any(listed(spark, f"{base}/{at}wcproduction.xml") for at in ("", "*/", "*/*/")) else "text"
+
+
+def write_manifest(spark: SparkSession, folder: str, **facts) -> str:
+    """Write ``facts`` of a pull as ``manifest.json`` in its folder, replacing an older one; its path."""
+    path = f"{folder.rstrip('/')}/manifest.json"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(p, True)
+    try:
+        out.write(bytearray(json.dumps(facts, indent=2, default=str).encode()))
+    finally:
+        out.close()
+    return path
+
+
+def line_count(spark: SparkSession, pattern: str) -> int:
+    """Data rows of all matching text files: lines without the header of each. No column is parsed."""
+    paths = listed(spark, pattern)
+    return max(0, spark.read.text(paths).count() - len(paths)) if paths else 0
+
+
 def zip_entry(names: Iterable[str], wanted: str) -> str | None:
     """The member of an archive with that stem in any case; else one that contains it."""
     names, low = list(names), wanted.lower()
