@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import decline
+
 
 @dataclass(frozen=True)
 class Terms:
@@ -58,3 +60,18 @@ def valuation(forecast: DataFrame, terms: Terms) -> DataFrame:
         F.sum("discounted_cash_flow").alias("pv10"),
         F.sum("net_cash_flow").alias("npv"),
     )
+
+
+def evaluate(rows: DataFrame, keys: list[str], order: str, oil: str, gas: str, terms: Terms, model: str = "hyperbolic", months: int = 600) -> DataFrame:
+    """From history to value, one row a well: fit on its oil from the latest peak on, forecast, economic limit, EUR and PV10.
+
+    The gas forecast starts at the well's gas in its peak month and declines with the oil. Histories are handled one well in
+    a task's memory at a time; a well that cannot be fitted keeps its status and has no values.
+    """
+    fits = decline.fit_wells(rows, keys, order, oil, model)
+    at = rows.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, F.coalesce(gas, F.lit(0.0)).alias("g")))), lambda x: x["g"]).alias("_gas"))
+    fits = fits.join(at, keys).withColumn("qi_gas", F.try_element_at("_gas", F.col("peak_index") + 1)).drop("_gas")
+    case = F.to_json(F.struct(*keys)).alias("case_id")
+    cases = fits.filter("status = 'fitted'").select(case, F.lit(model).alias("decline_model"), F.col("qi").alias("qi_oil"), "qi_gas", "di", "b", "d_min")
+    values = valuation(decline.forecast(cases, months), terms)
+    return fits.withColumn("case_id", case).join(values, "case_id", "left").drop("case_id")

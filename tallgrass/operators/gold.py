@@ -91,16 +91,66 @@ def decline_curve_inputs(stg: DataFrame) -> DataFrame:
 
 
 def rollup(monthly: DataFrame, dimension: str, *more: str) -> DataFrame:
-    """Monthly totals by a dimension (county, operator, field_name) and state; rows without it stay out."""
+    """Monthly totals by a dimension (county, operator, field_name) and state; rows without it stay out.
+
+    Entities are summed first, then counted: no row is expanded for the distinct counts, and a dimension that holds a large share
+    of the rows reaches the second step as one row an entity, itself summed before it is sent.
+    """
     sums = ("total_oil_bbl", "total_gas_mcf", "oil_bbl", "condensate_bbl", "gas_mcf", "casinghead_gas_mcf", "water_bbl")
-    return monthly.filter(F.col(dimension).isNotNull()).groupBy(dimension, "state", *more, "production_date").agg(
-        F.count_distinct("entity_key").alias("entity_count"),
-        F.count_distinct(F.when(F.col("entity_type") == "well", F.col("entity_key"))).alias("well_count"),
-        F.count_distinct(F.when(F.col("entity_type") == "lease", F.col("entity_key"))).alias("lease_count"),
+    dims = (dimension, "state", *more, "production_date")
+    kind = F.col("entity_type")
+    entities = monthly.filter(F.col(dimension).isNotNull()).groupBy(*dims, "entity_key").agg(
+        F.max(F.coalesce(kind == "well", F.lit(False))).alias("well"), F.max(F.coalesce(kind == "lease", F.lit(False))).alias("lease"), *(F.sum(c).alias(c) for c in sums)
+    )
+    there = F.col("entity_key").isNotNull()
+    return entities.groupBy(*dims).agg(
+        F.count("entity_key").alias("entity_count"),
+        F.count_if(there & F.col("well")).alias("well_count"),
+        F.count_if(there & F.col("lease")).alias("lease_count"),
         *(F.sum(c).alias(c) for c in sums),
     )
 
 
+# ---------------------------------------------------------------- build
+
+FACTS = ("production_monthly", "decline_curve_inputs")
+
+
+def build(silver: DataFrame, root: str) -> dict[str, DataFrame]:
+    """Create or replace all gold tables under ``root``, and views of the same names over them and the staging view.
+
+    Facts are partitioned by state. A table is written beside the old one and takes its place at the end, so a reader of the old
+    files never sees half a table; an empty silver table gives empty tables of the same columns.
+    """
+    spark = silver.sparkSession
+    stg = staging(silver)
+    stg.createOrReplaceTempView("stg_production")
+    made = {"production_monthly": production_monthly(stg), "decline_curve_inputs": decline_curve_inputs(stg)}
+    made |= {"schema_registry": schema_registry(spark), "schema_registry_columns": schema_registry_columns(spark, made)}
+    out = {}
+    for name, df in made.items():
+        path = f"{root}/{name}"
+        rows = df.write.mode("overwrite")
+        (rows.partitionBy("state") if name in FACTS else rows).parquet(f"{path}.new")
+        old, new = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (path, f"{path}.new"))
+        store = old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        store.delete(old, True)
+        store.rename(new, old)
+        out[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        out[name].createOrReplaceTempView(name)
+    return out
+
+
+def measures(monthly: DataFrame) -> DataFrame:
+    """What a dashboard shows of each state: entities, totals, peaks and mean first volumes."""
+    entity = monthly.groupBy("state", "entity_key").agg(
+        F.sum("total_oil_bbl").alias("oil"), F.sum("total_gas_mcf").alias("gas"), F.max("total_oil_bbl").alias("peak"), F.min_by("total_oil_bbl", "production_date").alias("first_oil")
+    )
+    return entity.groupBy("state").agg(
+        F.count("entity_key").alias("entities"), F.sum("oil").alias("total_oil_bbl"), F.sum("gas").alias("total_gas_mcf"), F.max("peak").alias("peak_oil_bbl"), F.avg("first_oil").alias("mean_first_oil_bbl")
+    )
+
+
 # ---------------------------------------------------------------- self-description
 
 TABLES = [

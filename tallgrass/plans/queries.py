@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import api_from_parts, basin_of, county_of_label, first_of_month, normalize_api, number, well_status, well_type
 from ..functions.codes import BASINS, NM_TYPE
-from ..operators import decline, dedup, economics, exports, gold, papers, quality
+from ..operators import decline, dedup, economics, exports, gold, layers, papers, quality
 from . import adapter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +74,17 @@ def declining(spark, d):
     return gold.decline_curve_inputs(stg(spark, d))
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder for a query's tables: under ``spark.checkpoint.dir``, which all executors share; without it only local masters have one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="gold-")
+        atexit.register(shutil.rmtree, base, True)
+    return f"{base.rstrip('/')}/gold-{uuid.uuid4().hex[:12]}"
+
+
 def stamped(df: DataFrame) -> DataFrame:
     return df.withColumn("ingested_at", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss"))
 
@@ -119,9 +134,9 @@ def rollup_field(spark, d):
     return gold.rollup(stg(spark, d), "field_name", "basin")
 
 
-@query()
+@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(f"'{x}'" for x in r) + ")" for r in gold.TABLES) + ") t(table_name, description, primary_key, grain)")
 def schema_registry(spark, d):
-    return gold.schema_registry(spark)
+    return gold.schema_registry(spark).drop("updated_at")  # the time of the query
 
 
 @query()
@@ -430,7 +445,12 @@ def valid_rows(spark, d):
     return stamped(quality.valid_rows(bad(spark, d), TODAY))
 
 
-@query()
+@query(
+    "SELECT check_name, column_name, value FROM (SELECT *, row_number() OVER (PARTITION BY check_name, column_name ORDER BY value NULLS FIRST) AS k FROM (\n"
+    + "\nUNION ALL ".join(f"SELECT DISTINCT '{a}' AS check_name, '{b}' AS column_name, cast({b} AS VARCHAR) AS value FROM bad WHERE NOT ({x})" for (a, b), x in RULES_SQL.items())
+    + ")) WHERE k <= 5",
+    BAD_SQL,
+)
 def bad_samples(spark, d):
     return quality.bad_samples(bad(spark, d), 5, TODAY)
 
@@ -488,15 +508,127 @@ def month_gaps(spark, d):
     return quality.month_gaps(stg(spark, d))
 
 
-GOLD_TESTS = (
-    "null_entity_key well_key_format lease_key_format negative_volume future_date orphan_gold month_index_sequential "
-    "calendar_months_positive volumes_reconcile decline_well_only decline_complete row_counts_equal"
-).split()
+#: The gold tables with one planted fault or more for each gold test.
+FAULTY_SQL = f"""{DC_SQL},
+fm AS (
+  SELECT * REPLACE (
+    CASE WHEN operator IS NULL AND production_month = 1 THEN NULL WHEN operator = 'OPERATOR 3' AND production_month = 2 THEN 'X' || entity_key
+      WHEN entity_type = 'lease' AND production_month = 4 THEN entity_key || '?' ELSE entity_key END AS entity_key,
+    CASE WHEN operator = 'OPERATOR 5' AND production_month = 5 THEN -1 ELSE oil_bbl END AS oil_bbl,
+    CASE WHEN operator = 'OPERATOR 7' AND production_month = 6 THEN DATE '2030-06-01' ELSE production_date END AS production_date,
+    CASE WHEN operator = 'OPERATOR 9' AND production_month = 8 THEN 0 ELSE calendar_months_on_production END AS calendar_months_on_production,
+    CASE WHEN operator = 'OPERATOR 11' THEN total_oil_bbl + 1 ELSE total_oil_bbl END AS total_oil_bbl)
+  FROM pm WHERE operator IS NULL OR operator <> 'OPERATOR 6' OR production_month <> 11),
+fd AS (
+  SELECT * REPLACE (CASE WHEN operator = 'OPERATOR 2' AND production_month = 9 THEN 'Z' || api_number ELSE api_number END AS api_number,
+    CASE WHEN operator = 'OPERATOR 4' AND production_month = 10 THEN months_on_production + 1 ELSE months_on_production END AS months_on_production)
+  FROM dc)"""
+GOLD_TESTS_SQL = """, wells AS (SELECT api_number, state, production_date FROM stg WHERE entity_type = 'well'),
+ss AS (SELECT state, sum(total_oil_bbl) AS o, sum(total_gas_mcf) AS g FROM stg GROUP BY ALL), gs AS (SELECT state, sum(total_oil_bbl) AS o, sum(total_gas_mcf) AS g FROM fm GROUP BY ALL),
+t AS (
+  SELECT 'null_entity_key' AS test_name, count(*) AS violations FROM fm WHERE entity_key IS NULL
+  UNION ALL SELECT 'well_key_format', count(*) FROM fm WHERE entity_type = 'well' AND entity_key <> api_number
+  UNION ALL SELECT 'lease_key_format', count(*) FROM fm WHERE entity_type = 'lease' AND entity_key <> 'TX-LEASE:' || district || '-' || lease_number
+  UNION ALL SELECT 'negative_volume', count(*) FROM fm WHERE oil_bbl < 0 OR gas_mcf < 0 OR condensate_bbl < 0 OR casinghead_gas_mcf < 0 OR water_bbl < 0
+  UNION ALL SELECT 'future_date', count(*) FROM fm WHERE production_date > DATE '2026-01-01'
+  UNION ALL SELECT 'calendar_months_positive', count(*) FROM fm WHERE calendar_months_on_production < 1
+  UNION ALL SELECT 'orphan_gold', count(*) FROM fm WHERE NOT EXISTS (FROM stg s WHERE s.entity_key = fm.entity_key AND s.state = fm.state AND s.production_date = fm.production_date)
+  UNION ALL SELECT 'month_index_sequential', count(*) FROM (SELECT 1 FROM fm GROUP BY entity_key, state HAVING min(reported_month_index) <> 1 OR max(reported_month_index) <> count(*))
+  UNION ALL SELECT 'volumes_reconcile', count(*) FROM ss FULL JOIN gs ON ss.state = gs.state WHERE ss.state IS NULL OR gs.state IS NULL OR abs(ss.o - gs.o) > 0.01 OR abs(ss.g - gs.g) > 0.01
+  UNION ALL SELECT 'decline_well_only', count(*) FROM fd WHERE NOT EXISTS (FROM wells w WHERE w.api_number = fd.api_number AND w.state = fd.state AND w.production_date = fd.production_date)
+  UNION ALL SELECT 'decline_complete', count(*) FROM (SELECT 1 FROM fd GROUP BY api_number, state HAVING min(months_on_production) <> 1 OR max(months_on_production) <> count(*))
+  UNION ALL SELECT 'row_counts_equal', CASE WHEN (SELECT count(*) FROM stg) = (SELECT count(*) FROM fm) THEN 0 ELSE 1 END)
+SELECT test_name, cast(violations AS BIGINT) AS violations, violations = 0 AS passed FROM t"""
+
+
+def faulty(spark, d) -> tuple[DataFrame, DataFrame]:
+    """``FAULTY_SQL``'s fm and fd."""
+
+    def at(operator: int, month: int | None = None):
+        return (F.col("operator") == f"OPERATOR {operator}") & (F.lit(True) if month is None else F.col("production_month") == month)
+
+    key = F.col("entity_key")
+    key = F.when(F.col("operator").isNull() & (F.col("production_month") == 1), F.lit(None)).when(at(3, 2), F.concat(F.lit("X"), key)).when((F.col("entity_type") == "lease") & (F.col("production_month") == 4), F.concat(key, F.lit("?"))).otherwise(key)
+    m = monthly(spark, d).filter(F.col("operator").isNull() | ~at(6, 11)).withColumns(
+        {
+            "entity_key": key,
+            "oil_bbl": F.when(at(5, 5), -1.0).otherwise(F.col("oil_bbl")),
+            "production_date": F.when(at(7, 6), F.lit(dt.date(2030, 6, 1))).otherwise(F.col("production_date")),
+            "calendar_months_on_production": F.when(at(9, 8), 0).otherwise(F.col("calendar_months_on_production")),
+            "total_oil_bbl": F.col("total_oil_bbl") + F.when(at(11), 1.0).otherwise(0.0),
+        }
+    )
+    c = declining(spark, d).withColumns(
+        {
+            "api_number": F.when(at(2, 9), F.concat(F.lit("Z"), F.col("api_number"))).otherwise(F.col("api_number")),
+            "months_on_production": F.col("months_on_production") + F.when(at(4, 10), 1).otherwise(0),
+        }
+    )
+    return m, c
 
 
-@query(f"SELECT unnest({GOLD_TESTS}) AS test_name, 0::BIGINT AS violations, true AS passed")
+@query(GOLD_TESTS_SQL, FAULTY_SQL)
 def gold_tests(spark, d):
-    return quality.summary(quality.gold_tests(stg(spark, d), monthly(spark, d), declining(spark, d), TODAY))
+    return quality.gold_test_counts(stg(spark, d), *faulty(spark, d), TODAY)
+
+
+@query(GOLD_TESTS_SQL.replace("fm ", "pm ").replace("fm.", "pm.").replace("fd ", "dc ").replace("fd.", "dc.").replace("FROM fm)", "FROM pm)"), DC_SQL)
+def gold_tests_clean(spark, d):
+    return quality.gold_test_counts(stg(spark, d), monthly(spark, d), declining(spark, d), TODAY)
+
+
+LAYER_SQL = """, s AS (SELECT * FROM silver WHERE state = 'TX'), k AS (SELECT count(*) AS n FROM s),
+f AS (
+  SELECT 'row_count_comparison' AS check_name, CASE WHEN (SELECT n FROM k) < 0.9 * (SELECT count(*) FROM reports WHERE state = 'TX') THEN 1 ELSE 0 END AS failures
+  UNION ALL SELECT 'required_fields', count(*) FILTER (entity_type IS NULL) + count(*) FILTER (production_date IS NULL) + count(*) FILTER (entity_type = 'lease' AND lease_number IS NULL)
+    + count(*) FILTER (entity_type = 'well' AND api_number IS NULL) FROM s
+  UNION ALL SELECT 'value_ranges', count(*) FILTER (oil_bbl < 0) + count(*) FILTER (gas_mcf < 0) + count(*) FILTER (water_bbl < 0) + count(*) FILTER (days_produced NOT BETWEEN 0 AND 31)
+    + count(*) FILTER (production_date > DATE '2026-01-01') + count(*) FILTER (NOT regexp_full_match(api_number, '[0-9]{2}-[0-9]{3}-[0-9]{5}')) FROM s
+  UNION ALL SELECT 'dedup_integrity', coalesce(sum(c), 0) FROM (SELECT count(*) AS c FROM s GROUP BY coalesce(api_number, lease_number || '/' || district), production_date HAVING count(*) > 1))
+SELECT 'bronze_to_silver' AS layer, 'TX' AS state, check_name, cast(failures AS BIGINT) AS failures, failures = 0 AS passed, (SELECT n FROM k) AS total_rows FROM f"""
+
+
+@query(LAYER_SQL, adapter.SILVER_SQL.strip())
+def bronze_silver_report(spark, d):
+    return layers.bronze_to_silver(adapter.reports(spark, d).filter("state = 'TX'"), adapter.silver(spark, d), "TX", 0.9, TODAY)
+
+
+@query(
+    """, ss AS (SELECT state, sum(total_oil_bbl) AS o, sum(total_gas_mcf) AS g FROM stg GROUP BY ALL), gs AS (SELECT state, sum(total_oil_bbl) AS o, sum(total_gas_mcf) AS g FROM pm GROUP BY ALL),
+gaps AS (SELECT DISTINCT entity_key, state FROM (SELECT entity_key, state, date_diff('day', lag(production_date) OVER (PARTITION BY entity_key, state ORDER BY production_date), production_date) AS gap FROM pm) WHERE gap > 31),
+f AS (
+  SELECT 'reconcile_total_oil_bbl' AS check_name, (SELECT count(*) FROM ss JOIN gs USING (state) WHERE abs(ss.o - gs.o) > 0.01 * ss.o) AS failures
+  UNION ALL SELECT 'reconcile_total_gas_mcf', (SELECT count(*) FROM ss JOIN gs USING (state) WHERE abs(ss.g - gs.g) > 0.01 * ss.g)
+  UNION ALL SELECT 'pk_production_monthly', (SELECT count(*) FROM (SELECT 1 FROM pm GROUP BY entity_key, state, production_date HAVING count(*) > 1))
+  UNION ALL SELECT 'month_completeness', (SELECT count(*) FROM gaps)
+  UNION ALL SELECT 'pk_decline_curve_inputs', (SELECT count(*) FROM (SELECT 1 FROM dc GROUP BY api_number, state, production_date HAVING count(*) > 1)))
+SELECT 'silver_to_gold' AS layer, 'ALL' AS state, check_name, failures, failures = 0 AS passed, (SELECT count(*) FROM silver) AS total_rows FROM f""",
+    DC_SQL,
+)
+def silver_gold_report(spark, d):
+    return layers.silver_to_gold(adapter.silver(spark, d), monthly(spark, d), declining(spark, d))
+
+
+@query(
+    """SELECT state, count(*) AS entities, sum(oil) AS total_oil_bbl, sum(gas) AS total_gas_mcf, max(peak) AS peak_oil_bbl, avg(first_oil) AS mean_first_oil_bbl FROM (
+  SELECT state, entity_key, sum(total_oil_bbl) AS oil, sum(total_gas_mcf) AS gas, max(total_oil_bbl) AS peak, arg_min(total_oil_bbl, production_date) AS first_oil FROM pm GROUP BY ALL) GROUP BY state""",
+    PM_SQL,
+)
+def dashboard_measures(spark, d):
+    return gold.measures(monthly(spark, d))
+
+
+@query(
+    """SELECT 'production_monthly' AS table_name, count(*) AS row_count FROM pm UNION ALL SELECT 'decline_curve_inputs', count(*) FROM dc
+UNION ALL SELECT 'schema_registry', 4 UNION ALL SELECT 'schema_registry_columns', 61""",
+    DC_SQL,
+)
+def gold_build(spark, d):
+    out = None
+    for name, df in gold.build(adapter.silver(spark, d), scratch(spark)).items():
+        n = df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        out = n if out is None else out.unionByName(n)
+    return out
 
 
 @query("SELECT entity_key, state, production_date FROM pm ANTI JOIN (SELECT * FROM stg WHERE county <> 'NATION_5') s USING (entity_key, state, production_date)", PM_SQL)
@@ -598,11 +730,31 @@ def filter_outliers(spark, d):
     return decline.flag_outliers(s, ["entity_key", "state"], "production_date", "total_oil_bbl")
 
 
-@query()
+PEAKS_SQL = """, h AS (SELECT entity_key, state, production_date, coalesce(total_oil_bbl, 0) AS x, row_number() OVER m - 1 AS i, count(*) OVER e AS n, max(coalesce(total_oil_bbl, 0)) OVER e AS top,
+    count(*) FILTER (total_oil_bbl <> 0) OVER e AS producing
+  FROM stg WINDOW e AS (PARTITION BY entity_key, state), m AS (PARTITION BY entity_key, state ORDER BY production_date)),
+s AS (SELECT *, CASE WHEN n < 3 THEN x ELSE (coalesce(lag(x) OVER m, x) + x + coalesce(lead(x) OVER m, x)) / 3 END AS y FROM h WINDOW m AS (PARTITION BY entity_key, state ORDER BY i)),
+p AS (SELECT * FROM (SELECT *, lag(y) OVER m AS before, lead(y) OVER m AS after FROM s WINDOW m AS (PARTITION BY entity_key, state ORDER BY i))
+  WHERE x > 0 AND (before IS NULL OR y >= before) AND (after IS NULL OR y >= after)),
+g AS (SELECT *, count(*) FILTER (step > 3) OVER m AS island FROM (SELECT *, i - lag(i) OVER (PARTITION BY entity_key, state ORDER BY i) AS step FROM p) WINDOW m AS (PARTITION BY entity_key, state ORDER BY i)),
+b AS (SELECT entity_key, state, island, max(x) AS v, arg_max(i, (x, -i)) AS i, any_value(top) AS top FROM g GROUP BY ALL),
+l AS (SELECT entity_key, state, max(i) AS i FROM b WHERE v >= 0.5 * top GROUP BY ALL),
+f AS (SELECT entity_key, state, arg_max(i, (x, -i)) AS i, any_value(producing) AS producing FROM h GROUP BY ALL),
+o AS (SELECT f.entity_key, f.state, CASE WHEN producing >= 3 THEN coalesce(l.i, f.i) END AS i FROM f LEFT JOIN l ON f.entity_key IS NOT DISTINCT FROM l.entity_key AND f.state = l.state)
+SELECT o.entity_key, o.state, cast(o.i AS INTEGER) AS peak_index, h.x AS peak_value FROM o LEFT JOIN h ON o.entity_key IS NOT DISTINCT FROM h.entity_key AND o.state = h.state AND o.i = h.i"""
+
+
+@query(PEAKS_SQL, STG_SQL)
 def detect_decline_start(spark, d):
     return decline.peaks(stg(spark, d), ["entity_key", "state"], "production_date", "total_oil_bbl")
 
 
+@query()
+def well_economics(spark, d):
+    terms = economics.Terms(nri=0.8, oil_price=70.0, gas_price=3.0, loe_monthly=500.0)
+    return economics.evaluate(declining(spark, d), ["api_number", "state"], "production_date", "total_oil_bbl", "total_gas_mcf", terms, months=360)
+
+
 @query()
 def fit_arps(spark, d):
     return decline.fit_wells(declining(spark, d), ["api_number", "state"], "production_date", "total_oil_bbl")
@@ -683,9 +835,21 @@ def resolve_edges(spark, d):
     return good.withColumn("resolved", F.lit(True)).unionByName(bad_.withColumn("resolved", F.lit(False))).select("node_id", "edge_type", "target", "resolved")
 
 
-@query()
+@query(
+    """SELECT node_id, parent_doc_id, embed_text, batch FROM (
+  WITH RECURSIVE e AS (SELECT node_id, parent_doc_id, embed_text, length(embed_text) AS n, row_number() OVER (PARTITION BY parent_doc_id ORDER BY node_id) AS i FROM t),
+  r AS (SELECT *, n AS held, 0 AS batch FROM e WHERE i = 1
+    UNION ALL SELECT e.*, CASE WHEN held > 0 AND held + e.n > 60 THEN e.n ELSE held + e.n END, CASE WHEN held > 0 AND held + e.n > 60 THEN batch + 1 ELSE batch END
+    FROM r JOIN e ON e.parent_doc_id = r.parent_doc_id AND e.i = r.i + 1)
+  SELECT * FROM r)""",
+    NODES_SQL
+    + """,
+t AS (SELECT node_id, parent_doc_id, CASE node_type WHEN 'figure' THEN '' WHEN 'document' THEN x ELSE CASE WHEN title IS NULL THEN '' ELSE title || ' — ' END ||
+  CASE node_type WHEN 'author' THEN CASE WHEN v <> 1 THEN x || ', ' || lang ELSE x END WHEN 'claim' THEN x || ' [Type: ' || lang || ']' WHEN 'method' THEN 'Method: ' || x || ' (' || lang || ')' ELSE '{"a":"b"}' END END AS embed_text
+  FROM nodes JOIN titles USING (parent_doc_id))""",
+)
 def embedding_batches(spark, d):
-    return papers.batches(papers.with_embed_text(nodes(spark, d)))
+    return papers.batches(papers.with_embed_text(nodes(spark, d)), 60)
 
 
 # ---------------------------------------------------------------- planned dimensions
