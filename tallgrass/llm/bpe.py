@@ -30,6 +30,44 @@ CACHE_WORDS, CACHE_PAIRS = 400_000, 1_000_000
 #: White space as the tokenizer's patterns see it, a fixed value.
 WS = r"\t-\r \x85\xa0  -     　"
 _SPACE = re.compile(f"[{WS}]")
+# Letters, numbers and lower-case forms of Unicode 16, which the tokenizer goes by, that Unicode 15.1 lacks.
+NEW_LETTERS = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+NEW_NUMBERS = ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA))
+NEW_LOWER = (
+    (0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x0264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5),
+    (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x019B), (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB),
+)
+
+
+def char_class(points: set[int]) -> str:
+    """The inside of a character class of these code points."""
+    out: list[list[int]] = []
+    for i in sorted(points):
+        if out and out[-1][1] == i - 1:
+            out[-1][1] = i
+        else:
+            out.append([i, i])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+@lru_cache(maxsize=1)
+def unicode_classes() -> tuple[str, str, str, dict[int, int]]:
+    """Classes of letters and numbers as the tokenizer has them, of the code points where the regex library's differ or whose
+    lower case does, and those lower-case forms."""
+    points = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    exact = {k: {i for i in points if unicodedata.category(chr(i))[0] == k} for k in "LN"}
+    for k, ranges in (("L", NEW_LETTERS), ("N", NEW_NUMBERS)):
+        exact[k].update(i for a, b in ranges for i in range(a, b + 1))
+    lower = {i: c + i - a for a, b, c in NEW_LOWER for i in range(a, b + 1)}
+    every = "".join(map(chr, points))
+    doubtful = set(lower)
+    for k in "LN":
+        doubtful |= exact[k] ^ set(map(ord, regex.findall(rf"\p{{{k}}}", every)))
+    return char_class(exact["L"]), char_class(exact["N"]), char_class(doubtful), lower
 
 
 def byte_symbols() -> list[str]:
@@ -51,7 +89,11 @@ class Vocabulary:
         self.special = special
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         parts = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
-        self.words = regex.compile(parts[0].replace(r"\s", WS))
+        pattern = parts[0].replace(r"\s", WS)
+        letters, numbers, doubtful, self.lower = unicode_classes()
+        self.words = regex.compile(pattern)
+        self.exact_words = regex.compile(pattern.replace(r"\p{L}", letters).replace(r"[\p{N}]", f"[{numbers}]").replace(r"\p{N}", numbers))
+        self.doubtful = re.compile(f"[{doubtful}]")
         self.symbols = byte_symbols()
         size = max(*vocab.values(), *special.values()) + 1
         names = [""] * size
@@ -154,7 +196,10 @@ class Vocabulary:
                 out.append(self.special[part].to_bytes(4, "little"))
                 continue
             for chunk in chunks(part):
-                out.extend(map(cache.__getitem__, self.words.findall(self.normal(chunk))))
+                words, text = self.words, self.normal(chunk)
+                if not text.isascii() and self.doubtful.search(text):
+                    words, text = self.exact_words, text.translate(self.lower)
+                out.extend(map(cache.__getitem__, words.findall(text)))
         return b"".join(out)
 
     def decode(self, ids: np.ndarray) -> bytes:

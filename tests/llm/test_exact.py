@@ -399,6 +399,17 @@ def test_chat_random():
 # ---------------------------------------------------------------- pipeline
 
 
+def test_every_code_point(tokenizer):
+    """Each stands beside letters, digits and signs, and twice; ids as the library's."""
+    points = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    vocab = bpe.Vocabulary(tokenizer[0])
+    cache = bpe.Cache(vocab)
+    for lo in range(0, len(points), 1024):
+        texts = [f"a{c}b 1{c}2 {c}{c} .{c}!" for c in map(chr, points[lo : lo + 1024])]
+        want = [e.ids for e in tokenizer[1].encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(vocab.encode(t, cache), "<u4").tolist() for t in texts] == want
+
+
 def test_pipeline(spark, tmp_path, tokenizer):
     """All stages against plain Python, with planted junk, near copies, repeated passages and benchmark passages."""
     import random
