@@ -3,8 +3,9 @@
 Vectors stand in blocks of bounded size; of each block every dimension has its rows sorted by value. A query walks
 its dimensions' lists from their best end (the top for a positive weight, the bottom for a negative one), scores
 each row when it first shows, and stops in a block once no unseen row can reach its kth best score: an unseen row
-scores at most the sum of the weights times the values reached. Query blocks meet every vector block once; each
-meeting leaves k rows a query, and the best k of those are the result.
+scores at most the sum of the weights times the values reached. Query blocks meet the first vector block alone; the kth
+score found there is a query's floor in all other blocks, where it stops earlier and leaves only rows that reach
+the floor, k at most. The best k of all are the result.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ class Lists:
         self.order = np.argsort(v, axis=0, kind="stable").T.copy()  # dimensions x rows, ascending
         self.sorted = np.take_along_axis(v, self.order.T, axis=0).T.copy()
 
-    def best(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best rows but the query's own: higher scores first, then smaller ids."""
+    def best(self, query_id: int, q: np.ndarray, k: int, floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best rows but the query's own, of those that score ``floor`` or more: higher scores first, then smaller ids."""
         n = len(self.ids)
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         seen = np.zeros(n, bool)
@@ -62,11 +63,13 @@ class Lists:
                 keep = np.lexsort((rows, -scores))[:k]
                 rows, scores = rows[keep], scores[keep]
             depth, step = to, step * 2
-            if len(rows) >= k and depth < n:
+            least = max(floor, scores.min()) if len(rows) >= k else floor
+            if least > -np.inf and depth < n:
                 bound = weights[up] @ self.sorted[up, n - depth] + weights[down] @ self.sorted[down, depth - 1]
-                if bound < scores.min():
+                if bound < least:
                     break
         keep = np.lexsort((rows, -scores))[:k]
+        keep = keep[scores[keep] >= floor]
         return self.ids[rows[keep]], scores[keep].astype(np.int64)
 
 
@@ -113,31 +116,46 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """
     n = vectors.count()
     blocks = staged(packed(vectors.coalesce(max(1, -(-n // BLOCK))), BLOCK), "vectors")  # full blocks, however small the input's partitions
-    asked = packed(queries.coalesce(max(1, -(-queries.count() // (4 * QUERIES)))), QUERIES)
+    parts = max(1, -(-queries.count() // (4 * QUERIES)))
     count = blocks.count()
     if not count:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    asked = asked.select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q"), F.col("width").alias("q_width"), "n")
-    sent = asked.drop("n").withColumn("n", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))))
-    met = blocks.repartition(count, "n").join(sent, "n").drop("n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, lists = None, None
         for b in batches:
             for r in b.to_pylist():
-                w = max(r["width"], r["q_width"])
+                w = max(r["width"], r["q_width"] - 1)
                 if last != (r["ids"], w):
                     v = np.frombuffer(r["vectors"]).reshape(-1, r["width"])
                     lists = Lists(np.frombuffer(r["ids"], np.int64), np.pad(v, ((0, 0), (0, w - r["width"]))))
                     last = (r["ids"], w)
-                q = np.pad(np.frombuffer(r["q"]).reshape(-1, r["q_width"]), ((0, 0), (0, w - r["q_width"])))
-                out = [(i, *lists.best(i, x, k)) for i, x in zip(np.frombuffer(r["q_ids"], np.int64), q, strict=True)]
+                q = np.frombuffer(r["q"]).reshape(-1, r["q_width"])
+                floors, q = q[:, 0], np.pad(q[:, 1:], ((0, 0), (0, w - r["q_width"] + 1)))
+                out = [(i, *lists.best(i, x, k, f)) for i, x, f in zip(np.frombuffer(r["q_ids"], np.int64), q, floors, strict=True)]
                 cols = [np.repeat([i for i, _, _ in out], [len(s) for _, s, _ in out]), *(np.concatenate([o[j] for o in out]) for j in (1, 2))]
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], ["query_id", "vec_id", "score"])
 
-    found = met.mapInArrow(run, "query_id long, vec_id long, score long")
+    def met(asked: DataFrame, first: int, last: int) -> DataFrame:
+        """Rows of ``asked`` (id, floor, v) against the blocks ``first`` to ``last``."""
+        sent = packed(asked.select("id", F.concat(F.array("floor"), "v").alias("v")).coalesce(parts), QUERIES)
+        sent = sent.select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q"), F.col("width").alias("q_width"))
+        sent = sent.withColumn("n", F.explode(F.sequence(F.lit(first).cast("long"), F.lit(last).cast("long"))))
+        mine = blocks.filter(F.col("n").between(first, last)).repartition(last - first + 1, "n")
+        return mine.join(sent, "n").drop("n").mapInArrow(run, "query_id long, vec_id long, score long")
+
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    found = met(queries.withColumn("floor", F.lit(float("-inf"))), 0, 0)
+    if count > 1:
+        found = staged(found, "first")
+        floors = ranked(found).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
+        asked = queries.join(floors, "id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+        found = found.unionByName(met(asked, 1, count - 1))
+    return ranked(found)
 
 
 def quantised(df: DataFrame, id_col: str = "vec_id", column: str = "embedding", scale: int = SCALE) -> DataFrame:
