@@ -1,8 +1,8 @@
 """Language identification with a blended-spectrum string kernel.
 
 The kernel of two texts blends n-gram presence kernels, n = 1 to 3 (bytes of the lower-cased UTF-8):
-``k(x, z) = mean over n of |P_n(x) and P_n(z)| / sqrt(|P_n(x)| |P_n(z)|)`` with P_n(x) the set of x's n-grams among
-those of the landmark texts. Nyström: kernel values against the landmarks, whitened by their own kernel
+``k(x, z) = mean over n of |P_n(x) and P_n(z)| / sqrt(|P_n(x)| |P_n(z)|)`` with P_n(x) the set of x's n-grams. Only
+those of the landmark texts have a column; the others of a text count in its norm. Nyström: kernel values against the landmarks, whitened by their own kernel
 matrix, are the features of a one-versus-rest ridge regression. Scoring a batch is one product of its
 presence matrix with the landmarks' per n, and one with the regression weights.
 """
@@ -45,17 +45,19 @@ def codes(raw: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def presence(slots: np.ndarray, width: int, n: int, raw: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """Rows x n-grams: 1 where a row has the n-gram."""
+def presence(slots: np.ndarray, width: int, n: int, raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows x n-grams: 1 where a row has the n-gram; and how many distinct n-grams without a column each row has."""
     m = np.zeros((len(offs) - 1, width), np.float32)
     if len(raw) < n:
-        return m
-    col = slots[codes(raw, n)]
+        return m, np.zeros(len(m), np.int64)
+    code = codes(raw, n)
+    col = slots[code]
     row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[: len(col)]
-    end = offs[1:][row]
-    ok = (col >= 0) & (np.arange(len(col)) + n <= end)
+    inside = np.arange(len(col)) + n <= offs[1:][row]
+    ok = (col >= 0) & inside
     m[row[ok], col[ok]] = 1
-    return m
+    other = (col < 0) & inside
+    return m, np.bincount(np.unique(row[other] << 24 | code[other]) >> 24, minlength=len(m))
 
 
 def grams(raw: np.ndarray) -> list[np.ndarray]:
@@ -63,20 +65,21 @@ def grams(raw: np.ndarray) -> list[np.ndarray]:
     return [np.unique(codes(raw, n)) if len(raw) >= n else np.zeros(0, np.int32) for n in SIZES]
 
 
-def presence_of(slots: np.ndarray, width: int, sets: list[np.ndarray]) -> np.ndarray:
+def presence_of(slots: np.ndarray, width: int, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """``presence`` of rows given as sets of codes."""
-    m = np.zeros((len(sets), width), np.float32)
-    for row, s in zip(m, sets, strict=True):
+    m, others = np.zeros((len(sets), width), np.float32), np.zeros(len(sets), np.int64)
+    for i, s in enumerate(sets):
         col = slots[s]
-        row[col[col >= 0]] = 1
-    return m
+        m[i, col[col >= 0]] = 1
+        others[i] = (col < 0).sum()
+    return m, others
 
 
-def blended(model: Model, presences: list[np.ndarray]) -> np.ndarray:
-    """Kernel values against all landmarks of rows with these presence matrices, one per n."""
+def blended(model: Model, presences: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Kernel values against all landmarks of rows with these presence matrices and counts of other n-grams, one pair per n."""
     out = 0.0
-    for p, marks in zip(presences, model.marks, strict=True):
-        out = out + (p @ marks) / np.sqrt(np.maximum(p.sum(axis=1, keepdims=True), 1))
+    for (p, others), marks in zip(presences, model.marks, strict=True):
+        out = out + (p @ marks) / np.sqrt(np.maximum(p.sum(axis=1) + others, 1))[:, None].astype(np.float32)
     return out / len(presences)
 
 
@@ -115,7 +118,7 @@ def fit_sets(texts: list[list[np.ndarray]], langs: list[str]) -> Model:
         s = np.full(256**n, -1, np.int16 if len(known) < 32_000 else np.int32)
         s[known] = np.arange(len(known))
         slots.append(s)
-        p = presence_of(s, len(known), [texts[i][j] for i in marks])
+        p, _ = presence_of(s, len(known), [texts[i][j] for i in marks])
         mats.append(np.ascontiguousarray((p / np.sqrt(np.maximum(p.sum(axis=1, keepdims=True), 1))).T))
     model = Model(names, slots, mats, np.zeros((len(marks), len(names))), np.zeros(len(names)))
     k = []
