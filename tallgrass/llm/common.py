@@ -24,9 +24,12 @@ ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; where unset (tests), an own one."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; where unset, an own one if the master is local, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tallgrass-")
         atexit.register(shutil.rmtree, base, True)
         spark.conf.set("spark.checkpoint.dir", base)
