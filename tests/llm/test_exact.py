@@ -480,3 +480,36 @@ def test_substring_query(spark):
     d = pd.read_parquet(f"{SF}/documents.parquet")
     for i, spans, kept in expected_cuts(list(zip(d.doc_id, d.text))):
         assert (out[i].n_spans, out[i].n_removed, out[i].kept_sha256) == (len(spans), sum(b - a for a, b in spans), hashlib.sha256(kept).hexdigest())
+
+
+def test_bpe_query(spark, tokenizer):
+    out = {r.doc_id: r for r in bpe.op5_bpe(spark, SF).collect()}
+    for i, t in pd.read_parquet(f"{SF}/documents.parquet")[["doc_id", "text"]].itertuples(index=False):
+        ids = tokenizer[1].encode(t or "", add_special_tokens=False).ids
+        decoded = tokenizer[1].decode(ids, skip_special_tokens=False)
+        want = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
+        assert (out[i].n_tokens, out[i].ids_sha256, out[i].decoded_sha256) == want
+
+
+def test_jaccard_query(spark):
+    d = pd.read_parquet(f"{SF}/documents.parquet")
+    got = pairs(jaccard.op6_jaccard_join(spark, SF), "doc_id", "n_shingles", "component_id")
+    assert got == expected_components(list(zip(d.doc_id.tolist(), d.text.tolist())))
+
+
+def test_chat_query(spark, tmp_path):
+    """Digests against the source's turns; conversation -7, also beside one of that id in the table."""
+    d = pd.read_parquet(f"{SF}/conversations.parquet")
+    more = pd.DataFrame({"conv_id": [-7, -7, -8], "turn": [1, 0, 0], "role": ["assistant", "user", "assistant"], "text": ["b [/INST] </s>", None, "x<\x1bs>"]})
+    d = pd.concat([d[list(more.columns)], more], ignore_index=True).astype(d[list(more.columns)].dtypes.to_dict())
+    d.to_parquet(tmp_path / "conversations.parquet")
+    fixed = "</s>[INST] ok [/INST]"
+    groups = [(int(k), list(zip(g.role, g.text.map(lambda t: t or "")))) for k, g in d.sort_values(["conv_id", "turn"], kind="stable").groupby("conv_id")]
+    groups.append((-7, [("user", fixed), ("assistant", fixed)]))
+
+    def digest(turns):
+        loss = "".join(t for r, t in turns if r == "assistant")
+        return len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
+
+    got = pairs(chat.op10_chat_formatting(spark, str(tmp_path)), "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256")
+    assert got == sorted(((k, *digest(t)) for k, t in groups), key=repr)

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +68,17 @@ def test_kernel_is_positive():
     assert np.allclose(k, k.T, atol=1e-5) and np.allclose(np.diag(k), 1, atol=1e-5) and np.linalg.eigvalsh(k).min() > -1e-5
 
 
+def test_kernel_is_the_stated_one():
+    """Against the formula over plain sets, for texts that share only some n-grams with the landmarks, or none."""
+    marks = [b"der hund lief nach haus", b"the cat sat on a mat", b"le chat noir"]
+    m = langid.fit(marks, ["de", "en", "fr"])
+    asked = [b"the dog sat", b"", b"xx", b"a", "zoë ğ".encode(), b"lief lief lief noir", bytes(range(1, 255))]
+    k = langid.kernel(m, np.frombuffer(b"".join(asked), np.uint8), np.cumsum([0, *map(len, asked)]))
+    grams = lambda t, n: {t[i : i + n] for i in range(len(t) - n + 1)}
+    want = [[sum(len(grams(x, n) & grams(z, n)) / math.sqrt(max(1, len(grams(x, n)) * len(grams(z, n)))) for n in (1, 2, 3)) / 3 for z in marks] for x in asked]
+    assert np.allclose(k, want, atol=1e-6)
+
+
 def test_quality(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet")
     rated = quality.grades(spark.read.parquet(f"{LARGER}/labels.parquet"))
@@ -139,6 +151,31 @@ def test_katz(docs, limit):
         assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-6 and abs(a[6] - b[6]) < 1e-6
 
 
+@pytest.mark.parametrize("rows", [70_000, 50_000])
+def test_katz_pieces_number_their_rows_in_16_bits(rows):
+    """Whatever the batch's size, no piece has more rows than a row number can tell apart."""
+    batch = pa.record_batch({"doc_id": pa.array(range(rows)), "held_out": pa.array([False] * rows), "text": pa.array([""] * rows)})
+    sizes = []
+    for parts, toks in katz.gathered(iter([batch, batch])):
+        row = np.concatenate([t[2] for t in toks])
+        sizes.append(sum(p.num_rows for p in parts))
+        assert (np.sort(row) == np.arange(sizes[-1])).all() and sizes[-1] <= 65_536
+    assert sum(sizes) == 2 * rows
+
+
+def test_katz_query(spark):
+    """The contract's columns, with its held-out remainder, against the plain version."""
+    d = pd.read_parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = list(zip(d.doc_id.tolist(), d.text.tolist()))
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
+    want = {r[0]: r for r in expected_scores(rows, held)}
+    out = katz.op7_lm_scoring(spark, "/root/testdata/sf0.001").collect()
+    assert len(out) == len(rows) and any(held)
+    for r in out:
+        w = want[r.doc_id]
+        assert tuple(r)[:5] == tuple(w)[:5] and abs(r.base_score - w[5]) < 1e-6 and abs(r.score - w[6]) < 1e-6
+
+
 def test_katz_of_nothing(docs, none):
     assert katz.scored(none, F.lit(False)).count() == 0
     out = katz.scored(docs, F.lit(True)).collect()
