@@ -17,13 +17,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import shared_dir
 
 N_SHARDS = 24
 BLOCK_ROWS = 50_000
+#: A source partition is at most so many neighbouring rows of one file: the most that a task permutes at once.
+PART_ROWS = 1_000_000
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
@@ -88,40 +89,42 @@ def shard_table(spark: SparkSession, path: str, n_shards: int = N_SHARDS, seed:
     """All rows and columns of the Parquet table at ``path`` plus ``shard`` (int) and ``slot`` (long).
 
     Shard sizes differ by one row at most; slots are gapless from 0 in each shard; every order of all rows is
-    as likely as any other, over the seeds. The source partition of a row is its file.
+    as likely as any other, over the seeds. A row's source partition is its place of PART_ROWS rows in its file.
     Defined results: an empty table gives no rows; null values, repeated rows and texts of any length move like
-    any other row, as the draw looks at positions only; columns called shard or slot are replaced.
-    What the driver holds and sends out is 16 bytes a file.
+    any other row, as the draw looks at positions only; columns called shard or slot are replaced, all others stay as they are.
+    What the driver holds and sends out is each file's path and row count, and 8 bytes a source partition.
     """
     rows = spark.read.parquet(path)
     rows = rows.drop("shard", "slot")
-    names = rows.columns
     files = rows.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n")).toPandas().sort_values("f")
     if files.empty:
         return rows.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
-    index = spark.sparkContext.broadcast({f: i for i, f in enumerate(files.f)})
-    ends = spark.sparkContext.broadcast(np.cumsum(files.n.to_numpy(np.int64)).tobytes())
-
-    @F.pandas_udf(T.IntegerType())
-    def block_of(file: pd.Series, at: pd.Series) -> pd.Series:
+    parts = -(-files.n.to_numpy(np.int64) // PART_ROWS)
+    index = spark.sparkContext.broadcast(dict(zip(files.f, np.cumsum(parts) - parts, strict=True)))
+    sizes = np.concatenate([np.diff(np.append(np.arange(0, n, PART_ROWS), n)) for n in files.n])
+    ends = spark.sparkContext.broadcast(np.cumsum(sizes).tobytes())
+
+    @F.pandas_udf("part long, block int")
+    def dealt_to(file: pd.Series, at: pd.Series) -> pd.DataFrame:
+        at = at.to_numpy(np.int64)
+        part = file.map(index.value).to_numpy(np.int64) + at // PART_ROWS
         out = np.zeros(len(at), np.int32)
-        for f in file.unique():
-            mine = (file == f).to_numpy()
-            out[mine] = _dealt(ends.value, index.value[f], n_shards, block_rows, seed)[at[mine].to_numpy(np.int64)]
-        return pd.Series(out)
+        for k in np.unique(part):
+            mine = part == k
+            out[mine] = _dealt(ends.value, int(k), n_shards, block_rows, seed)[at[mine] % PART_ROWS]
+        return pd.DataFrame({"part": part, "block": out})
 
     size, shard, first = targets(int(files.n.sum()), n_shards, block_rows)
-    blocks = spark.createDataFrame(pd.DataFrame({"_block": np.arange(len(size), dtype=np.int32), "shard": shard.astype(np.int32), "_first": first}))
-    at = Window.partitionBy("_block").orderBy("_order", "_file", "_at")
+    blocks = spark.createDataFrame(pd.DataFrame({"block": np.arange(len(size), dtype=np.int32), "shard": shard.astype(np.int32), "first": first}))
     dealt = rows.select(
-        *names,
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.row_index").alias("_at"),
-        block_of(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_block"),
-    )
-    dealt = dealt.withColumn("_order", F.xxhash64(F.lit(seed), F.col("_file"), F.col("_at"), F.lit("second")))
-    placed = dealt.withColumn("_n", F.row_number().over(at))
-    return placed.join(blocks, "_block").select(*names, "shard", (F.col("_first") + F.col("_n") - 1).alias("slot"))
+        F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("row"),
+        dealt_to(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("to"),
+        F.col("_metadata.row_index").alias("at"),
+    ).select("row", "at", "to.part", "to.block")
+    # the second permutation goes by a hash of the place, ties by the place itself
+    order = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed), "part", "at", F.lit("second")), "part", "at")
+    placed = dealt.withColumn("n", F.row_number().over(order))
+    return placed.join(blocks, "block").select("row.*", "shard", (F.col("first") + F.col("n") - 1).alias("slot"))
 
 
 @lru_cache(maxsize=2)
