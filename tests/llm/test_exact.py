@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tallgrass.llm import bpe, chat, components, decontam, jaccard, langid, sharding, substrings, topk
 from tallgrass.llm.common import staged
@@ -51,6 +52,19 @@ def test_shuffle_is_uniform_and_repeatable(spark, tmp_path):
     assert ((table - 42.8) ** 2 / 42.8).sum() < 110  # chi square, 54 degrees of freedom
 
 
+def test_shuffle_of_split_files(spark, tmp_path, monkeypatch):
+    """Files of one name in two folders, cut into source partitions, beside columns named like the operator's own."""
+    monkeypatch.setattr(sharding, "PART_ROWS", 7)
+    for k in "ab":
+        spark.range(100 * (k == "b"), 100 * (k == "b") + 50).select("id", *(F.lit(c).alias(c) for c in ("row", "block", "at", "part", "n.x"))).coalesce(1).write.parquet(str(tmp_path / k))
+        (f,) = (tmp_path / k).glob("*.parquet")
+        f.rename(tmp_path / k / "same.parquet")
+    out = [sharding.shard_table(spark, f"{tmp_path}/[ab]", 6, block_rows=4).collect() for _ in range(2)]
+    assert sorted(out[0]) == sorted(out[1]) and {r.id for r in out[0]} == {*range(50), *range(100, 150)}
+    assert all((r["row"], r["block"], r["at"], r["part"], r["n.x"]) == ("row", "block", "at", "part", "n.x") for r in out[0])
+    assert {(r.shard, r.slot) for r in out[0]} == {(s, i) for s in range(6) for i in range(17 if s < 4 else 16)}
+
+
 def test_large_draws():
     rng = np.random.default_rng(0)
     x = [sharding.hypergeometric(rng, 2_000_000_000, 6_000_000_000, 1_000_000) for _ in range(300)]
