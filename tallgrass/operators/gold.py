@@ -141,6 +141,23 @@ def build(silver: DataFrame, root: str) -> dict[str, DataFrame]:
     return out
 
 
+def detail_measures(stg: DataFrame) -> DataFrame:
+    """Daily rates, gas-oil ratio and water cut of each row of staging; NULL where the divisor is 0 or not reported."""
+    oil, gas, water, days = F.col("total_oil_bbl"), F.col("total_gas_mcf"), F.col("water_bbl"), F.col("days_produced")
+
+    def over(x: Column, y: Column) -> Column:
+        return F.try_divide(x, y.cast("double"))
+
+    return stg.withColumns(
+        {
+            "oil_rate_bbl_per_day": over(oil, days),
+            "gas_rate_mcf_per_day": over(gas, days),
+            "gor": over(gas, oil) * 1000,
+            "water_cut_pct": over(water, water + oil) * 100,
+        }
+    )
+
+
 def measures(monthly: DataFrame) -> DataFrame:
     """What a dashboard shows of each state: entities, totals, peaks and mean first volumes."""
     entity = monthly.groupBy("state", "entity_key").agg(

@@ -889,3 +889,28 @@ def scd2_wells(spark, d):
 def event_hash(spark, d):
     parts = [F.format_string("%.3f", F.coalesce(c, F.lit(0.0))) for c in ("oil_bbl", "gas_mcf", "water_bbl")]
     return adapter.silver(spark, d).select("state", "entity_type", "api_number", "lease_number", "production_date", F.sha2(F.concat_ws("|", *parts), 256).alias("event_hash"))
+
+
+@query(
+    """SELECT entity_key, state, production_date, total_oil_bbl / nullif(days_produced, 0) AS oil_rate_bbl_per_day, total_gas_mcf / nullif(days_produced, 0) AS gas_rate_mcf_per_day,
+  total_gas_mcf / nullif(total_oil_bbl, 0) * 1000 AS gor, water_bbl / nullif(water_bbl + total_oil_bbl, 0) * 100 AS water_cut_pct FROM stg""",
+    STG_SQL,
+)
+def production_detail_measures(spark, d):
+    return gold.detail_measures(stg(spark, d)).select("entity_key", "state", "production_date", "oil_rate_bbl_per_day", "gas_rate_mcf_per_day", "gor", "water_cut_pct")
+
+
+@query(
+    """, d AS (SELECT s_suppkey AS k, s_name, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)
+SELECT entity_type, s_name, n_name, r_name, count(*) AS months, sum(oil_bbl) AS oil_bbl FROM silver
+LEFT JOIN d ON k = coalesce(try_cast(right(api_number, 5) AS INTEGER), try_cast(lease_number AS INTEGER)) GROUP BY ALL""",
+    adapter.SILVER_SQL.strip(),
+)
+def dimension_walk(spark, d):
+    """Facts through a chain of dimensions: entity, county, region."""
+    s, n, r = (adapter.table(spark, d, x) for x in ("supplier", "nation", "region"))
+    walk = s.join(n, s.s_nationkey == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left").select(F.col("s_suppkey").alias("k"), "s_name", "n_name", "r_name")
+    key = F.coalesce(F.right("api_number", F.lit(5)).try_cast("int"), F.col("lease_number").try_cast("int"))
+    facts = adapter.silver(spark, d).withColumn("k", key)
+    sums = facts.groupBy("k", "entity_type").agg(F.count("*").alias("months"), F.sum("oil_bbl").alias("oil_bbl"))  # facts are summed before they meet the chain
+    return sums.join(walk, "k", "left").groupBy("entity_type", "s_name", "n_name", "r_name").agg(F.sum("months").alias("months"), F.sum("oil_bbl").alias("oil_bbl"))

@@ -62,3 +62,30 @@ EMBEDDINGS = (
     "node_id string, node_type string, parent_doc_id string, domain_tags array<string>, confidence float, content_json string, embed_text string, "
     "embedding array<float>, embedded_at timestamp, model string, is_valid boolean, validation_errors_json string, paper_dir string"
 )
+
+#: Primary keys of the stored tables; parts of a key are never NULL.
+KEYS = {
+    "properties": ("property_id",), "cases": ("case_id",), "forecast_series": ("case_id", "month_index"), "price_decks": ("price_deck_id", "month_index"), "embeddings": ("node_id",),
+}
+
+
+def broken_keys(df: DataFrame, table: str) -> DataFrame:
+    """Rows of ``table``'s key that are NULL in part or that more than one row has, with how many."""
+    keys = KEYS[table]
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter(null | (F.col("n_rows") > 1))
+
+
+def migrated(df: DataFrame, ddl: str, defaults: dict[str, object] | None = None) -> DataFrame:
+    """``df`` with exactly the columns of ``ddl``: missing ones added, all NULLs and empty texts of ``defaults``' columns filled, types cast."""
+    fields = T.StructType.fromDDL(ddl).fields
+    out = []
+    for f in fields:
+        c = F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)
+        if defaults and f.name in defaults:
+            fill = F.lit(defaults[f.name]).cast(f.dataType)
+            c = F.coalesce(F.nullif(c, F.lit("")) if isinstance(f.dataType, T.StringType) else c, fill)
+        out.append(c.alias(f.name))
+    return df.select(*out)
