@@ -142,15 +142,20 @@ def source_format(spark: SparkSession, folder: str) -> str:
     return "xml" if any(listed(spark, f"{base}/{at}wcproduction.xml") for at in ("", "*/", "*/*/")) else "text"
 
 
-def write_manifest(spark: SparkSession, folder: str, **facts) -> str:
-    """Write ``facts`` of a pull as ``manifest.json`` in its folder, replacing an older one; its path."""
-    path = f"{folder.rstrip('/')}/manifest.json"
+def write_json(spark: SparkSession, path: str, value: object) -> None:
+    """Write a small value as a JSON file, replacing an older one."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     out = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(p, True)
     try:
-        out.write(bytearray(json.dumps(facts, indent=2, default=str).encode()))
+        out.write(bytearray(json.dumps(value, indent=2, default=str).encode()))
     finally:
         out.close()
+
+
+def write_manifest(spark: SparkSession, folder: str, **facts) -> str:
+    """Write ``facts`` of a pull as ``manifest.json`` in its folder, replacing an older one; its path."""
+    path = f"{folder.rstrip('/')}/manifest.json"
+    write_json(spark, path, facts)
     return path
 
 

@@ -2,31 +2,83 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import deduplicate
 from ..schema import SILVER, conform
+from ..sources.files import listed, write_json
+
+MONTH = "month"
+
+
+def version(spark: SparkSession, store: str, number: int) -> dict[str, int]:
+    """Which batch wrote each ``state/month`` of a version; the table has a few thousand at most."""
+    path = f"{store}/versions/{number}.json"
+    if not listed(spark, path):
+        return {}
+    return json.loads("".join(r.value for r in spark.read.text(path).collect()))
+
+
+def current(spark: SparkSession, store: str, number: int | None = None) -> DataFrame:
+    """The silver rows of a version, the last one unless told."""
+    if number is None:
+        number = max((int(p.rpartition("/")[2].removesuffix(".json")) for p in listed(spark, f"{store}/versions/*.json")), default=-1)
+    return _rows(spark, store, version(spark, store, number))
+
+
+def _rows(spark: SparkSession, store: str, parts: dict[str, int]) -> DataFrame:
+    paths = [f"{store}/data/{n}/state={k.partition('/')[0]}/{MONTH}={k.partition('/')[2]}" for k, n in sorted(parts.items())]
+    if not paths:
+        return spark.createDataFrame([], SILVER)
+    roots = sorted(set(parts.values()))
+    out = None
+    for n in roots:
+        mine = [p for p in paths if p.startswith(f"{store}/data/{n}/")]
+        df = conform(spark.read.option("basePath", f"{store}/data/{n}").schema(SILVER).parquet(*mine))
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def ingest(spark: SparkSession, arrivals: str, store: str, checkpoint: str) -> StreamingQuery:
-    """Merge every new file under ``arrivals`` into ``store``/<batch>: the latest row of each entity and month wins.
+    """Merge every new file under ``arrivals`` into ``store``: the latest row of each entity and month wins.
 
-    Each micro-batch writes a whole new version, named by its number, so a batch that runs again writes the same one.
+    A micro-batch rewrites the states' months that it brings rows of, as files of its own number, and then a version that
+    says which batch holds each month. A batch that runs again writes the same files; a reader sees whole versions only.
+    Rows without state or month, which silver cannot hold, are left out. ``vacuum`` deletes what no version needs.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        old = f"{store}/{number - 1}"
-        rows = conform(batch)
-        if number:
-            rows = rows.unionByName(conform(batch.sparkSession.read.parquet(old)))
-        deduplicate(rows).write.mode("overwrite").partitionBy("state").parquet(f"{store}/{number}")
+        session = batch.sparkSession
+        rows = conform(batch).filter("state is not null and production_date is not null")
+        month = F.date_format("production_date", "yyyy-MM")
+        touched = {f"{r.state}/{r.m}" for r in rows.select("state", month.alias("m")).distinct().collect()}  # a few thousand at most
+        before = version(session, store, number - 1)
+        old = _rows(session, store, {k: n for k, n in before.items() if k in touched})
+        merged = deduplicate(rows.unionByName(old)).withColumn(MONTH, month)
+        merged.write.mode("overwrite").partitionBy("state", MONTH).parquet(f"{store}/data/{number}")
+        made = [p.split("/")[-2:] for p in listed(session, f"{store}/data/{number}/state=*/{MONTH}=*")]
+        write_json(session, f"{store}/versions/{number}.json", before | {f"{a.partition('=')[2]}/{b.partition('=')[2]}": number for a, b in made})
 
     stream = spark.readStream.schema(SILVER).parquet(arrivals)
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def vacuum(spark: SparkSession, store: str, keep: int = 1) -> list[int]:
+    """Delete versions but the last ``keep``, and batches that no kept version needs; the deleted batches' numbers."""
+    numbers = sorted(int(p.rpartition("/")[2].removesuffix(".json")) for p in listed(spark, f"{store}/versions/*.json"))
+    used = {n for v in numbers[-keep:] for n in version(spark, store, v).values()}
+    batches = {int(p.rpartition("/")[2]) for p in listed(spark, f"{store}/data/*")}
+    jvm, conf = spark.sparkContext._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for gone in [*(f"{store}/versions/{v}.json" for v in numbers[:-keep]), *(f"{store}/data/{n}" for n in batches - used)]:
+        p = jvm.org.apache.hadoop.fs.Path(gone)
+        p.getFileSystem(conf).delete(p, True)
+    return sorted(batches - used)
+
+
 def monthly_totals(stream: DataFrame, late: str = "62 days") -> DataFrame:
     """Oil and gas by state and month of a stream of silver rows; a month closes once rows ``late`` after it have come."""
     at = stream.withColumn("month", F.col("production_date").cast("timestamp")).withWatermark("month", late)

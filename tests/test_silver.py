@@ -183,12 +183,18 @@ def test_feature_service_that_sends_nothing_more():
 
 
 def test_streamed_silver(spark, silver, tmp_path):
-    from tallgrass.streaming.silver import ingest
+    """A batch rewrites only the months it brings; older versions stay until they are vacuumed."""
+    from tallgrass.streaming.silver import current, ingest, vacuum, version
 
     src, store, cp = (str(tmp_path / x) for x in ("in", "store", "cp"))
+    assert current(spark, store).count() == 0
     silver.coalesce(1).write.parquet(src)
     ingest(spark, src, store, cp).awaitTermination()
-    silver.withColumns({"oil_bbl": F.lit(1.0), "ingested_at": F.lit("2027-01-01").cast("timestamp")}).limit(1).coalesce(1).write.mode("append").parquet(src)
+    new = silver.filter("production_date = '2024-02-01' and county = 'EDDY'").withColumns({"oil_bbl": F.lit(1.0), "ingested_at": F.lit("2027-01-01").cast("timestamp")})
+    new.unionByName(silver.limit(1).withColumns({"entity_type": F.lit("unit"), "production_date": F.lit("2031-01-01").cast("date")})).coalesce(1).write.mode("append").parquet(src)
     ingest(spark, src, store, cp).awaitTermination()
-    out = spark.read.parquet(f"{store}/1")
-    assert out.count() == 12 and out.filter("oil_bbl = 1").count() == 1
+    out = current(spark, store)
+    assert out.count() == 12 and out.filter("oil_bbl = 1").count() == 1 and out.columns == SILVER_COLUMNS
+    assert current(spark, store, 0).filter("oil_bbl = 1").count() == 0
+    assert {k for k, n in version(spark, store, 1).items() if n == 1} == {"NM/2024-02"}
+    assert vacuum(spark, store) == [] and current(spark, store).count() == 12 and version(spark, store, 0) == {}
