@@ -32,9 +32,9 @@ class Lists:
     def __init__(self, ids: np.ndarray, v: np.ndarray):
         by = np.argsort(ids, kind="stable")
         self.ids, v = ids[by], v[by]
-        self.exact = np.abs(v).max(initial=0) ** 2 * max(1, v.shape[1]) < 2.0**52
-        self.v = v if self.exact else v.astype(np.int64)
-        self.order = np.argsort(v, axis=0, kind="stable").T.copy()  # dimensions x rows, ascending
+        most = np.abs(v).max(initial=0) ** 2 * max(1, v.shape[1])  # of any inner product of its rows; the narrowest exact type serves
+        self.v = v.astype(np.float32 if most < 2.0**24 else np.float64 if most < 2.0**52 else np.int64)
+        self.order = np.argsort(v, axis=0, kind="stable").T.astype(np.int32)  # dimensions x rows, ascending
         self.sorted = np.take_along_axis(v, self.order.T, axis=0).T.copy()
 
     def best(self, query_id: int, q: np.ndarray, k: int, floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
@@ -42,10 +42,12 @@ class Lists:
         n = len(self.ids)
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         seen = np.zeros(n, bool)
-        rows, scores = np.zeros(0, np.int64), np.zeros(0, self.v.dtype)
-        weights = q if self.exact else q.astype(np.int64)
-        depth, step = 0, STEP
-        while depth < n:
+        most = np.abs(q).max(initial=0) * np.abs(self.sorted[:, [0, -1]]).max(initial=0) * max(1, len(q)) if n else 0
+        kind = np.float32 if most < 2.0**24 and self.v.dtype == np.float32 else np.float64 if most < 2.0**52 and self.v.dtype != np.int64 else np.int64
+        weights, v = q.astype(kind), self.v.astype(kind, copy=False)
+        rows, scores = np.zeros(0, np.int64), np.zeros(0, kind)
+        depth, step, left = 0, STEP, n
+        while left:
             to = min(n, depth + step)
             new = np.zeros(n, bool)
             if len(up) + len(down):
@@ -57,15 +59,20 @@ class Lists:
             new &= ~seen
             seen |= new
             got = np.flatnonzero(new)
-            rows = np.concatenate((rows, got[self.ids[got] != query_id]))
-            scores = np.concatenate((scores, self.v[got[self.ids[got] != query_id]] @ weights))
+            left -= len(got)
+            # rows scattered over most of the block are read in one sweep, few ones by themselves
+            score = (v @ weights)[got] if 4 * len(got) > n else v[got] @ weights
+            other = self.ids[got] != query_id
+            rows, scores = np.concatenate((rows, got[other])), np.concatenate((scores, score[other]))
             if len(rows) > k:
-                keep = np.lexsort((rows, -scores))[:k]
+                edge = np.partition(scores, len(scores) - k)[len(scores) - k]
+                good = np.flatnonzero(scores >= edge)
+                keep = good[np.lexsort((rows[good], -scores[good]))[:k]]
                 rows, scores = rows[keep], scores[keep]
             depth, step = to, step * 2
             least = max(floor, scores.min()) if len(rows) >= k else floor
-            if least > -np.inf and depth < n:
-                bound = weights[up] @ self.sorted[up, n - depth] + weights[down] @ self.sorted[down, depth - 1]
+            if least > -np.inf and left:
+                bound = q[up] @ self.sorted[up, n - depth] + q[down] @ self.sorted[down, depth - 1]
                 if bound < least:
                     break
         keep = np.lexsort((rows, -scores))[:k]
