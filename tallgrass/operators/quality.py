@@ -95,6 +95,22 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
 
 
+def generic_tests(df: DataFrame, not_null: Sequence[str] = (), accepted: dict[str, Sequence] | None = None, unique: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """One row per test of any table: columns without NULLs, columns with only the ``accepted`` values (NULL passes), and keys
+    that no two rows share (failures: rows beyond the first of a key)."""
+    single = {f"not_null_{c}": F.col(c).isNull() for c in not_null}
+    single |= {f"accepted_values_{c}": ~F.coalesce(F.col(c).isin(*values), F.lit(True)) for c, values in (accepted or {}).items()}
+    out = None
+    if single:
+        row = df.agg(*(F.count_if(x).alias(k) for k, x in single.items()))
+        out = row.select(F.explode(F.create_map(*(x for k in single for x in (F.lit(k), F.col(k))))).alias("test_name", "failures"))
+    for keys in unique:
+        rows = df.groupBy(*keys).agg((F.count("*") - 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
+        row = rows.select(F.lit("unique_" + "_".join(keys)).alias("test_name"), "failures")
+        out = row if out is None else out.unionByName(row)
+    return out.withColumn("passed", F.col("failures") == 0)
+
+
 def dedup_integrity(df: DataFrame) -> DataFrame:
     """One row per entity type: how many rows share their key with another."""
     out = None

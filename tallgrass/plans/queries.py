@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import api_from_parts, basin_of, county_of_label, first_of_month, normalize_api, number, well_status, well_type
-from ..functions.codes import BASINS, NM_TYPE
+from ..functions.codes import NM_BASIN, NM_TYPE
 from ..operators import decline, dedup, economics, exports, gold, layers, papers, quality
 from . import adapter
 
@@ -379,7 +379,7 @@ def parse_production_date(spark, d):
     return adapter.table(spark, d, "orders").select("o_orderkey", first_of_month(y, m, 1900, 2100).alias("production_date"), number(v).alias("volume"))
 
 
-NM_CASES = " ".join(f"WHEN '{c.replace('_', ' ')}' THEN '{b}'" for b, cs in BASINS["NM"].items() for c in cs.split())
+NM_CASES = " ".join(f"WHEN '{county}' THEN '{basin}'" for county, basin in NM_BASIN.items())
 
 
 @query(

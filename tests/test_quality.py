@@ -67,3 +67,10 @@ def test_gold_tests_find_faults(spark):
     monthly = gold.production_monthly(stg)
     out = {r.test_name: r.violations for r in quality.summary(quality.gold_tests(stg, monthly.withColumn("reported_month_index", F.col("reported_month_index") + 1), gold.decline_curve_inputs(stg))).collect()}
     assert out["negative_volume"] == 1 and out["null_entity_key"] == 1 and out["future_date"] == 1 and out["month_index_sequential"] == 3
+
+
+def test_generic_tests(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), (None, 2), ("z", None)], "s string, n int")
+    got = {r.test_name: (r.failures, r.passed) for r in quality.generic_tests(df, ["s", "n"], {"s": ["a", "b"], "n": [1, 2]}, [["s", "n"], ["n"]]).collect()}
+    assert got == {"not_null_s": (1, False), "not_null_n": (1, False), "accepted_values_s": (1, False), "accepted_values_n": (0, True), "unique_s_n": (1, False), "unique_n": (1, False)}
+    assert all(r.passed for r in quality.generic_tests(df.limit(0), ["s"], {"s": ["a"]}, [["s"]]).collect())
