@@ -188,10 +188,10 @@ def span_hash(s: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return mix((s[hi] - s[lo]) * powers(len(s))[1][lo] + (hi - lo).astype(U64))
 
 
-def word_hashes(raw: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words in text order, and where each row's words begin and end among them."""
+def word_spans(raw: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The lower-cased bytes, the spans [lo, hi) of all words in text order, and where each row's words begin and end among them."""
     if not len(raw):
-        return np.zeros(0, U64), np.zeros(len(offs), np.int64)
+        return np.zeros(0, np.int16), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offs), np.int64)
     b = table[raw]
     inside = b != 0
     first = np.zeros(len(raw) + 1, bool)
@@ -201,7 +201,22 @@ def word_hashes(raw: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[n
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | first[1:-1]
     lo, hi = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    return span_hash(prefix_hash(b), lo, hi), np.searchsorted(lo, offs)
+    return b, lo, hi, np.searchsorted(lo, offs)
+
+
+def word_hashes(raw: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words in text order, and where each row's words begin and end among them."""
+    b, lo, hi, at = word_spans(raw, offs, table)
+    return span_hash(prefix_hash(b), lo, hi), at
+
+
+def words_at(b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
+    """The words at spans of ``word_spans``' bytes, as strings."""
+    size = hi - lo
+    ends = np.cumsum(size)
+    at = np.repeat(lo - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+    data = pa.py_buffer(b[at].astype(np.uint8).tobytes())
+    return pa.Array.from_buffers(pa.large_string(), len(lo), [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int64).tobytes()), data])
 
 
 def arrow_type_names(df: DataFrame) -> str:

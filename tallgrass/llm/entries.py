@@ -8,6 +8,7 @@ from .decontam import OP3_SQL, op3_decontamination
 from .jaccard import op6_jaccard_join
 from .katz import op7_lm_scoring
 from .langid import op4_language_id
+from .lexical import OP13_SQL, op13_lexical_search
 from .quality import op2_quality
 from .sharding import op1_sharding
 from .substrings import op8_substring_dedup
@@ -16,9 +17,10 @@ from .topk import OP9_SQL, op9_topk
 
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
-    return {f.__name__: f for f in (op1_sharding, op2_quality, op3_decontamination, op4_language_id, op5_bpe, op6_jaccard_join, op7_lm_scoring, op8_substring_dedup, op9_topk, op10_chat_formatting)}
+    of = (op1_sharding, op2_quality, op3_decontamination, op4_language_id, op5_bpe, op6_jaccard_join, op7_lm_scoring, op8_substring_dedup, op9_topk, op10_chat_formatting)
+    return {f.__name__: f for f in (*of, op13_lexical_search)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Query name -> DuckDB SQL."""
-    return {"op3_decontamination": OP3_SQL, "op9_topk": OP9_SQL}
+    return {"op3_decontamination": OP3_SQL, "op9_topk": OP9_SQL, "op13_lexical_search": OP13_SQL}
