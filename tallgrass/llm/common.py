@@ -7,7 +7,7 @@ import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -57,11 +57,49 @@ def tidy(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, was)
 
 
+_scopes: list[list[str]] = []
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder. Within ``swept`` it is deleted at the end."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete what is staged in here at the end. The function that it gives stages a table that outlives it."""
+    mine: list[str] = []
+    _scopes.append(mine)
+
+    def kept(df: DataFrame) -> DataFrame:
+        out = staged(df, "result")
+        mine.remove(out.staged_at)
+        if len(_scopes) > 1:
+            _scopes[-2].append(out.staged_at)
+        return out
+
+    try:
+        yield kept
+    finally:
+        _scopes.remove(mine)
+        for path in mine:
+            deleted(spark, path)
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage ends here, any executor may be lost."""
     spark = df.sparkSession
     modest(spark)
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = shared_path(spark, name)
     with tidy(spark):
         df.select("*").write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -72,8 +110,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def forget(*tables: DataFrame) -> None:
     """Delete what ``staged`` wrote; nothing may read these tables any more."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_at)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        deleted(df.sparkSession, df.staged_at)
 
 
 #: Tables of at most so many rows and bytes are broadcast; larger ones are joined by shuffle.

@@ -13,14 +13,15 @@ from .quality import op2_quality
 from .sharding import op1_sharding
 from .substrings import op8_substring_dedup
 from .topk import OP9_SQL, op9_topk
+from .warc import OP12_SQL, op12_warc
 
 
 def queries() -> dict:
     """Query name -> callable(spark, sf_dir)."""
     of = (op1_sharding, op2_quality, op3_decontamination, op4_language_id, op5_bpe, op6_jaccard_join, op7_lm_scoring, op8_substring_dedup, op9_topk, op10_chat_formatting)
-    return {f.__name__: f for f in (*of, op13_lexical_search)}
+    return {f.__name__: f for f in (*of, op12_warc, op13_lexical_search)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Query name -> DuckDB SQL."""
-    return {"op3_decontamination": OP3_SQL, "op9_topk": OP9_SQL, "op13_lexical_search": OP13_SQL}
+    return {"op3_decontamination": OP3_SQL, "op9_topk": OP9_SQL, "op12_warc": OP12_SQL, "op13_lexical_search": OP13_SQL}
