@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from ..sources.store import Store
+
 IDENTITY = ("state", "entity_type", "api_number", "lease_number", "district")
 DESCRIPTIVE = ("well_name", "operator", "county", "field_name", "basin", "well_type", "well_status")
 PLACE = ("latitude", "longitude")
@@ -119,25 +121,29 @@ FACTS = ("production_monthly", "decline_curve_inputs")
 def build(silver: DataFrame, root: str) -> dict[str, DataFrame]:
     """Create or replace all gold tables under ``root``, and views of the same names over them and the staging view.
 
-    Facts are partitioned by state. A table is written beside the old one and takes its place at the end, so a reader of the old
-    files never sees half a table; an empty silver table gives empty tables of the same columns.
+    Facts are partitioned by state. All tables become visible with one commit of the store: until then, and whenever a build breaks
+    off, readers find the tables of the last build; a table that was opened before stays readable. An empty silver table gives empty
+    tables of the same columns.
     """
     spark = silver.sparkSession
     stg = staging(silver)
     stg.createOrReplaceTempView("stg_production")
     made = {"production_monthly": production_monthly(stg), "decline_curve_inputs": decline_curve_inputs(stg)}
     made |= {"schema_registry": schema_registry(spark), "schema_registry_columns": schema_registry_columns(spark, made)}
-    out = {}
-    for name, df in made.items():
-        path = f"{root}/{name}"
-        rows = df.write.mode("overwrite")
-        (rows.partitionBy("state") if name in FACTS else rows).parquet(f"{path}.new")
-        old, new = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (path, f"{path}.new"))
-        store = old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-        store.delete(old, True)
-        store.rename(new, old)
-        out[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
-        out[name].createOrReplaceTempView(name)
+    store = Store(spark, root)
+    base = store.snapshot()
+    changes = {name: store.write(name, df, partitioned=("state",) if name in FACTS else ()) for name, df in made.items()}
+    store.commit(base, changes)
+    return opened(spark, root)
+
+
+def opened(spark: SparkSession, root: str, number: int | None = None) -> dict[str, DataFrame]:
+    """The gold tables of the last build, or of snapshot ``number``, and views of the same names over them. They stay as they are through later builds."""
+    store = Store(spark, root)
+    at = store.snapshot(number)
+    out = {name: store.read(name, at) for name in at.tables}
+    for name, df in out.items():
+        df.createOrReplaceTempView(name)
     return out
 
 

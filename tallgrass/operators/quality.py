@@ -105,7 +105,8 @@ def generic_tests(df: DataFrame, not_null: Sequence[str] = (), accepted: dict[st
         row = df.agg(*(F.count_if(x).alias(k) for k, x in single.items()))
         out = row.select(F.explode(F.create_map(*(x for k in single for x in (F.lit(k), F.col(k))))).alias("test_name", "failures"))
     for keys in unique:
-        rows = df.groupBy(*keys).agg((F.count("*") - 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
+        beyond = df.groupBy(*(F.col(f"`{k}`").alias(f"key_{i}") for i, k in enumerate(keys))).agg((F.count("*") - 1).alias("beyond_first"))
+        rows = beyond.agg(F.coalesce(F.sum("beyond_first"), F.lit(0)).alias("failures"))
         row = rows.select(F.lit("unique_" + "_".join(keys)).alias("test_name"), "failures")
         out = row if out is None else out.unionByName(row)
     return out.withColumn("passed", F.col("failures") == 0)

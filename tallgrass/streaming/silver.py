@@ -1,8 +1,13 @@
-"""Arriving silver rows kept deduplicated. An extension: batch rebuilds stay the reference behaviour."""
+"""Arriving silver rows kept deduplicated. An extension: batch rebuilds stay the reference behaviour.
+
+The rows stand in a ``Store``, in parts by state and month. Snapshots are numbered by the store, and each keeps the last batch of every stream
+that wrote to it, by the stream's own id: a batch that runs again finds itself in and changes nothing; a stream with a new checkpoint is another
+stream, whose rows are merged with those that are there.
+"""
 
 from __future__ import annotations
 
-import json
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,73 +15,64 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import deduplicate
 from ..schema import SILVER, conform
-from ..sources.files import listed, write_json
-
-MONTH = "month"
-
-
-def version(spark: SparkSession, store: str, number: int) -> dict[str, int]:
-    """Which batch wrote each ``state/month`` of a version; the table has a few thousand at most."""
-    path = f"{store}/versions/{number}.json"
-    if not listed(spark, path):
-        return {}
-    return json.loads("".join(r.value for r in spark.read.text(path).collect()))
+from ..sources.store import Conflict, Snapshot, Store
 
+TABLE = "silver"
+#: Tries of a batch against other writers of the same months.
+TRIES = 5
 
-def current(spark: SparkSession, store: str, number: int | None = None) -> DataFrame:
-    """The silver rows of a version, the last one unless told."""
-    if number is None:
-        number = max((int(p.rpartition("/")[2].removesuffix(".json")) for p in listed(spark, f"{store}/versions/*.json")), default=-1)
-    return _rows(spark, store, version(spark, store, number))
 
+def current(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
+    """The silver rows of a snapshot, the last one unless told."""
+    store = Store(spark, root)
+    at = store.snapshot(number)
+    return conform(store.read(TABLE, at)) if TABLE in at.tables else spark.createDataFrame([], SILVER)
 
-def _rows(spark: SparkSession, store: str, parts: dict[str, int]) -> DataFrame:
-    paths = [f"{store}/data/{n}/state={k.partition('/')[0]}/{MONTH}={k.partition('/')[2]}" for k, n in sorted(parts.items())]
-    if not paths:
-        return spark.createDataFrame([], SILVER)
-    roots = sorted(set(parts.values()))
-    out = None
-    for n in roots:
-        mine = [p for p in paths if p.startswith(f"{store}/data/{n}/")]
-        df = conform(spark.read.option("basePath", f"{store}/data/{n}").schema(SILVER).parquet(*mine))
-        out = df if out is None else out.unionByName(df)
-    return out
 
+def merge(store: Store, batch: DataFrame, source: tuple[str, int]) -> Snapshot:
+    """Merge a batch of silver rows, number and stream of which ``source`` tells: the latest row of each entity and month wins.
 
-def ingest(spark: SparkSession, arrivals: str, store: str, checkpoint: str) -> StreamingQuery:
-    """Merge every new file under ``arrivals`` into ``store``: the latest row of each entity and month wins.
-
-    A micro-batch rewrites the states' months that it brings rows of, as files of its own number, and then a version that
-    says which batch holds each month. A batch that runs again writes the same files; a reader sees whole versions only.
-    Rows without state or month, which silver cannot hold, are left out. ``vacuum`` deletes what no version needs.
+    Only the states' months that the batch brings rows of are read and written again. Of rows with the same time of ingestion, those of the batch win.
+    Rows without state or month, which silver cannot hold, are left out.
     """
-
-    def merge(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        rows = conform(batch).filter("state is not null and production_date is not null")
-        month = F.date_format("production_date", "yyyy-MM")
-        touched = {f"{r.state}/{r.m}" for r in rows.select("state", month.alias("m")).distinct().collect()}  # a few thousand at most
-        before = version(session, store, number - 1)
-        old = _rows(session, store, {k: n for k, n in before.items() if k in touched})
-        merged = deduplicate(rows.unionByName(old)).withColumn(MONTH, month)
-        merged.write.mode("overwrite").partitionBy("state", MONTH).parquet(f"{store}/data/{number}")
-        made = [p.split("/")[-2:] for p in listed(session, f"{store}/data/{number}/state=*/{MONTH}=*")]
-        write_json(session, f"{store}/versions/{number}.json", before | {f"{a.partition('=')[2]}/{b.partition('=')[2]}": number for a, b in made})
+    rows = conform(batch).filter("state is not null and production_date is not null").withColumn("_new", F.lit(1))
+    part = F.concat_ws("-", "state", F.date_format("production_date", "yyyy-MM"))
+    for k in range(TRIES):
+        base = store.snapshot()
+        if base.sources.get(source[0], -1) >= source[1]:
+            return base
+        touched = [r[0] for r in rows.select(part).distinct().collect()]  # a few thousand at most
+        both = rows
+        if TABLE in base.tables:
+            both = rows.unionByName(conform(store.read(TABLE, base, touched)).withColumn("_new", F.lit(0)))
+        merged = deduplicate(both, "_new").drop("_new")
+        try:
+            return store.commit(base, {TABLE: store.write(TABLE, merged, part)}, source)
+        except Conflict:
+            if k == TRIES - 1:
+                raise
+    raise AssertionError
+
+
+def ingest(spark: SparkSession, arrivals: str, root: str, checkpoint: str) -> StreamingQuery:
+    """Merge every new file under ``arrivals`` into the store at ``root``, until all that is there is in."""
+    known = threading.Event()
+    name: list[str] = []
+
+    def run(batch: DataFrame, number: int) -> None:
+        known.wait()
+        merge(Store(batch.sparkSession, root), batch, (name[0], number))
 
     stream = spark.readStream.schema(SILVER).parquet(arrivals)
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def vacuum(spark: SparkSession, store: str, keep: int = 1) -> list[int]:
-    """Delete versions but the last ``keep``, and batches that no kept version needs; the deleted batches' numbers."""
-    numbers = sorted(int(p.rpartition("/")[2].removesuffix(".json")) for p in listed(spark, f"{store}/versions/*.json"))
-    used = {n for v in numbers[-keep:] for n in version(spark, store, v).values()}
-    batches = {int(p.rpartition("/")[2]) for p in listed(spark, f"{store}/data/*")}
-    jvm, conf = spark.sparkContext._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    for gone in [*(f"{store}/versions/{v}.json" for v in numbers[:-keep]), *(f"{store}/data/{n}" for n in batches - used)]:
-        p = jvm.org.apache.hadoop.fs.Path(gone)
-        p.getFileSystem(conf).delete(p, True)
-    return sorted(batches - used)
+    query = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    name.append(str(query.id))  # kept in the checkpoint, so restarts have the same
+    known.set()
+    return query
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
+    """Delete snapshots but the last ``keep``, and files that none of those needs; the folders deleted."""
+    return Store(spark, root).vacuum(keep)
 
 
 def monthly_totals(stream: DataFrame, late: str = "62 days") -> DataFrame:

