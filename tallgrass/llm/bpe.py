@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers.normalizers import NFC
 
 from .common import BATCH_BYTES, arrow_type_names
 
@@ -30,6 +31,7 @@ CACHE_WORDS, CACHE_PAIRS = 400_000, 1_000_000
 #: White space as the tokenizer's patterns see it, a fixed value.
 WS = r"\t-\r \x85\xa0  -     　"
 _SPACE = re.compile(f"[{WS}]")
+_MARKS = re.compile("[^\x00-\u02ff]")
 # Letters, numbers and lower-case forms of Unicode 16, which the tokenizer goes by, that Unicode 15.1 lacks.
 NEW_LETTERS = (
     (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
@@ -183,9 +185,12 @@ class Vocabulary:
         return out
 
     def normal(self, text: str) -> str:
-        """NFC and lower case, each character on its own."""
+        """NFC and lower case, each character on its own. NFC is the tokenizers library's, whose Unicode version is older than Python's:
+        marks that it does not know stay where they are. Below U+0300 nothing is composed or reordered."""
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            if _MARKS.search(text):
+                text = NFC().normalize_str(text)
+            text = text.replace("Σ", "σ")
         return text.lower()
 
     def encode(self, text: str, cache: Cache) -> bytes:
