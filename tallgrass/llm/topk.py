@@ -26,14 +26,25 @@ BLOCK, QUERIES = 8192, 512
 STEP = 32
 
 
+def exact(most: float) -> type:
+    """The narrowest type in which sums of products of whole numbers are exact if none passes ``most``; beyond floats, Python's numbers."""
+    return np.float32 if most < 2.0**24 else np.float64 if most < 2.0**52 else object
+
+
+def whole(x: np.ndarray, kind: type) -> np.ndarray:
+    """Whole numbers as ``kind``."""
+    if kind is not object:
+        return x.astype(kind, copy=False)
+    return x if x.dtype == object else np.array([int(y) for y in x.ravel()], object).reshape(x.shape)
+
+
 class Lists:
     """The sorted lists of one block. v: rows x dimensions (whole numbers), ids: the rows' ids."""
 
     def __init__(self, ids: np.ndarray, v: np.ndarray):
         by = np.argsort(ids, kind="stable")
         self.ids, v = ids[by], v[by]
-        most = np.abs(v).max(initial=0) ** 2 * max(1, v.shape[1])  # of any inner product of its rows; the narrowest exact type serves
-        self.v = v.astype(np.float32 if most < 2.0**24 else np.float64 if most < 2.0**52 else np.int64)
+        self.v = whole(v, exact(np.abs(v).max(initial=0) ** 2 * max(1, v.shape[1])))
         self.order = np.argsort(v, axis=0, kind="stable").T.astype(np.int32)  # dimensions x rows, ascending
         self.sorted = np.take_along_axis(v, self.order.T, axis=0).T.copy()
 
@@ -43,8 +54,9 @@ class Lists:
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         seen = np.zeros(n, bool)
         most = np.abs(q).max(initial=0) * np.abs(self.sorted[:, [0, -1]]).max(initial=0) * max(1, len(q)) if n else 0
-        kind = np.float32 if most < 2.0**24 and self.v.dtype == np.float32 else np.float64 if most < 2.0**52 and self.v.dtype != np.int64 else np.int64
-        weights, v = q.astype(kind), self.v.astype(kind, copy=False)
+        kinds = [np.float32, np.float64, object]
+        kind = max(exact(most), self.v.dtype.type if self.v.dtype != object else object, key=kinds.index)
+        weights, v = whole(q, kind), whole(self.v, kind)
         rows, scores = np.zeros(0, np.int64), np.zeros(0, kind)
         depth, step, left = 0, STEP, n
         while left:
@@ -72,7 +84,8 @@ class Lists:
             depth, step = to, step * 2
             least = max(floor, scores.min()) if len(rows) >= k else floor
             if least > -np.inf and left:
-                bound = q[up] @ self.sorted[up, n - depth] + q[down] @ self.sorted[down, depth - 1]
+                reached = np.concatenate((self.sorted[up, n - depth], self.sorted[down, depth - 1]))
+                bound = np.concatenate((weights[up], weights[down])) @ whole(reached, kind if kind is object else np.float64)
                 if bound < least:
                     break
         keep = np.lexsort((rows, -scores))[:k]
@@ -80,38 +93,52 @@ class Lists:
         return self.ids[rows[keep]], scores[keep].astype(np.int64)
 
 
+#: The types that a block's numbers are sent in, narrowest first.
+KINDS = ("int8", "int16", "int32", "float64")
+
+
 def packed(df: DataFrame, size: int) -> DataFrame:
-    """Rows (id, v: array of doubles) as blocks (n: 0, 1, ..., ids, vectors, width) of at most ``size`` rows."""
+    """Rows (id, v: array of whole doubles, floor) as blocks (n: 0, 1, ..., ids, vectors, width, kind, floors) of at most ``size`` rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
         rows: list[np.ndarray] = []
+        floors: list[float] = []
 
         def block() -> pa.RecordBatch:
             width = max(map(len, rows))
             m = np.zeros((len(rows), width))
             for i, r in enumerate(rows):
                 m[i, : len(r)] = r
-            cols = [pa.array([np.array(ids, np.int64).tobytes()]), pa.array([m.tobytes()]), pa.array([width], pa.int32())]
-            return pa.RecordBatch.from_arrays(cols, ["ids", "vectors", "width"])
+            kind = next(k for k in KINDS if k == KINDS[-1] or np.abs(m).max(initial=0) < np.iinfo(k).max)
+            blobs = (np.array(ids, np.int64), m.astype(kind), np.array(floors, np.float64))
+            cols = [pa.array([x.tobytes()]) for x in blobs]
+            cols = [*cols[:2], pa.array([width], pa.int32()), pa.array([kind]), cols[2]]
+            return pa.RecordBatch.from_arrays(cols, ["ids", "vectors", "width", "kind", "floors"])
 
         for b in batches:
             v = b.column("v")
             values, at = np.asarray(v.flatten()), np.concatenate(([0], np.cumsum(np.asarray(v.value_lengths()))))
-            for i, k in enumerate(b.column("id").to_pylist()):
+            for i, (k, f) in enumerate(zip(b.column("id").to_pylist(), b.column("floor").to_pylist(), strict=True)):
                 ids.append(k)
+                floors.append(f)
                 rows.append(values[at[i] : at[i + 1]])
                 if len(rows) == size:
                     yield block()
-                    ids, rows = [], []
+                    ids, rows, floors = [], [], []
         if rows:
             yield block()
 
-    blocks = staged(df.mapInArrow(run, "ids binary, vectors binary, width int"), "blocks")
+    blocks = staged(df.mapInArrow(run, "ids binary, vectors binary, width int, kind string, floors binary"), "blocks")
     files = blocks.withColumns({"f": F.col("_metadata.file_name"), "r": F.col("_metadata.row_index")})
     first = files.groupBy("f").agg(F.count("*").alias("c"))
     first = first.select("f", (F.sum("c").over(Window.orderBy("f")) - F.col("c")).alias("first"))
-    return files.join(first, "f").select((F.col("first") + F.col("r")).alias("n"), "ids", "vectors", "width")
+    return files.join(first, "f").select((F.col("first") + F.col("r")).alias("n"), "ids", "vectors", "width", "kind", "floors")
+
+
+def matrix(blob: bytes, kind: str, rows: int, width: int, filled: int) -> np.ndarray:
+    """A block's vectors as doubles, filled up with zeros to ``filled`` columns."""
+    return np.pad(np.frombuffer(blob, kind).astype(np.float64).reshape(rows, width), ((0, 0), (0, filled - width)))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -122,7 +149,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     give fewer rows; ties go to the smaller id.
     """
     n = vectors.count()
-    blocks = staged(packed(vectors.coalesce(max(1, -(-n // BLOCK))), BLOCK), "vectors")  # full blocks, however small the input's partitions
+    none = F.lit(float("-inf")).alias("floor")
+    blocks = staged(packed(vectors.select("id", "v", none).coalesce(max(1, -(-n // BLOCK))), BLOCK).drop("floors"), "vectors")  # full blocks, however small the input's partitions
     parts = max(1, -(-queries.count() // (4 * QUERIES)))
     count = blocks.count()
     if not count:
@@ -132,21 +160,21 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         last, lists = None, None
         for b in batches:
             for r in b.to_pylist():
-                w = max(r["width"], r["q_width"] - 1)
+                w = max(r["width"], r["q_width"])
                 if last != (r["ids"], w):
-                    v = np.frombuffer(r["vectors"]).reshape(-1, r["width"])
-                    lists = Lists(np.frombuffer(r["ids"], np.int64), np.pad(v, ((0, 0), (0, w - r["width"]))))
+                    block = np.frombuffer(r["ids"], np.int64)
+                    lists = Lists(block, matrix(r["vectors"], r["kind"], len(block), r["width"], w))
                     last = (r["ids"], w)
-                q = np.frombuffer(r["q"]).reshape(-1, r["q_width"])
-                floors, q = q[:, 0], np.pad(q[:, 1:], ((0, 0), (0, w - r["q_width"] + 1)))
-                out = [(i, *lists.best(i, x, k, f)) for i, x, f in zip(np.frombuffer(r["q_ids"], np.int64), q, floors, strict=True)]
+                asked, floors = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["floors"])
+                q = matrix(r["q"], r["q_kind"], len(asked), r["q_width"], w)
+                out = [(i, *lists.best(i, x, k, f)) for i, x, f in zip(asked, q, floors, strict=True)]
                 cols = [np.repeat([i for i, _, _ in out], [len(s) for _, s, _ in out]), *(np.concatenate([o[j] for o in out]) for j in (1, 2))]
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], ["query_id", "vec_id", "score"])
 
     def met(asked: DataFrame, first: int, last: int) -> DataFrame:
         """Rows of ``asked`` (id, floor, v) against the blocks ``first`` to ``last``."""
-        sent = packed(asked.select("id", F.concat(F.array("floor"), "v").alias("v")).coalesce(parts), QUERIES)
-        sent = sent.select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q"), F.col("width").alias("q_width"))
+        sent = packed(asked.select("id", "v", "floor").coalesce(parts), QUERIES)
+        sent = sent.select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q"), F.col("width").alias("q_width"), F.col("kind").alias("q_kind"), "floors")
         sent = sent.withColumn("n", F.explode(F.sequence(F.lit(first).cast("long"), F.lit(last).cast("long"))))
         mine = blocks.filter(F.col("n").between(first, last)).repartition(last - first + 1, "n")
         return mine.join(sent, "n").drop("n").mapInArrow(run, "query_id long, vec_id long, score long")
@@ -156,7 +184,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     def ranked(rows: DataFrame) -> DataFrame:
         return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-    found = met(queries.withColumn("floor", F.lit(float("-inf"))), 0, 0)
+    found = met(queries.select("id", "v", none), 0, 0)
     if count > 1:
         found = staged(found, "first")
         floors = ranked(found).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
@@ -170,8 +198,9 @@ def quantised(df: DataFrame, id_col: str = "vec_id", column: str = "embedding",
     components, and rows without an id, take no part; all other rows do, whether or not they share an id."""
     finite = F.forall(F.col(column), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     ok = df.filter(F.col(id_col).isNotNull() & F.col(column).isNotNull()).filter(finite)
-    whole = F.transform(F.col(column).cast(T.ArrayType(T.DoubleType())), lambda x: F.floor(x * scale).cast("double"))
-    return ok.select(F.col(id_col).cast("long").alias("id"), whole.alias("v"))
+    # doubles of 2**52 or more are whole, and may be beyond the longs that floor() gives
+    floored = F.transform(F.col(column).cast(T.ArrayType(T.DoubleType())), lambda x: F.when(F.abs(x * scale) < 2.0**52, F.floor(x * scale).cast("double")).otherwise(x * scale))
+    return ok.select(F.col(id_col).cast("long").alias("id"), floored.alias("v"))
 
 
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
