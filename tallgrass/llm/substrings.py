@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .common import U64, pieces, prefix_hash, small, span_hash, staged, text_key
 
@@ -153,13 +154,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
     hot = starts.join(common, ["anchor", "w"], "left_semi").select(*key, (F.col("lo") + F.col("i")).alias("lo"))
     spans = spans.unionByName(hot.withColumn("hi", F.col("lo") + window))
 
-    last = "acc[size(acc) - 1]"
-    merged = F.expr(
-        "aggregate(array_sort(collect_list(struct(lo, hi))), cast(array() as array<struct<lo:int,hi:int>>), (acc, x) -> "
-        f"if(size(acc) = 0 or x.lo > {last}.hi, concat(acc, array(x)), "
-        f"concat(slice(acc, 1, size(acc) - 1), array(named_struct('lo', {last}.lo, 'hi', greatest({last}.hi, x.hi))))))"
-    )
-    return spans.groupBy(*key).agg(merged.alias("spans"))
+    # a span begins a run if it lies beyond all spans before it
+    order = Window.partitionBy(*key).orderBy("lo")
+    reach = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce(F.col("lo") > reach, F.lit(True)).cast("int")
+    runs = spans.withColumn("new", new).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    runs = runs.groupBy(*key, "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return runs.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
 
 
 def remove_repeats(df: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -174,11 +175,15 @@ def remove_repeats(df: DataFrame, window: int = WINDOW) -> DataFrame:
     own = F.struct(df.doc_id, text_key(df.text).alias("text_hash"))
     out = df.join(side, own.eqNullSafe(side.spans_key), "left").drop(side.spans_key)
     out = out.withColumn("spans", F.coalesce("spans", F.expr("cast(array() as array<struct<lo:int,hi:int>>)")))
-    gaps = (
-        "aggregate(spans, struct(cast('' as binary) as b, 0 as at), (a, x) -> struct(concat(a.b, substring({0}, a.at + 1, x.lo - a.at)) as b, x.hi as at), "
-        "a -> concat(a.b, substring({0}, a.at + 1, octet_length({0}) - a.at)))"
-    ).format("coalesce(cast(text as binary), cast('' as binary))")
-    return out.withColumn("kept", F.expr(gaps))
+    return without(out)
+
+
+def without(df: DataFrame) -> DataFrame:
+    """``df`` (text, spans) with ``kept``: the bytes of the text outside the spans, which are in order and apart."""
+    # the bytes stand in an array of one, so that they are taken from the text once and not for every gap
+    gap = "substring(b, if(i = 0, 0, spans[i - 1].hi) + 1, if(i = size(spans), octet_length(b), spans[i].lo) - if(i = 0, 0, spans[i - 1].hi))"
+    gaps = f"transform(array(coalesce(cast(text as binary), binary(''))), b -> binary(array_join(transform(sequence(0, size(spans)), i -> string({gap})), '')))[0]"
+    return df.withColumn("kept", F.expr(gaps))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

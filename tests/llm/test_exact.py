@@ -527,3 +527,81 @@ def test_chat_query(spark, tmp_path):
 
     got = pairs(chat.op10_chat_formatting(spark, str(tmp_path)), "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256")
     assert got == sorted(((k, *digest(t)) for k, t in groups), key=repr)
+
+
+# ---------------------------------------------------------------- repairs
+
+
+def test_topk_of_empty_vectors(spark):
+    """A block whose vectors are all empty: every score is 0."""
+    df = spark.createDataFrame([(i, []) for i in range(5)], "id long, v array<double>")
+    got = topk.top_k(df, df.filter("id < 2"), 2)
+    assert pairs(got, "query_id", "rank", "vec_id", "score") == [(0, 1, 1, 0), (0, 2, 2, 0), (1, 1, 0, 0), (1, 2, 2, 0)]
+
+
+def test_topk_beyond_floats(spark, monkeypatch):
+    """Scores that doubles cannot tell apart, and more than one block."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "STEP", 2)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.integers(-(2**30), 2**30, 6)]) for i in range(60)] + [(60 + i, [2.0**30, 2.0**29 + i, 1.0, float(i), 2.0**30 - i, 2.0**30]) for i in range(6)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    got = topk.top_k(df, df.filter("id >= 50"), 4)
+    want = []
+    for i, q in rows[50:]:
+        scored = sorted((-sum(int(a) * int(b) for a, b in zip(q, v, strict=True)), j) for j, v in rows if j != i)[:4]
+        want += [(i, r, j, -s) for r, (s, j) in enumerate(scored, 1)]
+    assert max(abs(w[3]) for w in want) > 2**53
+    assert pairs(got, "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
+    with pytest.raises(Exception, match="too large|OverflowError|out of"):
+        huge = spark.createDataFrame([(1, [1e12]), (2, [1e12])], "id long, v array<double>")
+        topk.top_k(huge, huge).collect()
+
+
+def test_many_spans_of_long_texts(spark):
+    """Two texts of 6 MB that share 24,000 passages: the work is linear in spans."""
+    import time
+
+    rng = np.random.default_rng(1)
+    shared = [rng.integers(97, 123, 210).astype(np.uint8).tobytes().decode() for _ in range(24_000)]
+    texts = ["".join(s + f"{a}{i:07d}" + "xyz"[i % 3] * 32 for i, s in enumerate(shared)) for a in "AB"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = [(i, [(k * 250, k * 250 + 210) for k in range(24_000)]) for i in range(2)]
+    spans = spark.createDataFrame([(i, lo, hi) for i, x in found for lo, hi in x], "doc_id long, lo int, hi int")
+    began = time.time()
+    out = df.join(spans.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("spans")), "doc_id")
+    kept = {r.doc_id: bytes(r.kept) for r in substrings.without(out).select("doc_id", "kept").collect()}
+    assert time.time() - began < 40
+    for i, t in enumerate(texts):
+        assert kept[i].decode() == "".join(t[k * 250 + 210 : (k + 1) * 250] for k in range(24_000))
+    began = time.time()
+    got = {r.doc_id: r.spans for r in substrings.repeated_spans(df).collect()}
+    assert time.time() - began < 120
+    assert all([(s.lo, s.hi) for s in got[i]] == x for i, x in found)
+
+
+def test_bpe_sequences(tokenizer):
+    """Marks after each other in both orders, and two-part compositions, give the library's ids whatever its version of Unicode."""
+    import unicodedata
+
+    import public_tokenizers
+
+    vocab, cache = bpe.loaded(public_tokenizers.path("word_bpe_49k.json"))
+    points = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    marks = [chr(i) for i in points if unicodedata.combining(chr(i))]
+    probes = []
+    for i in points:
+        parts = unicodedata.decomposition(chr(i)).split()
+        if len(parts) == 2 and "<" not in parts[0]:
+            a, b = (chr(int(x, 16)) for x in parts)
+            probes += [a + b, a + "̣" + b, b + a, chr(i) + "́"]
+    for m in marks:
+        probes += [x for o in "゙̣́ͅ" for x in ("a" + m + o, "a" + o + m)]
+    assert len(probes) > 10_000
+    step = 400
+    wrong = []
+    for k in range(0, len(probes), step):
+        part = probes[k : k + step]
+        if np.frombuffer(vocab.encode(" ".join(part), cache), "<u4").tolist() != tokenizer.encode(" ".join(part), add_special_tokens=False).ids:
+            wrong += [p for p in part if np.frombuffer(vocab.encode(p, cache), "<u4").tolist() != tokenizer.encode(p, add_special_tokens=False).ids]
+    assert wrong == []
