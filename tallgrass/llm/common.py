@@ -9,6 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +90,17 @@ def swept(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
             deleted(spark, path)
 
 
+def swept_query(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A query whose result is stored, and whose other staged tables are deleted."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with swept(spark) as kept:
+            return kept(query(spark, sf_dir))
+
+    return run
+
+
 def deleted(spark: SparkSession, path: str) -> None:
     """Delete a folder, if it is there."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

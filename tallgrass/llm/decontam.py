@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import small, staged, text_key
+from .common import small, staged, swept_query, text_key
 
 WINDOW = 10
 #: Word separators after lower-casing, a fixed value.
@@ -136,6 +136,7 @@ def decontaminate(docs: DataFrame, tests: DataFrame, width: int = WINDOW, index:
     return out.select("doc_id", "text_hash", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", none).alias("items"))
 
 
+@swept_query
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract query."""
     out = decontaminate(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

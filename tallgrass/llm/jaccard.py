@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, U64, forget, mix, pieces, small, staged, text_key, tidy, trimmed, word_hashes
+from .common import SPACES, U64, forget, mix, pieces, small, staged, swept_query, text_key, tidy, trimmed, word_hashes
 from .components import components
 
 WORDS = 5
@@ -405,6 +405,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component", own.alias("component_id"))
 
 
+@swept_query
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract query."""
     out = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

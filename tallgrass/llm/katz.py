@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, U64, mix, pieces, staged, word_hashes
+from .common import SPACES, U64, mix, pieces, staged, swept_query, word_hashes
 
 TOP = 5
 #: What a count above TOP gives up, so that every history keeps some mass for unseen words.
@@ -420,6 +420,7 @@ def scored(docs: DataFrame, held_out: Column, broadcast_words: int = BROADCAST_W
     return out.select(F.col("doc_ids").alias("doc_id"), F.col("outs").alias("held_out"), "n_tokens", "n_known", train, F.col("base").alias("base_score"), "score")
 
 
+@swept_query
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract query."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import byte_table, modest, pieces, small, staged, tidy, trimmed, word_hashes
+from .common import byte_table, modest, pieces, small, staged, swept_query, tidy, trimmed, word_hashes
 from .katz import pack, unpack
 
 K = 10
@@ -317,6 +317,7 @@ def search(index: Index, items: DataFrame, k: int = K) -> DataFrame:
     return ranked.join(small(asked_for.select("i", "item_id")), "i").select("item_id", "rank", "doc_id", "score")
 
 
+@swept_query
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract query."""
     index = build_index(spark.read.parquet(f"{sf_dir}/documents.parquet"))

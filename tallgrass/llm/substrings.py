@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import U64, pieces, prefix_hash, small, span_hash, staged, text_key
+from .common import U64, pieces, prefix_hash, small, span_hash, staged, swept, swept_query, text_key
 
 WINDOW, K = 200, 80
 #: An anchor with more different contexts than this is resolved by counting its windows, which needs no common task.
@@ -138,7 +138,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, group: int = GROUP) ->
     texts = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_hash"))
     met = keyed_join(texts, staged(asked, "asked"), "inner").dropDuplicates(list(key))
     met = met.select(*key, "asked", bytes_of(F.col("text")).alias("_b"))
-    cut = met.select(*key, F.inline(F.expr(f"transform(asked, c -> struct(c.anchor, c.k, c.lo, substring(_b, c.lo + 1, c.n + {window - 1}) as b))")))
+    cut = met.select(*key, F.inline(F.expr(f"transform(array(_b), b -> transform(asked, c -> struct(c.anchor, c.k, c.lo, substring(b, c.lo + 1, c.n + {window - 1}) as b)))[0]")))
     cut = staged(cut, "cut")
 
     f = repeated_windows(docs.sparkSession)
@@ -170,7 +170,8 @@ def remove_repeats(df: DataFrame, window: int = WINDOW) -> DataFrame:
     Columns with the output names are replaced; no other column is touched.
     """
     df = df.drop("spans", "kept")
-    found = staged(repeated_spans(df.select("doc_id", "text"), window), "spans")
+    with swept(df.sparkSession) as kept:
+        found = kept(repeated_spans(df.select("doc_id", "text"), window))
     side = small(found.select(F.struct("doc_id", "text_hash").alias("spans_key"), "spans"))
     own = F.struct(df.doc_id, text_key(df.text).alias("text_hash"))
     out = df.join(side, own.eqNullSafe(side.spans_key), "left").drop(side.spans_key)
@@ -186,6 +187,7 @@ def without(df: DataFrame) -> DataFrame:
     return df.withColumn("kept", F.expr(gaps))
 
 
+@swept_query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract query."""
     out = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

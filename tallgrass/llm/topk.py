@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import staged
+from .common import staged, swept_query
 
 K, EVERY, SCALE = 20, 20, 64
 BLOCK, QUERIES = 8192, 512
@@ -203,6 +203,7 @@ def quantised(df: DataFrame, id_col: str = "vec_id", column: str = "embedding",
     return ok.select(F.col(id_col).cast("long").alias("id"), floored.alias("v"))
 
 
+@swept_query
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract query."""
     vectors = quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
