@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallgrass.llm import bpe, decontam, jaccard, langid, substrings
-from tallgrass.llm.common import staged, text_key
+from tallgrass.llm.common import forget, swept, text_key
 
 #: A document whose best language scores less is rejected. Chosen from held-out texts and junk with letters (see the README).
 LEAST_SCORE = 0.7
@@ -56,7 +56,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that agree in id and text are one document, of which one row stays, the least by its other columns. Texts without words, null
     ones among them, are in no group and all stay. An empty table stays empty; columns with any names stay as they are.
     """
-    found = staged(jaccard.near_duplicates(docs), "near")
+    with swept(spark) as kept_table:
+        found = kept_table(jaccard.near_duplicates(docs))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     first = found.filter("component is not null").groupBy("component").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_hash")
     kept = rows_of(docs, key_of(first), "left_semi")
@@ -89,7 +90,8 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Null and empty texts hold none; equal rows go or stay alike. An empty table or benchmark drops nothing; columns with any
     names stay as they are.
     """
-    hits = decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("n_hit > 0")
+    with swept(spark) as kept_table:
+        hits = kept_table(decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("n_hit > 0"))
     return rows_of(docs, key_of(hits.select("doc_id", "text_hash").distinct()), "left_anti")
 
 
@@ -116,8 +118,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+    """All stages over ``documents``. Each stage's table is deleted once the next has read it."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES:
+        with swept(spark) as kept_table:
+            docs = kept_table(stage(spark, docs, sf_dir))
+        if before is not None:
+            forget(before)
+        before = docs
     return docs
