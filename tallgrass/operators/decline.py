@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 EXPONENT = {"exponential": 0.0, "harmonic": 1.0}
 
@@ -106,8 +107,6 @@ def outliers(production, window: int = 3, threshold: float = 0.3) -> np.ndarray:
 
 def flag_outliers(rows: DataFrame, keys: list[str], order: str, value: str, window: int = 3, threshold: float = 0.3) -> DataFrame:
     """``rows`` with ``is_outlier``, under the rule of ``outliers``, as window functions: no Python."""
-    from pyspark.sql.window import Window
-
     half = window // 2
     w = Window.partitionBy(*keys)
     x = F.col(value)
@@ -211,15 +210,38 @@ def fit_wells(rows: DataFrame, keys: list[str], order: str, value: str, model: s
     return rows.select(*keys, order, value).groupBy(*keys).applyInPandas(one, f"{kinds}, {FIT}")
 
 
-def peaks(rows: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
-    """One row per well: index (from 0) and value of the peak its decline starts at; NULL with fewer than 3 producing months."""
-    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
-
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        try:
-            at, peak = decline_start(pdf.sort_values(order)[value].to_numpy(float))
-        except ValueError:
-            at, peak = None, None
-        return pd.DataFrame({**{k: [v] for k, v in zip(keys, key, strict=True)}, "peak_index": pd.array([at], "Int32"), "peak_value": [peak]})
+def peaks(rows: DataFrame, keys: list[str], order: str, value: str, significance: float = 0.5, window: int = 3) -> DataFrame:
+    """One row per well: index (from 0) and value of the peak its decline starts at, under the rule of ``decline_start``; NULL with fewer
+    than 3 producing months.
 
-    return rows.select(*keys, order, value).groupBy(*keys).applyInPandas(one, f"{kinds}, peak_index int, peak_value double")
+    Window functions only: one exchange by well and one sort serve the smoothing, its plateaus, the islands of peaks and all sums.
+    """
+    x, i, n = F.col("_x"), F.col("_i"), F.col("_n")
+    well = Window.partitionBy(*keys)
+    time = well.orderBy("_o")
+    before, ahead = window // 2, window - 1 - window // 2
+    h = rows.select(*keys, F.col(order).alias("_o"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("_x"))
+    whole = time.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    h = h.withColumns(
+        {
+            "_i": F.row_number().over(time) - 1, "_n": F.count("*").over(whole), "_top": F.max("_x").over(whole), "_producing": F.count_if(x != 0).over(whole),
+            "_first": F.first("_x").over(whole), "_last": F.last("_x").over(whole), "_near": F.sum("_x").over(time.rowsBetween(-before, ahead)),
+        }
+    )
+    # the ends are repeated outwards
+    ends = F.col("_first") * F.greatest(before - i, F.lit(0)) + F.col("_last") * F.greatest(i + ahead - (n - 1), F.lit(0))
+    smooth = F.when((n < window) | F.lit(window <= 1), x).otherwise((F.col("_near") + ends) / window)
+    h = h.withColumn("_s", smooth).withColumns({"_was": F.lag("_s").over(time), "_next": F.lead("_s").over(time)})
+    peak = (x > 0) & (F.col("_was").isNull() | (F.col("_s") >= F.col("_was"))) & (F.col("_next").isNull() | (F.col("_s") >= F.col("_next")))
+    h = h.withColumn("_peak", peak).withColumn("_prior", F.last(F.when(F.col("_peak"), i), True).over(time.rowsBetween(Window.unboundedPreceding, -1)))
+    begins = F.col("_peak") & (F.col("_prior").isNull() | (i - F.col("_prior") > window))
+    h = h.withColumn("_island", F.sum(begins.cast("int")).over(time.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # of each island its highest peak, and of all months the highest; of equals the first
+    height = F.struct(x.alias("x"), (-i).alias("i"))
+    islands = h.groupBy(*keys, "_island").agg(
+        F.max(F.when(F.col("_peak"), height)).alias("_best"), F.max(height).alias("_any"), F.max("_top").alias("_top"), F.max("_producing").alias("_producing")
+    )
+    good = F.when(F.col("_best.x") >= F.col("_top") * significance, F.struct(F.col("_island"), F.col("_best")))
+    wells = islands.groupBy(*keys).agg(F.max(good).alias("_good"), F.max("_any").alias("_any"), F.max("_producing").alias("_producing"))
+    best = F.when(F.col("_producing") >= 3, F.coalesce("_good._best", "_any"))
+    return wells.select(*keys, (-best.getField("i")).cast("int").alias("peak_index"), best.getField("x").alias("peak_value"))

@@ -46,9 +46,11 @@ def ratio(part: Column, whole: Column, scale: float, digits: int) -> Column:
 def production_monthly(stg: DataFrame) -> DataFrame:
     """One row per entity and month: indices, vintage, gas-oil ratio of the peaks, cumulatives.
 
-    All windows share one partitioning, so the table takes one exchange and one sort.
+    All windows share one partitioning, so the table takes one exchange and one sort. A row without entity_key is an entity by itself, so that
+    such rows do not meet in one task.
     """
-    entity = Window.partitionBy("entity_key", "state")
+    stg = stg.withColumn("_alone", F.when(F.col("entity_key").isNull(), F.monotonically_increasing_id()))
+    entity = Window.partitionBy("entity_key", "state", "_alone")
     months = entity.orderBy("production_date")
     first = F.min("production_date").over(entity)
     producing = F.when((F.col("total_oil_bbl") > 0) | (F.col("total_gas_mcf") > 0), F.col("production_date"))

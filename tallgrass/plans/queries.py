@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import api_from_parts, basin_of, county_of_label, first_of_month, normalize_api, number, well_status, well_type
 from ..functions.codes import NM_BASIN, NM_TYPE
-from ..operators import decline, dedup, economics, exports, gold, layers, papers, quality
+from ..operators import asof, decline, dedup, economics, exports, gold, layers, papers, quality
+from ..sources.store import Store, upsert
 from . import adapter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -882,6 +883,43 @@ def scd2_wells(spark, d):
     return s.withColumn("valid_to", F.lead("valid_from").over(w)).select("k", "version", "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"))
 
 
+@query(
+    """, c AS (SELECT k, production_date AS valid_from, arg_max(flag, seq) AS version FROM reports GROUP BY ALL),
+s AS (SELECT * FROM c QUALIFY version IS DISTINCT FROM lag(version) OVER (PARTITION BY k ORDER BY valid_from)),
+f AS (SELECT k, seq, cast(shipped AS DATE) - 40 AS fact_date, q FROM reports)
+SELECT f.k, f.seq, f.fact_date, f.q, s.version, s.valid_from FROM f ASOF LEFT JOIN s ON f.k = s.k AND f.fact_date >= s.valid_from""",
+    adapter.SILVER_SQL.strip(),
+)
+def asof_dimension(spark, d):
+    """Each report with the version of its well that was valid 40 days before it was shipped."""
+    facts = adapter.reports(spark, d).select("k", "seq", F.date_sub(F.col("shipped").cast("date"), 40).alias("fact_date"), "q")
+    return asof.as_of(facts, scd2_wells(spark, d), ["k"], "fact_date", "valid_from", ["version", "valid_from"], "valid_to")
+
+
+@query("SELECT user_id, event_id, ts, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def keyed_upsert(spark, d):
+    """The last event of each user, kept in a keyed table that two commits write."""
+    table = Store(spark, scratch(spark))
+    events = adapter.table(spark, d, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    for part in (F.col("event_id") % 3 != 0, F.col("event_id") % 3 == 0):
+        upsert(table, "last_events", events.filter(part), ["user_id"], ["ts", "event_id"])
+    return table.read("last_events")
+
+
+@query(
+    """SELECT test_name, failures, failures = 0 AS passed FROM (
+  SELECT 'not_null_operator' AS test_name, count(*) FILTER (operator IS NULL) AS failures FROM silver
+  UNION ALL SELECT 'not_null_county', count(*) FILTER (county IS NULL) FROM silver
+  UNION ALL SELECT 'accepted_values_state', count(*) FILTER (state NOT IN ('TX', 'NM')) FROM silver
+  UNION ALL SELECT 'unique_n_county', cast(coalesce(sum(c - 1), 0) AS BIGINT) FROM (SELECT count(*) AS c FROM silver GROUP BY well_name, county))""",
+    adapter.SILVER_SQL.strip(),
+)
+def generic_tests(spark, d):
+    """Tests of any table, over one with a column that is called like a counter."""
+    rows = adapter.silver(spark, d).withColumn("n", F.col("well_name"))
+    return quality.generic_tests(rows, ["operator", "county"], {"state": ["TX", "NM"]}, [["n", "county"]])
+
+
 @query(
     """SELECT state, entity_type, api_number, lease_number, production_date, sha256(concat_ws('|', printf('%.3f', coalesce(oil_bbl, 0)), printf('%.3f', coalesce(gas_mcf, 0)), printf('%.3f', coalesce(water_bbl, 0)))) AS event_hash FROM silver""",
     adapter.SILVER_SQL.strip(),
