@@ -24,41 +24,43 @@ def nominal(di: Column, kind: str = "nominal") -> Column:
     return F.when(b == 0, -F.log(1 - di)).otherwise((F.pow(1 - di, -b) - 1) / b)
 
 
-def volume_to(qi: Column, a: Column, b: Column, a_min: Column, t: Column) -> Column:
-    """Cumulative volume up to month ``t`` of one curve."""
-
-    def hyperbolic(t: Column) -> Column:
-        return (
-            F.when(b == 0, qi / a * (1 - F.exp(-a * t)))
-            .when(b == 1, qi / a * F.log(1 + a * t))
-            .when(F.abs(b - 1) < 1e-3, qi / a * F.expm1((b - 1) / b * F.log1p(b * a * t)) / (b - 1))  # the plain form cancels here
-            .otherwise(qi / ((1 - b) * a) * (1 - F.pow(1 + b * a * t, 1 - 1 / F.when(b == 0, 1.0).otherwise(b))))
-        )
-
+def terms(a: Column, b: Column, a_min: Column) -> dict[str, Column]:
+    """What a curve's volumes need that does not depend on the month: the month from which decline is terminal (NULL: never), the rate there, and
+    the factor and exponent of the hyperbolic part."""
     bounded = (b > 0) & (a_min > 0)
     turn = F.when(bounded, F.greatest((a / F.when(bounded, a_min).otherwise(1.0) - 1) / (F.when(bounded, b).otherwise(1.0) * a), F.lit(0.0)))
-    at_turn = F.when(b == 1, qi / (1 + a * turn)).otherwise(qi * F.pow(1 + b * a * turn, -1 / F.when(b == 0, 1.0).otherwise(b)))
-    tail = hyperbolic(turn) + at_turn / F.when(bounded, a_min).otherwise(1.0) * (1 - F.exp(-a_min * (t - turn)))
-    return F.when(turn.isNotNull() & (t > turn), tail).otherwise(hyperbolic(t))
+    some = F.when(b == 0, 1.0).otherwise(b)
+    at_turn = F.when(b == 1, 1 / (1 + a * turn)).otherwise(F.pow(1 + b * a * turn, -1 / some))
+    return {"_turn": turn, "_tail": at_turn / F.when(bounded, a_min).otherwise(1.0), "_power": 1 - 1 / some, "_scale": 1 / (F.when(b == 1, 1.0).otherwise(1 - b) * a)}
+
+
+def unit_volume(t: Column) -> Column:
+    """Cumulative volume up to month ``t`` at an initial rate of 1, from columns a, b, a_min and ``terms``."""
+    a, b, turn = F.col("a"), F.col("b"), F.col("_turn")
+    u = F.least(t, turn)  # least() passes over NULL
+    hyperbolic = (
+        F.when(b == 0, (1 - F.exp(-a * u)) / a)
+        .when(b == 1, F.log(1 + a * u) / a)
+        .when(F.abs(b - 1) < 1e-3, F.expm1((b - 1) / b * F.log1p(b * a * u)) / (a * (b - 1)))  # the plain form cancels here
+        .otherwise(F.col("_scale") * (1 - F.pow(1 + b * a * u, F.col("_power"))))
+    )
+    return F.when(t > turn, hyperbolic + F.col("_tail") * (1 - F.exp(-F.col("a_min") * (t - turn)))).otherwise(hyperbolic)
 
 
 def forecast(cases: DataFrame, months: int = 600, kind: str = "nominal") -> DataFrame:
     """One row per case and month from ``cases`` (case_id, decline_model, qi_oil, qi_gas, di, b, d_min).
 
-    Exponential sets b to 0 and has no terminal decline, harmonic sets it to 1. Without initial gas rate gas is 0.
+    Exponential sets b to 0 and has no terminal decline, harmonic sets it to 1. Without initial gas rate gas is 0. What depends on the case alone
+    is computed once a case; oil and gas share the volumes at a rate of 1.
     """
     b = F.coalesce(*(F.when(F.col("decline_model") == m, F.lit(x)) for m, x in EXPONENT.items()), F.col("b")).alias("b")
-    c = cases.select("case_id", "qi_oil", "qi_gas", b, "di", "d_min").withColumn("a", nominal(F.col("di"), kind) / 12)
-    c = c.withColumn("month_index", F.explode(F.sequence(F.lit(1), F.lit(months))))
-
-    def upto(q: str, t: Column) -> Column:
-        return volume_to(F.col(q), F.col("a"), F.col("b"), F.col("d_min") / 12, t)
-
+    c = cases.select("case_id", "qi_oil", "qi_gas", b, "di", "d_min").withColumns({"a": nominal(F.col("di"), kind) / 12, "a_min": F.col("d_min") / 12})
+    c = c.withColumns(terms(F.col("a"), F.col("b"), F.col("a_min"))).withColumn("month_index", F.explode(F.sequence(F.lit(1), F.lit(months))))
     t = F.col("month_index").cast("double")
-    none = F.lit(0.0)
-    out = {"cumulative_oil_bbl": upto("qi_oil", t), "oil_bbl": upto("qi_oil", t) - upto("qi_oil", t - 1)}
-    out |= {"cumulative_gas_mcf": F.when(F.col("qi_gas") > 0, upto("qi_gas", t)).otherwise(none)}
-    out |= {"gas_mcf": F.when(F.col("qi_gas") > 0, upto("qi_gas", t) - upto("qi_gas", t - 1)).otherwise(none)}
+    c = c.withColumns({"_now": unit_volume(t), "_before": unit_volume(t - 1)})
+    out = {}
+    for name, q in (("oil_bbl", F.col("qi_oil")), ("gas_mcf", F.when(F.col("qi_gas") > 0, F.col("qi_gas")).otherwise(F.lit(0.0)))):
+        out |= {f"cumulative_{name}": q * F.col("_now"), name: q * (F.col("_now") - F.col("_before"))}
     return c.withColumns(out).select("case_id", "month_index", "oil_bbl", "gas_mcf", "cumulative_oil_bbl", "cumulative_gas_mcf")
 
 

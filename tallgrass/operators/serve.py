@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,8 +77,13 @@ def query(spark: SparkSession, sql: str, limit: int = MAX_ROWS, args: dict | Non
         rows = df.limit(limit + 1).collect()
     except Exception as e:
         return f"Error: {str(e).splitlines()[0]}"
-    out = ["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
-    out += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows[:limit]]
+
+    def line(cells: list) -> str:
+        """Bars and line ends in a cell are written so that they end no cell."""
+        return "| " + " | ".join("" if v is None else re.sub("\r\n|\r|\n", "<br>", str(v).replace("\\", "\\\\").replace("|", "\\|")) for v in cells) + " |"
+
+    out = [line(df.columns), "|" + " --- |" * len(df.columns)]
+    out += [line(list(r)) for r in rows[:limit]]
     return "\n".join(out + ([f"Showing the first {limit} rows."] if len(rows) > limit else []))
 
 

@@ -13,7 +13,7 @@ from ..functions import (
 )
 from ..operators import dedup, quality
 from ..schema import conform
-from ..sources import files
+from ..sources import archives, files
 
 TX_CYCLE = (
     "DISTRICT_NO LEASE_NO LEASE_NAME CYCLE_YEAR CYCLE_MONTH OPERATOR_NO OPERATOR_NAME FIELD_NAME "
@@ -167,7 +167,7 @@ def _aliased(t: DataFrame, names: dict[str, tuple[str, ...]], state: str) -> Dat
 def oklahoma(spark: SparkSession, folder: str, as_of: dt.datetime, completions: DataFrame | None = None) -> DataFrame:
     """Production text files, or without one the wells themselves (this month, no volumes), and completions' first rates.
 
-    ``completions`` is the completion workbook as a table of text columns; a rate of 0 is not reported.
+    Completions are read from the folder's workbooks (``*.xlsx``), unless they are given as a table of text columns; a rate of 0 is not reported.
     """
     wells = files.features(spark, f"{folder}/wells/*.json", ["api", "well_name", "well_num", "operator", "county", "welltype", "symbol_class", "wellstatus", "sh_lat", "sh_lon"])
     master = wells.select(
@@ -181,11 +181,20 @@ def oklahoma(spark: SparkSession, folder: str, as_of: dt.datetime, completions:
         rows = _aliased(t, OK_NAMES, "OK").withColumn("county", county_of_label(F.col("county")))
     else:
         rows = master.withColumns({"production_date": F.lit(as_of.date().replace(day=1)), "source_file": F.lit("wells"), "source_dir": F.lit("wells")})
+    if completions is None and files.listed(spark, f"{folder}/*.xlsx"):
+        completions = archives.workbook(spark, f"{folder}/*.xlsx", OK_COMPLETIONS)
     if completions is not None:
         rows = rows.unionByName(_completions(completions), allowMissingColumns=True)
     return _finish(rows, master, "OK", "rbdms", as_of)
 
 
+#: The columns of the completion workbook that are used, all as text.
+OK_COMPLETIONS = (
+    "API_Number", "Well_Name", "Well_Number", "Operator_Name", "Operator_Number", "County", "Well_Type", "Well_Status", "Test_Date", "First_Prod", "Well_Completion",
+    "Oil_BBL_Per_Day", "Gas_MCF_Per_Day", "Water_BBL_Per_Day", "Formation_Name", "OTC_Prod_Unit_No", "Surf_Lat_Y", "Surf_Long_X",
+)
+
+
 def _completions(c: DataFrame) -> DataFrame:
     """First rates of completions with any: one day of production in the month of the first date column that dates any row after 1950."""
     rates = {"Oil_BBL_Per_Day": "oil_bbl", "Gas_MCF_Per_Day": "gas_mcf", "Water_BBL_Per_Day": "water_bbl"}

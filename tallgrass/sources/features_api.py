@@ -1,10 +1,12 @@
 """A paged feature service as a Spark data source: one partition per planned page, read by the executors.
 
-Options: ``url``; ``page_size``; ``pages`` planned (1 if not given); ``fields`` (comma-separated attributes); ``fetch`` names a
-function ``module:function(url, offset, count) -> dict`` that gets one page, so that tests and other transports need no network.
+Options: ``url``; ``page_size``; ``fields`` (comma-separated attributes); ``fetch`` names a function ``module:function(url, offset, count) -> dict``
+that gets one page, and ``count`` a function ``module:function(url) -> int`` that asks how many features there are, so that tests and other
+transports need no network; ``pages`` plans so many pages without asking; ``tasks`` is how many partitions share them at most.
 
-``pages`` only spreads the work: the last partition goes on until the service no longer says ``exceededTransferLimit``,
-and a partition whose page comes back short while the service says so asks for the rest of it.
+The plan only spreads the work: the last partition goes on until the service no longer says ``exceededTransferLimit``, so features that are
+added meanwhile come too, and a partition whose page comes back short while the service says so asks for the rest of it. An error inside
+a good answer raises, and so does a page with more features than were asked for, which would come twice.
 """
 
 from __future__ import annotations
@@ -20,16 +22,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
-def http_page(url: str, offset: int, count: int, tries: int = 3) -> dict:
-    """One page by HTTP, with growing pauses between tries; an error inside a good response is an error."""
-    query = urllib.parse.urlencode({"where": "1=1", "outFields": "*", "f": "json", "resultOffset": offset, "resultRecordCount": count})
+def http(url: str, tries: int = 3, **query) -> dict:
+    """An answer by HTTP, with growing pauses between tries; an error inside a good response is an error."""
+    text = urllib.parse.urlencode({"where": "1=1", "f": "json"} | query)
     for k in range(tries):
         try:
-            with urllib.request.urlopen(f"{url}?{query}", timeout=60) as r:
-                page = json.load(r)
-            if "error" in page:
-                raise OSError(str(page["error"]))
-            return page
+            with urllib.request.urlopen(f"{url}{'&' if '?' in url else '?'}{text}", timeout=60) as r:
+                return checked(json.load(r), url)
         except OSError:
             if k == tries - 1:
                 raise
@@ -37,9 +36,34 @@ def http_page(url: str, offset: int, count: int, tries: int = 3) -> dict:
     raise AssertionError
 
 
+def checked(page: dict, url: str) -> dict:
+    """The answer, unless it is an error."""
+    if "error" in page:
+        raise OSError(f"{url}: {page['error']}")
+    return page
+
+
+def http_page(url: str, offset: int, count: int) -> dict:
+    """One page by HTTP, in the order of the features' own ids."""
+    return http(url, outFields="*", orderByFields="OBJECTID", resultOffset=offset, resultRecordCount=count)
+
+
+def http_count(url: str) -> int:
+    """How many features the service says it has."""
+    return int(http(url, returnCountOnly="true")["count"])
+
+
+def function(name: str):
+    """``module:function``."""
+    module, _, name = name.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 class Page(InputPartition):
-    def __init__(self, offset: int, last: bool):
-        self.offset, self.last = offset, last
+    """Features ``offset`` to ``end``; the last one has no end."""
+
+    def __init__(self, offset: int, end: int | None):
+        self.offset, self.end = offset, end
 
 
 class Reader(DataSourceReader):
@@ -48,18 +72,27 @@ class Reader(DataSourceReader):
 
     def partitions(self) -> list[Page]:
         size = int(self.options.get("page_size", 1000))
-        pages = int(self.options.get("pages", 1))
-        if pages < 1 or size < 1:
-            raise ValueError(f"pages and page_size must be at least 1, not {pages} and {size}")
-        return [Page(i * size, i == pages - 1) for i in range(pages)]
+        if "pages" in self.options:
+            pages = int(self.options["pages"])
+        elif "fetch" in self.options and "count" not in self.options:
+            pages = 1  # a transport of its own that cannot be asked
+        else:
+            pages = max(1, -(-function(self.options.get("count", f"{__name__}:http_count"))(self.options["url"]) // size))
+        tasks = min(pages, int(self.options.get("tasks", pages)))
+        if pages < 1 or size < 1 or tasks < 1:
+            raise ValueError(f"pages, page_size and tasks must be at least 1, not {pages}, {size} and {tasks}")
+        begins = [i * pages // tasks * size for i in range(tasks)]
+        return [Page(a, b) for a, b in zip(begins, [*begins[1:], None], strict=True)]
 
     def read(self, partition: Page) -> Iterator[tuple]:
-        module, _, name = self.options.get("fetch", "tallgrass.sources.features_api:http_page").partition(":")
-        fetch, size = getattr(importlib.import_module(module), name), int(self.options.get("page_size", 1000))
+        fetch, size, url = function(self.options.get("fetch", f"{__name__}:http_page")), int(self.options.get("page_size", 1000)), self.options["url"]
         offset = partition.offset
-        while partition.last or offset < partition.offset + size:
-            page = fetch(self.options["url"], offset, size if partition.last else partition.offset + size - offset)
+        while partition.end is None or offset < partition.end:
+            asked = size if partition.end is None else min(size, partition.end - offset)
+            page = checked(fetch(url, offset, asked), url)
             features = page.get("features", [])
+            if len(features) > asked:
+                raise OSError(f"{url} sends {len(features)} features at offset {offset} where {asked} were asked for")
             for f in features:
                 values = f.get("attributes", {})
                 yield tuple(None if values.get(n) is None else str(values[n]) for n in self.names)
@@ -67,7 +100,7 @@ class Reader(DataSourceReader):
             if not page.get("exceededTransferLimit", False):
                 break
             if not features:
-                raise OSError(f"{self.options['url']} has more features at offset {offset} but sends none")
+                raise OSError(f"{url} has more features at offset {offset} but sends none")
 
 
 class FeatureService(DataSource):

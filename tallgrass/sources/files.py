@@ -37,15 +37,15 @@ def header(spark: SparkSession, path: str, encoding: str) -> str:
 
 
 def head(spark: SparkSession, path: str, encoding: str, most: int = 1 << 16) -> str:
-    """The first line of a file, from its first ``most`` bytes: no Spark job."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    """The first line of a file, as far as its first ``most`` bytes hold it: no Spark job."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
     stream = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).open(p)
     try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(spark.sparkContext._jvm.java.io.InputStreamReader(stream, encoding), most)
-        line = reader.readLine()
+        text = jvm.java.lang.String(jvm.org.apache.commons.io.IOUtils.toByteArray(jvm.org.apache.commons.io.input.BoundedInputStream(stream, most)), encoding)
     finally:
         stream.close()
-    return (line or "").lstrip("\ufeff")
+    return re.split("\r\n|\r|\n", str(text), maxsplit=1)[0].lstrip("\ufeff")
 
 
 def delimiter(line: str, tries: Sequence[str], wanted: Sequence[str] = (), least: int = 1) -> str | None:
@@ -107,16 +107,47 @@ def features(spark: SparkSession, pattern: str, attributes: Sequence[str]) -> Da
 
 
 def records(spark: SparkSession, paths: Sequence[str], tag: str, columns: Sequence[str], encoding: str | None = None) -> DataFrame:
-    """One row per XML element ``tag`` of the first path that exists, its children as text; what cannot be parsed is left out.
+    """One row per XML element ``tag`` of the first path that exists, its children as text.
 
-    Without ``encoding`` the file's byte-order mark tells it.
+    The file is cut at closing tags, as bytes, so that any number of tasks share it whatever its encoding and size: a split may begin in the
+    middle of an element, or of a character. An element that the file's end cuts off, one that is no XML, and one without content (``<tag/>``) are
+    left out; all others stay. Without ``encoding`` the file's byte-order mark tells it.
     """
     path = next((p for c in paths for p in listed(spark, c)), None)
     if path is None:
         return empty(spark, columns)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    options = {"rowTag": tag, "mode": "PERMISSIVE", "ignoreNamespace": "true", "charset": encoding or encoding_of(spark, path)}
-    return spark.read.format("xml").options(**options).schema(schema).load(path)
+    encoding = encoding or encoding_of(spark, path)
+    closer, bad = f"</{tag}>", "_bad"
+    element = rf"(?s).*(<{re.escape(tag)}(?=[\s>/]).*)$"
+    lines = spark.read.option("lineSep", closer).option("encoding", encoding).text(path)
+    lines = lines.select(F.col("value").cast("binary").alias("value"), F.monotonically_increasing_id().alias("i"))
+    rest = last_bytes(spark, path, closer.encode(encoding))
+    if re.match(element, rest.decode(encoding, "replace")):
+        cut = lines.filter(F.col("value") == F.lit(bytearray(rest))).agg(F.max("i")).first()[0]
+        lines = lines.filter(F.col("i") != (-1 if cut is None else cut))
+    text = F.regexp_extract(F.decode("value", encoding), element, 1)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, bad)])
+    options = {"mode": "PERMISSIVE", "ignoreNamespace": "true", "columnNameOfCorruptRecord": bad}
+    found = lines.select(text.alias("e")).filter("e <> ''").select(F.from_xml(F.concat("e", F.lit(closer)), schema, options).alias("r"))
+    return found.filter(F.col(f"r.{bad}").isNull()).select(*(F.col(f"r.`{c}`").alias(c) for c in columns))
+
+
+def last_bytes(spark: SparkSession, path: str, behind: bytes, most: int = 1 << 20) -> bytes:
+    """What stands behind the last ``behind`` in a file: the end is read, and more of it only if that has none."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    store = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    size = store.getFileStatus(p).getLen()
+    while True:
+        stream = store.open(p)
+        try:
+            stream.seek(max(0, size - most))
+            got = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+        finally:
+            stream.close()
+        if behind in got or most >= size:
+            return got.rpartition(behind)[2]
+        most *= 8
 
 
 def first_bytes(spark: SparkSession, path: str, n: int) -> bytes:

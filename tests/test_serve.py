@@ -28,6 +28,11 @@ def test_queries_only(spark, tmp_path):
     assert serve.query(spark, "SELECT * FROM nothing_here").startswith("Error:")
 
 
+def test_cells_stay_cells(spark):
+    spark.createDataFrame([("a|b\\c\nd", None)], "`x|y` string, z int").createOrReplaceTempView("odd")
+    assert serve.query(spark, "SELECT * FROM odd").splitlines()[::2] == ["| x\\|y | z |", "| a\\|b\\\\c<br>d |  |"]
+
+
 def test_cases(spark):
     names = [c.split()[0] for c in RESERVES["cases"].split(", ")]
     base = dict.fromkeys(names) | {"case_id": "a", "pv10": 5.0, "npv": 9.0}
