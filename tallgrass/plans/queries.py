@@ -542,7 +542,14 @@ t AS (
 SELECT test_name, cast(violations AS BIGINT) AS violations, violations = 0 AS passed FROM t"""
 
 
-def faulty(spark, d) -> tuple[DataFrame, DataFrame]:
+def stored(spark, **tables: DataFrame) -> list[DataFrame]:
+    """Tables as a build leaves them: stored, so that what reads them several times does not compute them again."""
+    store = Store(spark, scratch(spark))
+    at = store.commit(store.snapshot(), {name: store.write(name, df) for name, df in tables.items()})
+    return [store.read(name, at) for name in tables]
+
+
+def faulty(monthly: DataFrame, decline: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``FAULTY_SQL``'s fm and fd."""
 
     def at(operator: int, month: int | None = None):
@@ -550,7 +557,7 @@ def faulty(spark, d) -> tuple[DataFrame, DataFrame]:
 
     key = F.col("entity_key")
     key = F.when(F.col("operator").isNull() & (F.col("production_month") == 1), F.lit(None)).when(at(3, 2), F.concat(F.lit("X"), key)).when((F.col("entity_type") == "lease") & (F.col("production_month") == 4), F.concat(key, F.lit("?"))).otherwise(key)
-    m = monthly(spark, d).filter(F.col("operator").isNull() | ~at(6, 11)).withColumns(
+    m = monthly.filter(F.col("operator").isNull() | ~at(6, 11)).withColumns(
         {
             "entity_key": key,
             "oil_bbl": F.when(at(5, 5), -1.0).otherwise(F.col("oil_bbl")),
@@ -559,7 +566,7 @@ def faulty(spark, d) -> tuple[DataFrame, DataFrame]:
             "total_oil_bbl": F.col("total_oil_bbl") + F.when(at(11), 1.0).otherwise(0.0),
         }
     )
-    c = declining(spark, d).withColumns(
+    c = decline.withColumns(
         {
             "api_number": F.when(at(2, 9), F.concat(F.lit("Z"), F.col("api_number"))).otherwise(F.col("api_number")),
             "months_on_production": F.col("months_on_production") + F.when(at(4, 10), 1).otherwise(0),
@@ -570,7 +577,9 @@ def faulty(spark, d) -> tuple[DataFrame, DataFrame]:
 
 @query(GOLD_TESTS_SQL, FAULTY_SQL)
 def gold_tests(spark, d):
-    return quality.gold_test_counts(stg(spark, d), *faulty(spark, d), TODAY)
+    (s,) = stored(spark, stg=stg(spark, d))
+    m, c = faulty(gold.production_monthly(s), gold.decline_curve_inputs(s))
+    return quality.gold_test_counts(s, *stored(spark, monthly=m, decline=c), TODAY)
 
 
 @query(GOLD_TESTS_SQL.replace("fm ", "pm ").replace("fm.", "pm.").replace("fd ", "dc ").replace("fd.", "dc.").replace("FROM fm)", "FROM pm)"), DC_SQL)
