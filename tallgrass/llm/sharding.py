@@ -123,7 +123,8 @@ def shard_table(spark: SparkSession, path: str, n_shards: int = N_SHARDS, seed:
     ).select("row", "at", "to.part", "to.block")
     # the second permutation goes by a hash of the place, ties by the place itself
     order = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed), "part", "at", F.lit("second")), "part", "at")
-    placed = dealt.withColumn("n", F.row_number().over(order))
+    # as many tasks as blocks: what a task holds does not grow with the table
+    placed = dealt.repartition(len(size), "block").withColumn("n", F.row_number().over(order))
     return placed.join(blocks, "block").select("row.*", "shard", (F.col("first") + F.col("n") - 1).alias("slot"))
 
 
