@@ -253,7 +253,8 @@ def loaded(path: str) -> tuple[Vocabulary, Cache]:
 def encode_decode(df: DataFrame, path: str, column: str = "text") -> DataFrame:
     """``df`` with ``token_ids`` (binary: little-endian unsigned 32-bit) of the whole ``column`` and ``decoded`` (string).
 
-    Null texts are empty. Control strings of the vocabulary in a text are encoded as their own ids. Columns with the
+    Null texts are empty; equal texts get equal ids; an empty table gives no rows. A very long text is encoded in pieces that are cut where no
+    token can span, and stands in memory once with its ids. Control strings of the vocabulary in a text are encoded as their own ids. Columns with the
     output names are replaced. ``path`` is the tokenizer file's place on every executor.
     """
     df = df.drop("token_ids", "decoded")

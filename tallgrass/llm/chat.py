@@ -91,7 +91,7 @@ def format_turns(df: DataFrame) -> DataFrame:
     empty but for assistants) and ``rounds`` of escaping.
 
     Null role or text is empty. Columns with those output names are replaced. Rows are independent: any
-    length of conversation, and any number of equal rows, spreads over all tasks.
+    length of conversation, and any number of equal rows, spreads over all tasks. An empty table gives no rows.
     """
     out = ("rendered", "parsed_role", "parsed_text", "loss_from", "loss_to", "rounds")
     df = df.drop(*out)
@@ -117,7 +117,7 @@ def conversations(turns: DataFrame) -> DataFrame:
     what is read back and of the loss mask, and the formatted length.
 
     The digests are chains over a conversation's turns, so its rows pass through one task, in order and one
-    batch at a time: memory does not grow with a conversation. A null conv_id is a conversation of its own.
+    batch at a time: memory does not grow with a conversation. A null conv_id is a conversation of its own. An empty table gives no rows.
     """
     schema = f"conv_id {turns.schema['conv_id'].dataType.simpleString()}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     kind = turns.schema["conv_id"].dataType.simpleString()

@@ -393,7 +393,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     (the smallest doc_id in it).
 
     A row without words is linked with nothing: component is null and component_id its own doc_id. Null ids stay
-    out of the minimum; rows with equal ids but different texts are different documents; further columns are left out.
+    out of the minimum; rows with equal ids but different texts are different documents; further columns are left out. Texts of
+    any length count whole; an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
     sets = document_sets(docs)

@@ -140,7 +140,8 @@ def fit_sets(texts: list[list[np.ndarray]], langs: list[str]) -> Model:
 
 def train(docs: DataFrame) -> Model:
     """Fit on a bounded sample of rows (text, lang) with known language: the SAMPLE_PER_LANG texts of each language
-    with the smallest text hash. Whole texts count; only their sets of n-grams reach the driver."""
+    with the smallest text hash. Whole texts count; only their sets of n-grams reach the driver, at most 16.8 million numbers a text, of any
+    length. Repeated rows count once; without a labelled text the model knows no language."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("h"))
     best = Window.partitionBy("lang").orderBy("h")
     least = known.select("lang", "h").distinct().withColumn("k", F.row_number().over(best)).filter(F.col("k") <= SAMPLE_PER_LANG)
@@ -165,7 +166,8 @@ def train(docs: DataFrame) -> Model:
 def predict(df: DataFrame, model: Model) -> DataFrame:
     """``df`` with ``lang_pred`` and ``score`` (0 to 1); only ``text`` is looked at, all of it.
 
-    Null texts and texts without a letter are ``und`` with score 0. Columns with the output names are replaced.
+    Null texts and texts without a letter are ``und`` with score 0. Equal texts get equal results, and an empty table gives no
+    rows. Columns with the output names are replaced.
     """
     df = df.drop("lang_pred", "score")
     names = df.columns

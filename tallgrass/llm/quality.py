@@ -89,7 +89,9 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, shares: np.ndarray) -> Model
 def train(docs: DataFrame, ratings: DataFrame, n_grades: int) -> Model:
     """Fit on ``docs`` (doc_id, text) with ``ratings`` (doc_id, grade 0 to n_grades - 1; of several the least counts; of several texts the one with the least hash).
 
-    The sample is bounded: the SAMPLE_PER_GRADE rated ids of each grade with the smallest hash.
+    The sample is bounded: the SAMPLE_PER_GRADE rated ids of each grade with the smallest hash. Null ids and null grades take no part;
+    repeated rows count once; null and empty texts teach the thresholds alone; texts of any length count whole, as the set of their hashed
+    words. Without ratings, or without documents, the model has no weights, and thresholds 0, 1, ...
     """
     rated = ratings.filter(F.col("grade").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("grade").alias("grade"))
     counts = {r.grade: r.n for r in rated.groupBy("grade").agg(F.count("*").alias("n")).collect()}
@@ -118,7 +120,7 @@ def rate(df: DataFrame, model: Model, least: int) -> DataFrame:
     """``df`` with ``expected_grade``, ``tail_prob``, the probability of grade ``least`` or better, and ``lowest_prob``, that of grade 0.
 
     Null and empty texts have no words: their grade follows from the thresholds alone. Columns with the output
-    names are replaced.
+    names are replaced. Equal texts get equal ratings, texts of any length count whole, an empty table gives no rows.
     """
     df = df.drop("expected_grade", "tail_prob", "lowest_prob")
     sent = df.sparkSession.sparkContext.broadcast(model)

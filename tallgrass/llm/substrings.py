@@ -167,7 +167,7 @@ def remove_repeats(df: DataFrame, window: int = WINDOW) -> DataFrame:
     """``df`` (doc_id, text, ...) with ``spans`` (array of lo, hi: byte runs that repeat) and ``kept`` (binary: the other bytes).
 
     Null texts are empty; texts shorter than a window keep all; equal rows repeat each other; a null id is an id.
-    Columns with the output names are replaced; no other column is touched.
+    Columns with the output names are replaced; no other column is touched. An empty table gives no rows.
     """
     df = df.drop("spans", "kept")
     with swept(df.sparkSession) as kept:

@@ -185,3 +185,81 @@ def test_katz_of_nothing(docs, none):
 def test_pack():
     a = [np.arange(5, dtype=np.uint32), np.zeros(0, np.uint16), np.array([2**63], np.uint64)]
     assert all((x == y).all() and x.dtype == y.dtype for x, y in zip(a, katz.unpack(katz.pack(*a))))
+
+
+# ---------------------------------------------------------------- against plain formulas
+
+
+def plain_kernel(a, b):
+    grams = lambda t, n: {t[i : i + n] for i in range(len(t) - n + 1)}
+    return sum(len(grams(a, n) & grams(b, n)) / math.sqrt(max(1, len(grams(a, n)) * len(grams(b, n)))) for n in (1, 2, 3)) / 3
+
+
+def test_language_is_nystroem_ridge(monkeypatch):
+    """Predictions against ridge regression in its dual form, with the Nystroem kernel k(x, L) K(L, L)^-1 k(L, y) spelled out over plain sets."""
+    monkeypatch.setattr(langid, "LANDMARKS_PER_LANG", 3)
+    rng = np.random.default_rng(5)
+    alphabets = {"de": "abcdeäöü ", "en": "abcfgh ", "fr": "abéèij "}
+    texts = [("".join(rng.choice(list(alphabets[x]), rng.integers(3, 40))).encode(), x) for x in rng.choice(list(alphabets), 60)]
+    asked = [b"", b"abc", "äö é".encode(), *(t for t, _ in texts[:10])]
+    model = langid.fit([t for t, _ in texts], [x for _, x in texts])
+    got = langid.scores(model, np.frombuffer(b"".join(asked), np.uint8), np.cumsum([0, *map(len, asked)]))
+    langs = sorted(alphabets)
+    marks = [t for x in langs for t in [t for t, y in texts if y == x][:3]]
+    inverse = np.linalg.pinv(np.array([[plain_kernel(a, b) for b in marks] for a in marks]), rcond=1e-6)
+    near = lambda ts: np.array([[plain_kernel(t, m) for m in marks] for t in ts])
+    c, y = near([t for t, _ in texts]), np.array([[x == k for k in langs] for _, x in texts], float)
+    g = c @ inverse @ c.T
+    centre = np.eye(len(g)) - 1 / len(g)
+    dual = np.linalg.solve(centre @ g @ centre + langid.RIDGE * len(g) * np.eye(len(g)), y - y.mean(axis=0))
+    to = near(asked) @ inverse @ c.T
+    z = y.mean(axis=0) + (to - g.mean(axis=0)) @ centre @ dual
+    share = np.exp(8 * np.clip(z, -1, 2))
+    assert model.langs == langs and np.allclose(got, share / share.sum(axis=1, keepdims=True), atol=2e-3)
+
+
+def test_quality_is_the_penalised_optimum(monkeypatch):
+    """No small step of any weight or threshold improves the plain penalised likelihood, which is convex."""
+    monkeypatch.setattr(quality, "STEPS", 6000)
+    monkeypatch.setattr(quality, "SPARSE", 1e-3)
+    rng = np.random.default_rng(2)
+    words = np.array([11, 222, 3333, 44444, 55555, 7])
+    grades = rng.integers(0, 3, 120)
+    rows = [np.unique(words[(rng.random(6) < 0.25 + 0.2 * (np.arange(6) % 3 == g))]) for g in grades]
+    shares = np.array([0.2, 0.3, 0.5])
+    m = quality.fit(rows, grades, shares)
+    counts = np.bincount(grades)
+
+    def loss(w, t):
+        total = quality.SPARSE * sum(abs(x) for x in w.values())
+        for r, g in zip(rows, grades, strict=True):
+            z = sum(w[x] for x in r) / math.sqrt(max(1, len(r)))
+            for k in range(2):
+                p = 1 / (1 + math.exp(t[k] - z))
+                total -= shares[g] / counts[g] * math.log(p if g > k else 1 - p)
+        return total
+
+    w, t = {x: m.weights[x] for x in words}, list(m.thresholds)
+    best = loss(w, t)
+    assert m.thresholds[0] < m.thresholds[1] and np.count_nonzero(m.weights) <= 6 and any(w.values())
+    for step in (-0.01, 0.01):
+        assert all(loss(w | {x: w[x] + step}, t) > best - 1e-7 for x in words)
+        assert all(loss(w, [v + step * (i == k) for i, v in enumerate(t)]) > best - 1e-7 for k in range(2))
+    assert best < loss(dict.fromkeys(words, 0.0), t) - 0.01
+
+
+def test_ratings_are_the_stated_ones(spark, docs):
+    """Every rating from plain sets of words, and thresholds alone for texts without any."""
+    d = spark.createDataFrame([(i, f"good fine word{i}" if i % 3 == 2 else f"bad poor word{i}" if i % 3 else f"vile toxic word{i}") for i in range(90)], "doc_id long, text string")
+    model = quality.train(d, spark.createDataFrame([(i, i % 3) for i in range(90)], "doc_id long, grade int"), 3)
+    asked = docs.unionByName(d, allowMissingColumns=True).unionByName(d.limit(0), allowMissingColumns=True)
+    for r in quality.rate(asked, model, 2).collect():
+        words = {x.encode() for x in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""))}
+        hashed = [np.unique(quality.features(np.frombuffer(x, np.uint8), np.array([0, len(x)]))[1]) for x in words]
+        cols = {int(h[0]) for h in hashed}
+        z = sum(model.weights[c] for c in cols) / math.sqrt(max(1, len(cols)))
+        tails = [1 / (1 + math.exp(x - z)) for x in model.thresholds]
+        assert abs(r.expected_grade - sum(tails)) < 1e-9 and abs(r.tail_prob - tails[1]) < 1e-9 and abs(r.lowest_prob - 1 + tails[0]) < 1e-9
+    assert quality.rate(docs.limit(0), model, 2).count() == 0
+    nothing = quality.train(d.limit(0), spark.createDataFrame([], "doc_id long, grade int"), 3)
+    assert not nothing.weights.any() and list(nothing.thresholds) == [0, 1]
