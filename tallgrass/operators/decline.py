@@ -24,6 +24,23 @@ def nominal(di: Column, kind: str = "nominal") -> Column:
     return F.when(b == 0, -F.log(1 - di)).otherwise((F.pow(1 - di, -b) - 1) / b)
 
 
+#: Days of a mean month.
+MONTH_DAYS = 30.4375
+
+
+def create_model(decline_model: Column, qi_oil: Column, di: Column, b: Column | None = None, d_min: Column | None = None, qi_gas: Column | None = None) -> Column:
+    """A case's curves as a struct (oil, gas) of structs (decline_model, qi: monthly, qi_daily, di, b, d_min): exponential has no exponent and no
+    terminal decline, harmonic the exponent 1. Gas shares the oil's decline; it is NULL unless its initial rate is above 0."""
+    exponent = F.coalesce(*(F.when(decline_model == m, F.lit(x)) for m, x in EXPONENT.items()), F.lit(0.0) if b is None else b)
+    least = F.when(decline_model == "exponential", F.lit(0.0)).otherwise(F.lit(0.05) if d_min is None else d_min)
+
+    def curve(qi: Column) -> Column:
+        return F.struct(decline_model.alias("decline_model"), qi.alias("qi"), (qi / MONTH_DAYS).alias("qi_daily"), di.alias("di"), exponent.alias("b"), least.alias("d_min"))
+
+    gas = F.lit(0.0) if qi_gas is None else qi_gas
+    return F.struct(curve(qi_oil).alias("oil"), F.when(gas > 0, curve(gas)).alias("gas"))
+
+
 def terms(a: Column, b: Column, a_min: Column) -> dict[str, Column]:
     """What a curve's volumes need that does not depend on the month: the month from which decline is terminal (NULL: never), the rate there, and
     the factor and exponent of the hyperbolic part."""
@@ -164,10 +181,17 @@ def fit_arps(production, months=None, model: str = "hyperbolic", d_min: float =
             for k in range(free):
                 step = np.zeros(3)
                 step[k] = 1e-6 * max(abs(p[k]), 1e-3)
-                j[:, k] = (curve(np.clip(p + step, low, high)) - curve(p)) / step[k]
+                if p[k] + step[k] > high[k]:
+                    step = -step
+                j[:, k] = (curve(p + step) - curve(p)) / step[k]
             h, g = j.T @ j, j.T @ r
+            # what stands at a bound and would go beyond it is held there
+            move = ~((p[:free] <= low[:free]) & (g > 0) | (p[:free] >= high[:free]) & (g < 0))
+            if not move.any():
+                break
+            h, g = h[np.ix_(move, move)], g[move]
             trial = p.copy()
-            trial[:free] -= np.linalg.lstsq(h + damp * np.diag(np.diag(h) + 1e-12), g, rcond=None)[0]
+            trial[:free][move] -= np.linalg.lstsq(h + damp * np.diag(np.diag(h) + 1e-12), g, rcond=None)[0]
             trial = np.clip(trial, low, high)
             new = curve(trial) - y
             if new @ new < r @ r:

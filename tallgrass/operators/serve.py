@@ -87,6 +87,14 @@ def query(spark: SparkSession, sql: str, limit: int = MAX_ROWS, args: dict | Non
     return "\n".join(out + ([f"Showing the first {limit} rows."] if len(rows) > limit else []))
 
 
+def query_reserves(tables: dict[str, DataFrame], sql: str, limit: int = MAX_ROWS, args: dict | None = None) -> str:
+    """``query`` over the reserves tables (``reserves.tables``, or stored ones), under their own names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    spark = next(iter(tables.values())).sparkSession
+    return query(spark, sql, limit, args)
+
+
 def list_tables(spark: SparkSession, registry: DataFrame) -> DataFrame:
     """The registry's tables with their row counts."""
     counts = [(r.table_name, spark.table(r.table_name).count()) for r in registry.select("table_name").collect() if spark.catalog.tableExists(r.table_name)]

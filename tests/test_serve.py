@@ -33,6 +33,17 @@ def test_cells_stay_cells(spark):
     assert serve.query(spark, "SELECT * FROM odd").splitlines()[::2] == ["| x\\|y | z |", "| a\\|b\\\\c<br>d |  |"]
 
 
+def test_reserves_are_queried(spark):
+    from tallgrass.operators import reserves
+
+    tables = reserves.tables(spark)
+    tables["price_decks"] = reserves.set_price_deck(tables["price_decks"], "d", "Deck", [(70, 3), (60, 2)])
+    out = serve.query_reserves(tables, "SELECT price_deck_id, max(oil_price) AS top FROM price_decks GROUP BY ALL")
+    assert out.splitlines()[-1] == "| d | 70.0 |"
+    assert serve.query_reserves(tables, "SELECT count(*) AS n FROM cases WHERE case_id = :c", args={"c": "x"}).endswith("| 0 |")
+    assert serve.query_reserves(tables, "DROP TABLE cases").startswith("Error:")
+
+
 def test_cases(spark):
     names = [c.split()[0] for c in RESERVES["cases"].split(", ")]
     base = dict.fromkeys(names) | {"case_id": "a", "pv10": 5.0, "npv": 9.0}
