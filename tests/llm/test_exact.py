@@ -585,9 +585,8 @@ def test_bpe_sequences(tokenizer):
     """Marks after each other in both orders, and two-part compositions, give the library's ids whatever its version of Unicode."""
     import unicodedata
 
-    import public_tokenizers
-
-    vocab, cache = bpe.loaded(public_tokenizers.path("word_bpe_49k.json"))
+    path, tokenizer = tokenizer
+    vocab, cache = bpe.loaded(path)
     points = [i for i in range(0x110000) if not 0xD800 <= i < 0xE000]
     marks = [chr(i) for i in points if unicodedata.combining(chr(i))]
     probes = []
