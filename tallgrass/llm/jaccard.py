@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, U64, forget, mix, pieces, small, staged, swept_query, text_key, tidy, trimmed, word_hashes
+from .common import SPACES, U64, forget, mix, pieces, small, staged, swept_query, text_key, trimmed, word_hashes
 from .components import components
 
 WORDS = 5
-FREQUENT = 24
+#: A token that more nodes have is frequent; the bound doubles until at most MARKS tokens are, so that the marks' table stays nearly empty.
+FREQUENT, MARKS = 24, 1 << 20
 #: Bounds of what meets in one task; larger tiles are split.
 BLOCK, BLOCK_BYTES = 4096, 8_000_000
 #: So many sets are compared with one pivot in one task; a pivot with more goes to several.
@@ -118,10 +119,14 @@ def lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def frequent(reps: DataFrame) -> np.ndarray:
-    """Marks (2**24, by a token's low bits) of the tokens that more than FREQUENT nodes have in their plain prefix."""
-    with tidy(reps.sparkSession):
-        t = reps.select(F.explode("low").alias("t")).groupBy("t").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT)
-        cells = t.select(F.col("t").bitwiseAND(F.lit((1 << _HOT_BITS) - 1)).cast("int").alias("t")).distinct().toArrow()
+    """Marks (2**24, by a token's low bits) of the frequent tokens of the nodes' plain prefixes. Any marks give right results; these keep tiles small."""
+    t = staged(reps.select(F.explode("low").alias("t")).groupBy("t").agg(F.count("*").alias("c")).filter(F.col("c") > FREQUENT), "frequent")
+    # double is how often the bound can be doubled and the token stay frequent
+    double = F.floor(F.log2((F.col("c") - 1) / FREQUENT)).cast("int")
+    found = {r.j: r.n for r in t.groupBy(double.alias("j")).agg(F.count("*").alias("n")).collect()}  # at most 60 rows
+    least = next(j for j in range(64) if sum(n for k, n in found.items() if k >= j) <= MARKS)
+    cells = t.filter(double >= least).select(F.col("t").bitwiseAND(F.lit((1 << _HOT_BITS) - 1)).cast("int").alias("t")).distinct().toArrow()
+    forget(t)
     marks = np.zeros(1 << _HOT_BITS, bool)
     marks[np.asarray(cells.column("t"))] = True
     return marks

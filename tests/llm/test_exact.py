@@ -235,6 +235,15 @@ def test_jaccard_families(spark, monkeypatch, frequent, block, size):
     assert pairs(jaccard.near_duplicates(df), "doc_id", "n_shingles", "component_id") == expected_components(rows)
 
 
+@pytest.mark.parametrize("marks", [0, 2, 1 << 20])
+def test_jaccard_with_few_marks(spark, docs, monkeypatch, marks):
+    """However few tokens may be marked as frequent, the result is the same."""
+    monkeypatch.setattr(jaccard, "MARKS", marks)
+    monkeypatch.setattr(jaccard, "FREQUENT", 1)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert pairs(jaccard.near_duplicates(docs), "doc_id", "n_shingles", "component_id") == expected_components(rows)
+
+
 def test_jaccard_links(spark, monkeypatch):
     """Every link of a family of near copies, not only those that connect it."""
     words = [f"w{i}" for i in range(60)]
