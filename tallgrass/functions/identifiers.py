@@ -31,10 +31,10 @@ def normalize_api(value: Column, state: str) -> Column:
     return F.when(ten, _split(digits)).when(digits.rlike(r"^\d{8}$"), _split(F.concat(F.lit(code), digits)))
 
 
-def api_from_parts(state: Column, county: Column, well: Column) -> Column:
-    """From numeric parts of any type; NULL where one is missing, no number or too long."""
-    parts = [c.cast("string").try_cast("double").try_cast("int") for c in (state, county, well)]
-    fits = parts[0].between(0, 99) & parts[1].between(0, 999) & parts[2].between(0, 99999)
+def api_from_parts(state: Column, county: Column, well: Column, longer: bool = False) -> Column:
+    """From numeric parts of any type; NULL where one is missing, no number or too long. With ``longer``, wells beyond five digits stay whole."""
+    parts = [F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint")) for c in (x.cast("string") for x in (state, county, well))]
+    fits = parts[0].between(0, 99) & parts[1].between(0, 999) & (parts[2] >= 0 if longer else parts[2].between(0, 99999))
     return F.when(fits, F.format_string("%02d-%03d-%05d", *parts))
 
 
