@@ -11,8 +11,10 @@ spreads over all buckets. Each bucket becomes one row of a stored table: pairs,
 come the counts of counts, each document's sums, the histories' freed masses, and the unseen pairs, whose alpha
 follows by a join on the history.
 
-Word counts reach the readers of documents in one sorted array while it has at most ``BROADCAST_WORDS`` entries (12
-bytes each); above, each group of documents gets the counts of its own words by a join.
+Word counts reach the readers of documents in one sorted array of at most ``BROADCAST_WORDS`` entries (12 bytes each).
+Where training has more words, the array holds the most frequent ones. The others, many words but few of the tokens,
+go to the buckets as hashes, and each bucket gets the numbers of its own ones by a join. They are numbered by falling
+count, so that a number tells the count.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import SPACES, U64, mix, pieces, staged, swept_query, word_hashes
 
@@ -35,9 +38,10 @@ TOP = 5
 FREED = 0.01
 END, START, UNKNOWN = U64(0xE4D), U64(0x57A47), U64(0xFFFFFFFFFFFFFFFF)
 BROADCAST_WORDS = 8_000_000
-#: Of a piece of the corpus. A row's number in its piece has 16 bits.
+#: Of a piece of the corpus. A row's number in its piece has 16 bits. The number of packed blobs is that of pieces times
+#: that of buckets, so it grows with the square of the corpus: both are as large as an executor's memory allows.
 PIECE_BYTES, PIECE_ROWS = 2_000_000, 60_000
-BUCKET_EVENTS = 500_000
+BUCKET_EVENTS = 1_000_000
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -152,88 +156,138 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+@dataclass
+class Rare:
+    """The words beyond the array: numbered by falling count; ``ends``: where each of the ``counts`` ends."""
+
+    counts: np.ndarray
+    ends: np.ndarray
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        """The counts of word numbers."""
+        return self.counts[np.searchsorted(self.ends, numbers, "right")]
+
+
+def rare_words(words: DataFrame, most: int) -> tuple[DataFrame, Rare]:
+    """Store (w, number) of the words with a count of at most ``most``."""
+    stored = staged(words.filter(F.col("c") <= most).orderBy(F.desc("c"), "w"), "rare")
+    of = sorted(((r.c, r.n) for r in stored.groupBy("c").agg(F.count("*").alias("n")).collect()), reverse=True)
+    files = stored.withColumns({"f": F.col("_metadata.file_name"), "r": F.col("_metadata.row_index")})
+    first = files.groupBy("f").agg(F.count("*").alias("n"))
+    first = first.select("f", (F.sum("n").over(Window.orderBy("f")) - F.col("n")).alias("first"))
+    numbered = files.join(F.broadcast(first), "f").select("w", (F.col("first") + F.col("r")).alias("number"))
+    return numbered, Rare(np.array([c for c, _ in of], np.int64), np.cumsum([n for _, n in of]))
+
+
+def cut_of(words: DataFrame, n: int) -> int:
+    """The smallest power of two that at most ``n`` words' counts pass."""
+    powers = [1 << k for k in range(63)]
+    above = words.agg(*(F.count_if(F.col("c") > x) for x in powers)).first()
+    return next(x for x, many in zip(powers, above, strict=True) if many <= n)
+
+
+def places(u: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``u`` would be among the sorted ``hashes``, and whether it is there."""
+    if not len(hashes):
+        return np.zeros(len(u), np.int64), np.zeros(len(u), bool)
+    at = np.searchsorted(hashes, u)
+    at[at == len(hashes)] = 0
+    return at, hashes[at] == u
+
+
+def bucket_of(h: np.ndarray, w: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The buckets of pairs of hashes."""
+    return ((mix(h * U64(0x9E3779B97F4A7C15) + mix(w)) >> U64(33)) % U64(n_buckets)).astype(np.uint16 if n_buckets <= 65536 else np.uint32)
+
+
 def piece_rows(piece: int, held: np.ndarray, toks: list, hashes: np.ndarray, counts: np.ndarray, wide: bool, uni: Unigrams, n_buckets: int) -> Iterator[tuple]:
-    """First (n_tokens, n_known, base) of the piece's rows; then (bucket, piece, held, blob): its pairs, how many rows hold
-    each, which, and how often."""
+    """First (n_tokens, n_known, base) of the piece's rows; then (bucket, piece, blob): its pairs, how many rows hold
+    each, which, and how often (below 0: in a held-out row). If ``wide``, there are words beyond the array: the rows' n_known
+    and base are without them, and a blob ends with their hashes, which its ids from len(hashes) + 2 on number. Empties ``toks``."""
     prev, cur, row = (np.concatenate([t[i] for t in toks]) for i in range(3))
-
-    def found(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        u, back = np.unique(x, return_inverse=True)
-        at = np.searchsorted(hashes, u)
-        at[at == len(hashes)] = 0
-        known = hashes[at] == u if len(hashes) else np.zeros(len(u), bool)
-        c = np.where(known, counts[at] if len(counts) else 0, 0).astype(np.int64)
-        c[u == START] = uni.docs
+    toks.clear()
+    n, k = len(held), len(hashes)
+    u, back = np.unique(cur, return_inverse=True)
+    at, known = places(u, hashes)
+    c = np.zeros(len(u), np.int64)
+    c[known] = counts[at[known]]
+    ids = np.where(known, at, k).astype(np.uint32)
+    beyond = u[~known]
+    if wide:
+        ids[~known] = np.arange(k + 2, k + 2 + len(beyond))
+    base = np.where(known | (not wide), uni.base(c), 0.0)
+    yield np.bincount(row, minlength=n), np.bincount(row, known[back], n).astype(np.int64), np.bincount(row, base[back], n)
+    bucket = bucket_of(prev, cur, n_buckets)
+    pair = ids[back].astype(U64)
+    begin = prev == START
+    pair[1:] |= pair[:-1] << U64(32)
+    pair[begin] = pair[begin] & U64(0xFFFFFFFF) | U64(k + 1) << U64(32)
+    del prev, cur, back, begin
+    # rows ascend, and stable sorts keep that
+    order = np.argsort(pair, kind="stable")
+    order = order[np.argsort(bucket[order], kind="stable")]
+    pair, r, bucket = pair[order], row[order], bucket[order]
+    new_pair = np.ones(len(order), bool)
+    new_pair[1:] = (pair[1:] != pair[:-1]) | (bucket[1:] != bucket[:-1])
+    new_doc = new_pair.copy()
+    new_doc[1:] |= r[1:] != r[:-1]
+    at = np.flatnonzero(new_doc)
+    tf = np.diff(np.append(at, len(order))).astype(np.int32)
+    r = r[at]
+    tf[held[r]] *= -1
+    r = r.astype(np.uint16)
+    first = np.flatnonzero(new_pair)
+    begin = np.searchsorted(at, first)
+    many = np.diff(np.append(begin, len(at))).astype(np.uint32)
+    h, w, bucket = (pair[first] >> U64(32)).astype(np.uint32), pair[first].astype(np.uint32), bucket[first]
+    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, np.int64)
+    for p0, p1 in zip(cuts.tolist(), [*cuts[1:].tolist(), len(first)]):
+        e0, e1 = begin[p0], begin[p1] if p1 < len(begin) else len(at)
+        arrays = [h[p0:p1], w[p0:p1], many[p0:p1], r[e0:e1], tf[e0:e1]]
         if wide:
-            ids = np.where(known | (u == START), u, UNKNOWN)
-            return ids[back], c[back]
-        ids = np.where(known, at, len(hashes)).astype(np.uint32)
-        ids[u == START] = len(hashes) + 1
-        return ids[back], c[back]
-
-    hid, hc = found(prev)
-    wid, wc = found(cur)
-    n = len(held)
-    yield np.bincount(row, minlength=n), np.bincount(row, wc > 0, n).astype(np.int64), np.bincount(row, uni.base(wc), n)
-    if not wide:
-        hc = wc = None
-    bucket = ((mix(hid * U64(0x9E3779B97F4A7C15) + mix(wid.astype(U64))) >> U64(33)) % U64(n_buckets)).astype(np.uint32)
-    del prev, cur
-    for out in (False, True):
-        mine = np.flatnonzero(held[row] == out)
-        if not len(mine):
-            continue
-        order = mine[np.lexsort((row[mine], wid[mine], hid[mine], bucket[mine]))]
-        b, h, w, r = bucket[order], hid[order], wid[order], row[order]
-        new_pair = np.ones(len(order), bool)
-        new_pair[1:] = (h[1:] != h[:-1]) | (w[1:] != w[:-1])
-        new_doc = new_pair.copy()
-        new_doc[1:] |= r[1:] != r[:-1]
-        at = np.flatnonzero(new_doc)
-        tf = np.diff(np.append(at, len(order)))
-        first = np.flatnonzero(new_pair)
-        many = np.diff(np.append(np.searchsorted(at, first), len(at)))
-        pair_bucket, event_bucket = b[first], b[at]
-        for k in np.unique(pair_bucket):
-            p0, p1 = np.searchsorted(pair_bucket, (k, k + 1))
-            e0, e1 = np.searchsorted(event_bucket, (k, k + 1))
-            p = first[p0:p1]
-            kind = U64 if wide else np.uint32
-            arrays = [h[p].astype(kind), w[p].astype(kind), many[p0:p1].astype(np.uint32), r[at[e0:e1]].astype(np.uint16), tf[e0:e1].astype(np.uint32)]
-            if wide:
-                arrays += [hc[order][p], wc[order][p]]
-            yield int(k), piece, out, pack(*arrays)
+            both = np.concatenate(arrays[:2])
+            out = np.flatnonzero(both >= k + 2)
+            own, number = np.unique(both[out], return_inverse=True)
+            both[out] = k + 2 + number
+            arrays = [both[: p1 - p0], both[p1 - p0 :], *arrays[2:], beyond[own - (k + 2)]]
+        yield int(bucket[p0]), piece, pack(*arrays)
 
 
 MODEL = "bucket int, pairs binary, events binary, pieces array<long>, n array<long>"
 
 
-def bucket_model(key: tuple, table: pa.Table) -> pa.Table:
-    """One bucket's row: its distinct pairs with training counts, and who holds them."""
+def bucket_model(key: tuple, table: pa.Table, known: int, others: pa.Table | None) -> pa.Table:
+    """One bucket's row: its distinct pairs with training counts, and who holds them. known: the array's size;
+    others: (w, number) of the bucket's words beyond it."""
+    if others is not None:
+        hashes, numbers = np.asarray(others.column("w")).view(U64), np.asarray(others.column("number"))
+        by = np.argsort(hashes)
+        hashes, numbers = hashes[by], numbers[by]
     parts, pieces_ = [], []
-    for piece, held, blob in zip(table.column("piece").to_pylist(), table.column("held").to_pylist(), table.column("blob"), strict=True):
-        h, w, many, row, tf, *c = unpack(blob.as_py())
-        at = np.repeat(np.arange(len(h)), many)
-        parts.append((h, w, at, row, tf, np.full(len(row), len(pieces_), np.uint32), np.full(len(row), held), c))
+    for piece, blob in zip(table.column("piece").to_pylist(), table.column("blob"), strict=True):
+        h, w, *rest = unpack(blob.as_py())
+        if others is not None:
+            at, found = places(rest.pop(), hashes)
+            ids = np.full(len(found), known, np.uint32)
+            ids[found] = known + 2 + numbers[at[found]]
+            h, w = h.copy(), w.copy()
+            for x in (h, w):
+                out = np.flatnonzero(x >= known + 2)
+                x[out] = ids[x[out] - (known + 2)]
+        parts.append((h, w, *rest, len(pieces_)))
         pieces_.append(piece)
-    h, w = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-    shift = np.cumsum([0, *(len(p[0]) for p in parts[:-1])])
-    at = np.concatenate([p[2] + s for p, s in zip(parts, shift, strict=True)])
-    row, tf, piece, held = (np.concatenate([p[i] for p in parts]) for i in (3, 4, 5, 6))
-    order = np.lexsort((w, h))
-    new = np.ones(len(order), bool)
-    new[1:] = (h[order][1:] != h[order][:-1]) | (w[order][1:] != w[order][:-1])
-    name = np.empty(len(order), np.int64)
-    name[order] = np.cumsum(new) - 1
-    first = order[new]
-    event = name[at]
-    c = np.bincount(event, np.where(held, 0, tf), len(first)).astype(np.int64)
-    extra = [np.concatenate([p[7][i] for p in parts])[first] for i in range(len(parts[0][7]))]
+    pair = np.concatenate([p[0].astype(U64) << U64(32) | p[1] for p in parts])
+    many, row, tf = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4))
+    piece = np.repeat(np.array([p[5] for p in parts], np.uint32), [len(p[3]) for p in parts])
+    del parts
+    pair, name = np.unique(pair, return_inverse=True)
+    event = np.repeat(name.astype(np.uint32), many)
+    c = np.bincount(event, np.maximum(tf, 0), len(pair)).astype(np.int64)
     of = [int((c == r).sum()) for r in range(1, TOP + 2)]
     by = np.argsort(event, kind="stable")
-    many = np.bincount(event, minlength=len(first)).astype(np.uint32)
-    pairs = pack(h[first], w[first], c.astype(np.uint32), many, *extra)
-    events = pack(piece[by], row[by], tf[by])
+    many = np.bincount(event, minlength=len(pair)).astype(np.uint32)
+    pairs = pack((pair >> U64(32)).astype(np.uint32), pair.astype(np.uint32), c.astype(np.uint32), many)
+    events = pack(piece[by], row[by], np.abs(tf[by]).astype(np.uint32))
     cols = [[key[0].as_py()], [pairs], [events], [pieces_], [of]]
     kinds = [pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
     return pa.table([pa.array(x, k) for x, k in zip(cols, kinds, strict=True)], ["bucket", "pairs", "events", "pieces", "n"])
@@ -246,36 +300,47 @@ def summed(keys: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, list
 
 
 class Scorer:
-    """Reads the model table's rows; ``counts`` are those of the word ids, None if rows carry them."""
+    """Reads the model table's rows; ``counts`` are those of the array's words, of the unknown word and of START."""
 
-    def __init__(self, uni: Unigrams, d: np.ndarray, counts: np.ndarray | None):
-        self.uni, self.d, self.counts = uni, d, counts
+    def __init__(self, uni: Unigrams, d: np.ndarray, rare: Rare | None, counts: np.ndarray):
+        self.uni, self.d, self.rare, self.counts = uni, d, rare, counts
+
+    def count(self, ids: np.ndarray) -> np.ndarray:
+        """The training counts of word ids."""
+        out = self.counts[np.minimum(ids, len(self.counts) - 1)].astype(np.int64)
+        if self.rare is not None:
+            k = np.flatnonzero(ids >= len(self.counts))
+            out[k] = self.rare.of(ids[k].astype(np.int64) - len(self.counts))
+        return out
 
     def pairs(self, blob: bytes) -> tuple[np.ndarray, ...]:
-        h, w, c, many, *extra = unpack(blob)
-        if self.counts is None:
-            return h, c.astype(np.int64), many, extra[0], extra[1]
-        return h.astype(U64), c.astype(np.int64), many, self.counts[h].astype(np.int64), self.counts[w].astype(np.int64)
+        h, w, c, many = unpack(blob)
+        return h.astype(U64), c.astype(np.int64), many, self.count(h), self.count(w)
 
     def documents(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(piece, blob): partial scores of a piece's rows, in one blob; an unseen pair's score lacks alpha."""
+        """(piece, blob): partial scores of a piece's rows, in one blob; an unseen pair's score lacks alpha. With words
+        beyond the array, also their part of n_known and base."""
         held: list = []
 
         def out() -> pa.RecordBatch:
             ids, piece = np.unique(np.concatenate([x[0] for x in held]), return_inverse=True)
-            u, (score,) = summed(piece.astype(np.int64) << 16 | np.concatenate([x[1] for x in held]), [np.concatenate([x[2] for x in held])])
+            u, sums = summed(piece.astype(np.int64) << 16 | np.concatenate([x[1] for x in held]), [np.concatenate(x) for x in zip(*(x[2] for x in held), strict=True)])
             cuts = np.searchsorted(u >> 16, np.arange(len(ids) + 1))
-            blobs = [pack((u[lo:hi] & 65535).astype(np.uint16), score[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+            blobs = [pack((u[lo:hi] & 65535).astype(np.uint16), *(x[lo:hi] for x in sums)) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(blobs, pa.binary())], ["piece", "blob"])
 
         size = 0
         for b in batches:
             for i in range(b.num_rows):
-                _, c, many, hc, wc = self.pairs(b.column("pairs")[i].as_py())
+                blob = b.column("pairs")[i].as_py()
+                _, c, many, hc, wc = self.pairs(blob)
                 piece, row, tf = unpack(b.column("events")[i].as_py())
-                score = np.log10(np.where(c > 0, discounted(c, self.d) / np.maximum(hc, 1), self.uni.p(wc)))
+                values = [np.log10(np.where(c > 0, discounted(c, self.d) / np.maximum(hc, 1), self.uni.p(wc)))]
+                if self.rare is not None:
+                    beyond = unpack(blob)[1] >= len(self.counts) - 2
+                    values += [beyond & (wc > 0), np.where(beyond, self.uni.base(wc), 0.0)]
                 ids = np.asarray(b.column("pieces")[i].as_py(), np.int64)
-                u, (v,) = summed(piece.astype(np.int64) << 16 | row, [tf * np.repeat(score, many)])
+                u, v = summed(piece.astype(np.int64) << 16 | row, [tf * np.repeat(x, many) for x in values])
                 held.append((ids[u >> 16], u & 65535, v))
                 size += len(u)
                 if size > 3_000_000:
@@ -307,10 +372,12 @@ class Scorer:
 
 
 def piece_scores(key: tuple, table: pa.Table) -> pa.Table:
-    """(piece, row, score) from one piece's partial blobs."""
+    """(piece, row, score, known, more) from one piece's partial blobs."""
     parts = [unpack(x.as_py()) for x in table.column("blob")]
-    u, (v,) = summed(np.concatenate([p[0] for p in parts]).astype(np.int64), [np.concatenate([p[1] for p in parts])])
-    return pa.table([pa.array([key[0].as_py()] * len(u), pa.int64()), pa.array(u), pa.array(v)], ["piece", "row", "score"])
+    u, v = summed(np.concatenate([p[0] for p in parts]).astype(np.int64), [np.concatenate(x) for x in zip(*(p[1:] for p in parts), strict=True)])
+    score, known, more = v if len(v) == 3 else (v[0], np.zeros(len(u)), np.zeros(len(u)))
+    cols = [pa.array([key[0].as_py()] * len(u), pa.int64()), pa.array(u), pa.array(score), pa.array(np.rint(known).astype(np.int64)), pa.array(more)]
+    return pa.table(cols, ["piece", "row", "score", "known", "more"])
 
 
 def scored(docs: DataFrame, held_out: Column, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
@@ -327,67 +394,42 @@ def scored(docs: DataFrame, held_out: Column, broadcast_words: int = BROADCAST_W
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-uni.n // BUCKET_EVENTS))
     wide = uni.v > broadcast_words
     names = f"doc_ids array<{kind}>, outs array<boolean>, n_tokens array<long>, n_known array<long>, base array<double>"
-    schema = f"bucket int, piece long, held boolean, blob binary, {names}"
+    schema = f"bucket int, piece long, blob binary, {names}"
     id_type = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
 
     of_rows = {"doc_ids": pa.list_(id_type), "outs": pa.list_(pa.bool_()), "n_tokens": pa.list_(pa.int64()), "n_known": pa.list_(pa.int64()), "base": pa.list_(pa.float64())}
 
-    def rows_of(piece: int, parts: list, toks: list, hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def rows_of(piece: int, parts: list, toks: list) -> Iterator[pa.RecordBatch]:
         held = np.concatenate([np.asarray(p.column("held_out")) for p in parts])
         ids = [x for p in parts for x in p.column("doc_id").to_pylist()]
-        made = piece_rows(piece, held, toks, hashes, counts, wide, uni, n_buckets)
+        made = piece_rows(piece, held, toks, *vocab.value, wide, uni, n_buckets)
         stats = next(made)
         none = (None,) * len(of_rows)
-        rows = [(-1 - piece % n_buckets, piece, None, None, ids, held.tolist(), *(x.tolist() for x in stats))]
+        rows = [(-1 - piece % n_buckets, piece, None, ids, held.tolist(), *(x.tolist() for x in stats))]
         rows += [(*r, *none) for r in made]
-        kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.binary(), *of_rows.values()]
+        kinds = [pa.int32(), pa.int64(), pa.binary(), *of_rows.values()]
         cols = [pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays(cols, ["bucket", "piece", "held", "blob", *of_rows])
-
-    if not wide:
-        table = words.select("w", "c").toArrow()
-        w, c = np.asarray(table.column("w")).view(U64), np.asarray(table.column("c"))
-        by = np.argsort(w)
-        vocab = spark.sparkContext.broadcast((w[by], c[by].astype(np.uint32) if uni.n < 2**32 else c[by]))
-        counts = spark.sparkContext.broadcast(np.append(c[by], (0, uni.docs)).astype(np.uint32 if uni.n < 2**32 else np.int64))
-        del table, w, c, by
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            base = TaskContext.get().partitionId() << 32
-            for k, (parts, toks) in enumerate(gathered(batches)):
-                yield from rows_of(base + k, parts, toks, *vocab.value)
-
-        blobs = docs.mapInArrow(run, schema)
-    else:
-        # each group of documents with the counts of its own words
-        groups = max(1, -(-uni.n // (4 * BUCKET_EVENTS)))
-        docs = docs.withColumn("g", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)))
-
-        def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b, raw, offs in pieces(batches, "text"):
-                _, cur, row = tokens(raw, offs)
-                pair = np.unique(np.stack((np.asarray(b.column("g")).astype(U64)[row], cur)), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in np.ascontiguousarray(pair)], ["g", "w"])
+        yield pa.RecordBatch.from_arrays(cols, ["bucket", "piece", "blob", *of_rows])
 
-        own = docs.select("g", "text").mapInArrow(distinct, "g long, w long").distinct().join(words, "w").select("g", "w", "c")
+    cut = cut_of(words, broadcast_words) if wide else 0
+    table = words.filter(F.col("c") > cut).select("w", F.col("c").cast("int" if uni.n < 2**31 else "long").alias("c")).toArrow()
+    w, c = np.asarray(table.column("w")).view(U64), np.asarray(table.column("c"))
+    by = np.argsort(w)
+    vocab = spark.sparkContext.broadcast((w[by], c[by]))
+    counts = spark.sparkContext.broadcast(np.append(c[by], np.array((0, uni.docs), c.dtype)))
+    known = len(by)
+    del table, w, c, by
 
-        def both(key: tuple, left: pa.Table, right: pa.Table) -> Iterator[pa.RecordBatch]:
-            w, c = np.asarray(right.column("w")).view(U64), np.asarray(right.column("c"))
-            by = np.argsort(w)
-            # the rows of a group come in any order; a task that runs again must number them as before
-            left = left.take(pa.compute.sort_indices(left, [("doc_id", "ascending"), ("text", "ascending")])).drop_columns(["g"])
-            for k, (parts, toks) in enumerate(gathered(iter(left.combine_chunks().to_batches()))):
-                yield from rows_of(key[0].as_py() << 32 | k, parts, toks, w[by], c[by])
-
-        def grouped(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-            return pa.Table.from_batches(both(key, left, right))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = TaskContext.get().partitionId() << 32
+        for k, (parts, toks) in enumerate(gathered(batches)):
+            yield from rows_of(base + k, parts, toks)
 
-        blobs = docs.groupBy("g").cogroup(own.groupBy("g")).applyInArrow(grouped, schema)
-        counts = None
+    blobs = docs.mapInArrow(run, schema).groupBy("bucket")
 
-    def model_of(key: tuple, table: pa.Table) -> pa.Table:
+    def with_others(key: tuple, table: pa.Table, others: pa.Table | None) -> pa.Table:
         if key[0].as_py() >= 0:
-            out = bucket_model(key, table).append_column("piece", pa.nulls(1, pa.int64()))
+            out = bucket_model(key, table, known, others).append_column("piece", pa.nulls(1, pa.int64()))
             for name, k in of_rows.items():
                 out = out.append_column(name, pa.nulls(1, k))
             return out
@@ -395,29 +437,51 @@ def scored(docs: DataFrame, held_out: Column, broadcast_words: int = BROADCAST_W
         cols = [table.column("bucket"), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int64()))]
         return pa.table([*cols, *(table.column(c) for c in ("piece", *of_rows))], ["bucket", "pairs", "events", "pieces", "n", "piece", *of_rows])
 
-    grouped_model = blobs.groupBy("bucket").applyInArrow(model_of, f"{MODEL}, piece long, {names}")
+    def model_of(key: tuple, table: pa.Table) -> pa.Table:
+        return with_others(key, table, None)
+
+    rare = None
+    if not wide:
+        grouped_model = blobs.applyInArrow(model_of, f"{MODEL}, piece long, {names}")
+    else:
+        numbers, rare = rare_words(words, cut)
+
+        def beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, toks in gathered(batches):
+                prev, cur = (np.concatenate([t[i] for t in toks]) for i in (0, 1))
+                u, back = np.unique(cur, return_inverse=True)
+                w = np.flatnonzero(~places(u, vocab.value[0])[1][back])
+                h = w[w < len(cur) - 1] + 1
+                h = h[prev[h] != START]
+                bucket = np.concatenate([bucket_of(prev[x], cur[x], n_buckets) for x in (w, h)]).astype(np.int32)
+                found = pa.table([pa.array(bucket), pa.array(np.concatenate((cur[w], prev[h])).view(np.int64))], ["bucket", "w"])
+                yield from found.group_by(["bucket", "w"]).aggregate([]).combine_chunks().to_batches()
+
+        own = docs.select("held_out", "text").mapInArrow(beyond, "bucket int, w long").distinct().join(numbers, "w").select("bucket", "w", "number")
+
+        grouped_model = blobs.cogroup(own.groupBy("bucket")).applyInArrow(with_others, f"{MODEL}, piece long, {names}")
     model = staged(grouped_model, "bigrams")
     pairs = model.filter("bucket >= 0").select("pairs", "events", "pieces", "n")
     of = pairs.agg(*(F.sum(F.element_at("n", r)) for r in range(1, TOP + 2))).first()
-    scorer = (uni, discounts([x or 0 for x in of]))
+    scorer = (uni, discounts([x or 0 for x in of]), rare)
 
     def reader(name: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from getattr(Scorer(*scorer, counts.value if counts else None), name)(batches)
+            yield from getattr(Scorer(*scorer, counts.value), name)(batches)
 
         return run
 
-    sums = pairs.mapInArrow(reader("documents"), "piece long, blob binary").groupBy("piece").applyInArrow(piece_scores, "piece long, row long, score double")
+    sums = pairs.mapInArrow(reader("documents"), "piece long, blob binary").groupBy("piece").applyInArrow(piece_scores, "piece long, row long, score double, known long, more double")
     alpha = pairs.select("pairs").mapInArrow(reader("histories"), "h long, seen double, mass double").groupBy("h")
     alpha = alpha.agg(F.log10((1 - F.sum("seen")) / (1 - F.sum("mass"))).alias("alpha"))
     lacking = pairs.mapInArrow(reader("unseen"), "piece long, row long, h long, tf long").join(alpha, "h", "left")
-    lacking = lacking.groupBy("piece", "row").agg(F.sum(F.col("tf") * F.coalesce("alpha", F.lit(0.0))).alias("score"))
-    total = sums.unionByName(lacking).groupBy("piece", "row").agg(F.sum("score").alias("score"))
+    lacking = lacking.groupBy("piece", "row").agg(F.sum(F.col("tf") * F.coalesce("alpha", F.lit(0.0))).alias("score"), F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("more"))
+    total = sums.unionByName(lacking).groupBy("piece", "row").agg(*(F.sum(x).alias(x) for x in ("score", "known", "more")))
     rows = model.filter("bucket < 0").select("piece", F.posexplode(F.arrays_zip(*of_rows)).alias("row", "d"))
     rows = rows.select("piece", F.col("row").cast("long").alias("row"), "d.*")
     out = rows.join(total, ["piece", "row"])
     train = F.lit(uni.n).cast("long").alias("train_tokens")
-    return out.select(F.col("doc_ids").alias("doc_id"), F.col("outs").alias("held_out"), "n_tokens", "n_known", train, F.col("base").alias("base_score"), "score")
+    return out.select(F.col("doc_ids").alias("doc_id"), F.col("outs").alias("held_out"), "n_tokens", (F.col("n_known") + F.col("known")).alias("n_known"), train, (F.col("base") + F.col("more")).alias("base_score"), "score")
 
 
 @swept_query

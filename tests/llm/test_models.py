@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -151,6 +152,34 @@ def test_katz(docs, limit):
         assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-6 and abs(a[6] - b[6]) < 1e-6
 
 
+@pytest.mark.parametrize("limit", [1, 40])
+def test_katz_words_beyond_the_array(docs, limit, monkeypatch):
+    """The array holds the most frequent words only; buckets are many, and each piece sends each of them one blob at most."""
+    monkeypatch.setattr(katz, "BUCKET_EVENTS", 50)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    held = [i is not None and i % 4 == 3 for i, _ in rows]
+    out = katz.scored(docs, F.coalesce(F.col("doc_id") % 4 == 3, F.lit(False)), limit)
+    order = lambda r: (repr(r[0]), r[2], r[6])
+    got, want = sorted(map(tuple, out.collect()), key=order), sorted(expected_scores(rows, held), key=order)
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-6 and abs(a[6] - b[6]) < 1e-6
+
+
+def test_katz_many_buckets_cost_little():
+    """A piece of 400,000 tokens over 5,000 buckets; the words' counts were gathered anew for every bucket."""
+    raw, n = "".join(f"w{i * i % 70_001} " for i in range(400_000)).encode(), 400
+    raw, offs = np.frombuffer(raw, np.uint8), np.linspace(0, len(raw), n + 1).astype(np.int64)
+    toks, held = [katz.tokens(raw, offs)], np.arange(n) % 7 == 2
+    w, c = np.unique(toks[0][1], return_counts=True)
+    uni = katz.Unigrams(int(c.sum()), len(w), n, np.ones(6), 0.1)
+    began = time.process_time()
+    stats, *blobs = katz.piece_rows(0, held, list(toks), w[c > 8], c[c > 8], True, uni, 5000)
+    assert time.process_time() - began < 5
+    assert stats[0].sum() == len(toks[0][1]) and len({b[0] for b in blobs}) == len(blobs)
+    assert sum(int(np.abs(katz.unpack(b[2])[4]).sum()) for b in blobs) == len(toks[0][1])
+
+
 @pytest.mark.parametrize("rows", [70_000, 50_000])
 def test_katz_pieces_number_their_rows_in_16_bits(rows):
     """Whatever the batch's size, no piece has more rows than a row number can tell apart."""
