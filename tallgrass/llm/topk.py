@@ -6,24 +6,35 @@ each row when it first shows, and stops in a block once no unseen row can reach
 scores at most the sum of the weights times the values reached. Query blocks meet the first vector block alone; the kth
 score found there is a query's floor in all other blocks, where it stops earlier and leaves only rows that reach
 the floor, k at most. The best k of all are the result.
+
+Queries whose walk a floor cannot end before most of a block has shown are taken together: all rows of the block get
+their scores in one product. A task holds the lists of a group of vector blocks and reads the query blocks; both sides
+are dealt to the tasks by number. They are not joined: a join's side that repeats each query block for every group could
+be taken for small, by the size of its files, and be broadcast through the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import staged, swept_query
+from .common import BROADCAST_ROWS, staged, swept_query
 
 K, EVERY, SCALE = 20, 20, 64
 BLOCK, QUERIES = 8192, 512
 STEP = 32
+#: A task holds at most so many vector blocks of 64 dimensions (fewer of more dimensions), and reads at most so many query blocks.
+GROUP, PART = 16, 512
+#: The floor of a query that has none yet.
+NONE = -(2**63)
 
 
 def exact(most: float) -> type:
@@ -92,18 +103,84 @@ class Lists:
         keep = keep[scores[keep] >= floor]
         return self.ids[rows[keep]], scores[keep].astype(np.int64)
 
+    def opening(self, query_id: int, q: np.ndarray, k: int) -> int:
+        """The kth score of the rows that the first step of a walk shows, or ``NONE``."""
+        seen = np.zeros(len(self.ids), bool)
+        seen[self.order[q > 0, -STEP:].ravel()] = True
+        seen[self.order[q < 0, :STEP].ravel()] = True
+        rows = np.flatnonzero(seen & (self.ids != query_id))
+        return int(np.partition(self.v[rows].astype(np.float64) @ q, len(rows) - k)[len(rows) - k]) if len(rows) >= k else NONE
+
+    def meet(self, asked: np.ndarray, q: np.ndarray, floors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``best`` of many queries: the query's row, id and score, in no order. asked, q, floors: the queries' ids, weights and floors."""
+        n, width = self.v.shape
+        most = np.abs(q).max(axis=1, initial=0) * max(1.0, float(np.abs(self.sorted[:, [0, -1]]).max(initial=0))) * max(1, width)
+        plain = (most < 2.0**52) & (self.v.dtype != object)
+        low = floors.copy()
+        for i in np.flatnonzero(plain & (low == NONE)):
+            low[i] = self.opening(asked[i], q[i], k)
+        walks = ~plain
+        if plain.any():
+            # where the lists have shown at most a quarter of the rows
+            depth = max(1, n // (4 * max(1, width)))
+            bound = np.maximum(q[plain], 0) @ self.sorted[:, n - depth].astype(np.float64) + np.minimum(q[plain], 0) @ self.sorted[:, depth - 1].astype(np.float64)
+            walks[plain] = bound < low[plain]
+        out = []
+        for i in np.flatnonzero(walks):
+            ids, scores = self.best(asked[i], q[i], k, -np.inf if low[i] == NONE else int(low[i]))
+            out.append((np.full(len(ids), i), ids, scores))
+        rest = np.flatnonzero(~walks)
+        if len(rest):
+            i, ids, scores = self.swept(asked[rest], whole(q[rest], exact(most[rest].max())), low[rest], k)
+            out.append((rest[i], ids, scores))
+        return tuple(np.concatenate([o[j] for o in out]) for j in range(3))
+
+    def swept(self, asked: np.ndarray, q: np.ndarray, low: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``meet``, by the scores of all rows in the type of ``q``."""
+        scores = q @ whole(self.v, q.dtype.type).T
+        lo, hi = np.searchsorted(self.ids, asked, "left"), np.searchsorted(self.ids, asked, "right")
+        for i in np.flatnonzero(hi > lo):
+            scores[i, lo[i] : hi[i]] = -np.inf
+        # a floor that this type rounds is beyond all scores here
+        least = np.where(low == NONE, np.finfo(q.dtype).min, low).astype(q.dtype)
+        hit = scores >= least[:, None]
+        many = np.flatnonzero(hit.sum(axis=1) > k)
+        if len(many):
+            least[many] = np.partition(scores[many], len(self.ids) - k, axis=1)[:, len(self.ids) - k]
+            hit[many] = scores[many] >= least[many, None]
+        i, row = np.nonzero(hit)
+        found = scores[i, row]
+        # of the rows with just the kth score, those with the smallest ids
+        tie = found == least[i]
+        before = np.concatenate(([0], np.cumsum(tie)))
+        nth = before[1:] - before[np.searchsorted(i, np.arange(len(asked)))][i]
+        keep = ~tie | (nth <= (k - np.bincount(i[~tie], minlength=len(asked)))[i])
+        return i[keep], self.ids[row[keep]], found[keep].astype(np.int64)
+
+
+def top(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], floors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best k of each query among what blocks gave; ``floors`` are raised to the kth."""
+    i, ids, scores = (np.concatenate([f[j] for f in found]) for j in range(3))
+    by = np.lexsort((ids, ~scores, i))
+    i, ids, scores = i[by], ids[by], scores[by]
+    nth = np.arange(len(i)) - np.searchsorted(i, i)
+    last = nth == k - 1
+    floors[i[last]] = np.maximum(floors[i[last]], scores[last])
+    return i[nth < k], ids[nth < k], scores[nth < k]
+
 
 #: The types that a block's numbers are sent in, narrowest first.
 KINDS = ("int8", "int16", "int32", "float64")
 
 
-def packed(df: DataFrame, size: int) -> DataFrame:
-    """Rows (id, v: array of whole doubles, floor) as blocks (n: 0, 1, ..., ids, vectors, width, kind, floors) of at most ``size`` rows."""
+def packed(df: DataFrame, size: int, tasks: int) -> DataFrame:
+    """Rows (id, v: array of whole doubles, floor) as blocks (n: 0, 1, ..., ids, vectors, width, kind, floors) of at most ``size`` rows, made by at most ``tasks`` tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
         rows: list[np.ndarray] = []
-        floors: list[float] = []
+        floors: list[int] = []
+        task, made = TaskContext.get().partitionId(), count()
 
         def block() -> pa.RecordBatch:
             width = max(map(len, rows))
@@ -111,10 +188,10 @@ def packed(df: DataFrame, size: int) -> DataFrame:
             for i, r in enumerate(rows):
                 m[i, : len(r)] = r
             kind = next(k for k in KINDS if k == KINDS[-1] or np.abs(m).max(initial=0) < np.iinfo(k).max)
-            blobs = (np.array(ids, np.int64), m.astype(kind), np.array(floors, np.float64))
+            blobs = (np.array(ids, np.int64), m.astype(kind), np.array(floors, np.int64))
             cols = [pa.array([x.tobytes()]) for x in blobs]
-            cols = [*cols[:2], pa.array([width], pa.int32()), pa.array([kind]), cols[2]]
-            return pa.RecordBatch.from_arrays(cols, ["ids", "vectors", "width", "kind", "floors"])
+            cols = [pa.array([task]), pa.array([next(made)]), *cols[:2], pa.array([width], pa.int32()), pa.array([kind]), cols[2]]
+            return pa.RecordBatch.from_arrays(cols, ["task", "r", "ids", "vectors", "width", "kind", "floors"])
 
         for b in batches:
             v = b.column("v")
@@ -129,11 +206,12 @@ def packed(df: DataFrame, size: int) -> DataFrame:
         if rows:
             yield block()
 
-    blocks = staged(df.mapInArrow(run, "ids binary, vectors binary, width int, kind string, floors binary"), "blocks")
-    files = blocks.withColumns({"f": F.col("_metadata.file_name"), "r": F.col("_metadata.row_index")})
-    first = files.groupBy("f").agg(F.count("*").alias("c"))
-    first = first.select("f", (F.sum("c").over(Window.orderBy("f")) - F.col("c")).alias("first"))
-    return files.join(first, "f").select((F.col("first") + F.col("r")).alias("n"), "ids", "vectors", "width", "kind", "floors")
+    blocks = staged(df.coalesce(tasks).mapInArrow(run, "task long, r long, ids binary, vectors binary, width int, kind string, floors binary"), "blocks")
+    first = blocks.groupBy("task").agg(F.count("*").alias("c"))
+    first = first.select("task", (F.sum("c").over(Window.orderBy("task")) - F.col("c")).alias("first"))
+    # a row for each task; the blocks themselves never go through the driver
+    blocks, first = (blocks, F.broadcast(first)) if tasks <= BROADCAST_ROWS else (blocks.hint("merge"), first)
+    return blocks.join(first, "task").select((F.col("first") + F.col("r")).alias("n"), "ids", "vectors", "width", "kind", "floors")
 
 
 def matrix(blob: bytes, kind: str, rows: int, width: int, filled: int) -> np.ndarray:
@@ -148,36 +226,51 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     an id are candidates each, and as queries ranked together; none of them meets its own id. Fewer than k candidates
     give fewer rows; ties go to the smaller id.
     """
-    n = vectors.count()
-    none = F.lit(float("-inf")).alias("floor")
-    blocks = staged(packed(vectors.select("id", "v", none).coalesce(max(1, -(-n // BLOCK))), BLOCK).drop("floors"), "vectors")  # full blocks, however small the input's partitions
-    parts = max(1, -(-queries.count() // (4 * QUERIES)))
-    count = blocks.count()
-    if not count:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    spark = vectors.sparkSession
+    n, n_queries = vectors.count(), queries.count()
+    none = F.lit(NONE).cast("long").alias("floor")
+    blocks = staged(packed(vectors.select("id", "v", none), BLOCK, max(1, -(-n // BLOCK))).drop("floors"), "vectors")  # full blocks, however small the input's partitions
+    n_blocks, width = blocks.agg(F.count("*"), F.max("width")).first()
+    if not n_blocks:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    tasks = 2 * spark.sparkContext.defaultParallelism
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, lists = None, None
+        cell, held, lists, wide = None, [], [], None
         for b in batches:
-            for r in b.to_pylist():
-                w = max(r["width"], r["q_width"])
-                if last != (r["ids"], w):
-                    block = np.frombuffer(r["ids"], np.int64)
-                    lists = Lists(block, matrix(r["vectors"], r["kind"], len(block), r["width"], w))
-                    last = (r["ids"], w)
-                asked, floors = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["floors"])
-                q = matrix(r["q"], r["q_kind"], len(asked), r["q_width"], w)
-                out = [(i, *lists.best(i, x, k, f)) for i, x, f in zip(asked, q, floors, strict=True)]
-                cols = [np.repeat([i for i, _, _ in out], [len(s) for _, s, _ in out]), *(np.concatenate([o[j] for o in out]) for j in (1, 2))]
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], ["query_id", "vec_id", "score"])
+            for at in range(b.num_rows):
+                r = {x: b.column(x)[at].as_py() for x in b.schema.names}
+                if r["cell"] != cell:
+                    cell, held, wide = r["cell"], [], None
+                if not r["asks"]:
+                    held.append(r)
+                    continue
+                w = max(r["width"], *(h["width"] for h in held))
+                if w != wide:
+                    each = ((np.frombuffer(h["ids"], np.int64), h) for h in held)
+                    lists, wide = [Lists(ids, matrix(h["vectors"], h["kind"], len(ids), h["width"], w)) for ids, h in each], w
+                asked, floors = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["floors"], np.int64).copy()
+                q = matrix(r["vectors"], r["kind"], len(asked), r["width"], w)
+                found = [(np.zeros(0, np.int64),) * 3]
+                for block in lists:
+                    found = [top([*found, block.meet(asked, q, floors, k)], floors, k)]
+                i, ids, scores = found[0]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (asked[i], ids, scores)], ["query_id", "vec_id", "score"])
 
     def met(asked: DataFrame, first: int, last: int) -> DataFrame:
         """Rows of ``asked`` (id, floor, v) against the blocks ``first`` to ``last``."""
-        sent = packed(asked.select("id", "v", "floor").coalesce(parts), QUERIES)
-        sent = sent.select(F.col("ids").alias("q_ids"), F.col("vectors").alias("q"), F.col("width").alias("q_width"), F.col("kind").alias("q_kind"), "floors")
-        sent = sent.withColumn("n", F.explode(F.sequence(F.lit(first).cast("long"), F.lit(last).cast("long"))))
-        mine = blocks.filter(F.col("n").between(first, last)).repartition(last - first + 1, "n")
-        return mine.join(sent, "n").drop("n").mapInArrow(run, "query_id long, vec_id long, score long")
+        each = max(1, min(GROUP, GROUP * 64 // max(width, 1), (last - first + 1) // tasks))
+        groups = -(-(last - first + 1) // each)
+        sent = -(-n_queries // QUERIES)
+        parts = max(1, -(-sent // PART), min(sent, tasks // groups))
+        shared = ("ids", "vectors", "width", "kind")
+        mine = blocks.filter(F.col("n").between(first, last)).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        mine = mine.select((F.floor((F.col("n") - first) / each) * parts + F.col("part")).cast("int").alias("cell"), F.lit(False).alias("asks"), *shared, F.lit(None).cast("binary").alias("floors"))
+        theirs = packed(asked.select("id", "v", "floor"), QUERIES, max(1, -(-n_queries // (4 * QUERIES))))
+        theirs = theirs.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        theirs = theirs.select((F.col("group") * parts + F.col("n") % parts).cast("int").alias("cell"), F.lit(True).alias("asks"), *shared, "floors")
+        dealt = mine.unionByName(theirs).repartitionById(groups * parts, "cell").sortWithinPartitions("cell", "asks")
+        return dealt.mapInArrow(run, "query_id long, vec_id long, score long")
 
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
@@ -185,11 +278,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
     found = met(queries.select("id", "v", none), 0, 0)
-    if count > 1:
+    if n_blocks > 1:
         found = staged(found, "first")
-        floors = ranked(found).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("floor"))
-        asked = queries.join(floors, "id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-        found = found.unionByName(met(asked, 1, count - 1))
+        floors = ranked(found).filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+        asked = queries.join(floors, "id", "left").withColumn("floor", F.coalesce("floor", F.lit(NONE).cast("long")))
+        found = found.unionByName(met(asked, 1, n_blocks - 1))
     return ranked(found)
 
 

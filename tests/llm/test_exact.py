@@ -567,6 +567,56 @@ def test_topk_beyond_floats(spark, monkeypatch):
         topk.top_k(huge, huge).collect()
 
 
+def test_topk_broadcasts_no_queries(spark, monkeypatch):
+    """What is repeated for many blocks, 5 MB here, is broadcast neither whole nor in part, however small its files are."""
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    rng = np.random.default_rng(8)
+    m = rng.integers(-100, 100, (6400, 64)).astype(float)
+    vecs = staged(spark.createDataFrame([(i, x) for i, x in enumerate(m.tolist())], "id long, v array<double>"), "q")
+    keys = {"spark.sql.maxBroadcastTableSize": "3m", "spark.sql.autoBroadcastJoinThreshold": "256k"}  # between the queries' 51 KB and the blocks' 410 KB
+    was = {x: spark.conf.get(x) for x in keys}
+    try:
+        for x, y in keys.items():
+            spark.conf.set(x, y)
+        got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(vecs, vecs.filter("id % 10 = 0"), 5).collect()}
+    finally:
+        for x, y in was.items():
+            spark.conf.set(x, y)
+    assert len(got) == 640 * 5
+    for q in range(0, 6400, 10):
+        scores = (m @ m[q]).astype(int)
+        best = [j for j in np.lexsort((np.arange(6400), -scores)) if j != q][:5]
+        assert [got[q, r + 1] for r in range(5)] == [(j, scores[j]) for j in best]
+
+
+def test_topk_floors_beyond_doubles(spark, monkeypatch):
+    """The first block's kth score, 2**53 + 3, is no double; a row of another block with just that score and a smaller id is not lost."""
+    monkeypatch.setattr(topk, "BLOCK", 2)
+    rows = [(30, [2.0**52, 3.0]), (40, [1.0, 0.0]), (10, [2.0**52, 3.0]), (50, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>").coalesce(1)
+    asked = spark.createDataFrame([(1, [2.0, 1.0])], "id long, v array<double>")
+    assert pairs(topk.top_k(df, asked, 1), "query_id", "rank", "vec_id", "score") == [(1, 1, 10, 2**53 + 3)]
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_topk_of_blocks(monkeypatch, blocks):
+    """Queries of a block at once against all scores: ties, repeated ids, queries of zeros, few and many dimensions, sweeps and walks."""
+    rng = np.random.default_rng(9)
+    for width in (1, 2, 8, 64):
+        n, k = 300 * blocks, 7
+        v = np.floor(rng.normal(0, 9, (n, width)))
+        v[rng.random(n) < 0.4] = v[0]
+        ids, asked, q = rng.integers(0, n, n), np.arange(20), np.floor(rng.normal(0, 9, (20, width)))
+        q[3] = 0
+        floors, found = np.full(20, topk.NONE), [(np.zeros(0, np.int64),) * 3]
+        for at in range(0, n, 300):
+            found = [topk.top([*found, topk.Lists(ids[at : at + 300], v[at : at + 300]).meet(asked, q, floors, k)], floors, k)]
+        i, got, scores = found[0]
+        for x in range(20):
+            want = sorted((-int(v[j] @ q[x]), int(ids[j])) for j in range(n) if ids[j] != asked[x])[:k]
+            assert list(zip((-scores[i == x]).tolist(), got[i == x].tolist(), strict=True)) == want
+
+
 def test_many_spans_of_long_texts(spark):
     """Two texts of 6 MB that share 24,000 passages: the work is linear in spans."""
     import time
